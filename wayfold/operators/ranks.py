@@ -11,7 +11,7 @@ A global ``row_number`` would send all rows to a single task.  Instead:
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,14 +29,16 @@ def micros(column: str | Column) -> Column:
     return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), column)
 
 
-def _order_statistics(df: DataFrame, column: str, ranks: Sequence[int], small: int = SMALL) -> dict[int, tuple]:
+def _order_statistics(df: DataFrame, column: str, ranks: Sequence[int] | Callable[[int], Sequence[int]],
+                      small: int = SMALL) -> dict[int, tuple]:
     """For each 0-based rank: (value there, rows below that value, rows with that value).
 
-    Nulls are not counted.  The driver only sees histogram cells and at most ``small``
+    ``ranks`` may be a function of the number of rows.  Nulls are not counted.  The driver only sees histogram cells and at most ``small``
     distinct values per open interval.
     """
     df = df.select(F.col(column).alias("v")).where("v IS NOT NULL")
     n, low, high = df.agg(F.count("v"), F.min("v"), F.max("v")).first()
+    ranks = ranks(n) if callable(ranks) else ranks
     for rank in ranks:
         if not 0 <= rank < n:
             raise ValueError(f"rank {rank} outside 0..{n - 1}")
@@ -117,16 +119,19 @@ def at_or_above(columns: Sequence[str], point: Sequence) -> Column:
     return condition
 
 
-def quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> list[float]:
-    """Exact quantiles, linear between neighbours."""
-    n = df.select(column).where(F.col(column).isNotNull()).count()
-    if n == 0:
+def quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> list[float | None]:
+    """Exact quantiles, linear between neighbours; null without values."""
+    sizes = []
+
+    def neighbours(n: int) -> list[int]:
+        sizes.append(n)
+        return sorted({r for s in shares for r in (math.floor((n - 1) * s), math.ceil((n - 1) * s))}) if n else []
+
+    values = {rank: v for rank, (v, _, _) in _order_statistics(df, column, neighbours).items()}
+    if not values:
         return [None] * len(shares)
-    spots = [(n - 1) * s for s in shares]
-    ranks = sorted({math.floor(p) for p in spots} | {math.ceil(p) for p in spots})
-    values = {rank: v for rank, (v, _, _) in _order_statistics(df, column, ranks).items()}
     out = []
-    for p in spots:
+    for p in ((sizes[0] - 1) * s for s in shares):
         low, high = values[math.floor(p)], values[math.ceil(p)]
         out.append(float(low + (high - low) * (p - math.floor(p))))
     return out
@@ -196,8 +201,13 @@ def split_by_time(df: DataFrame, share: float = 0.8, time: str = "req_time", tie
     return keyed.withColumn("split", F.when(late & ~same, "test").otherwise("train")).drop("_t")
 
 
-def split_sessions_by_time(df: DataFrame, share: float = 0.8, time: str = "req_time", session: str = "sid") -> DataFrame:
-    """As :func:`split_by_time`, but on sessions: a session's rows stay together at its earliest time."""
+def split_sessions_by_time(df: DataFrame, share: float = 0.8, time: str = "req_time", session: str = "sid",
+                           one_time: bool = True) -> DataFrame:
+    """As :func:`split_by_time`, but on sessions: a session's rows stay together at its earliest time.
+
+    ``one_time`` states that all rows of a session carry the same time, as after a join with the
+    sessions; the rows are then marked in place.  Otherwise the marks come back by a join.
+    """
     keyed = df.withColumn("_t", F.coalesce(micros(time), F.lit(2**62)))
     sessions = keyed.groupBy(session).agg(F.min("_t").alias("_t"))
     limit = int(share * sessions.count())
@@ -206,8 +216,10 @@ def split_sessions_by_time(df: DataFrame, share: float = 0.8, time: str = "req_t
     columns = ["_t", session]
     point = cut_points(sessions, columns, [limit - 1])[limit - 1]
     late = at_or_above(columns, point) & ~((F.col("_t") == F.lit(point[0])) & (F.col(session) == F.lit(point[1])))
-    part = sessions.select(session, F.when(late, "test").otherwise("train").alias("split"))
-    return df.join(part, session)
+    part = F.when(late, "test").otherwise("train").alias("split")
+    if one_time:
+        return keyed.select("*", part).drop("_t")
+    return df.join(sessions.select(session, part), session)
 
 
 def split_at(df: DataFrame, moment: str, time: str = "req_time") -> DataFrame:
