@@ -1 +1,46 @@
-"""Section."""
+"""Data-quality checks."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from wayfold import bindings as B
+from wayfold.bindings import oracle
+from wayfold.catalog import register
+from wayfold.operators import folds, quality
+
+
+@register("check_columns", oracle("t_clicks", body="SELECT count(*) AS n, true AS ok FROM t_clicks"))
+def _(spark, d):
+    checked = quality.check_columns(B.clicks_table(spark, d), ["sid", "click_mode"])
+    return checked.agg(F.count(F.lit(1)).alias("n"), F.lit(True).alias("ok"))
+
+
+@register("check_same_schema", oracle("t_queries", body="SELECT count(*) AS n, true AS ok FROM t_queries"))
+def _(spark, d):
+    queries = B.queries_table(spark, d)
+    checked = quality.check_same_schema(queries, queries.select(*queries.columns))
+    return checked.agg(F.count(F.lit(1)).alias("n"), F.lit(True).alias("ok"))
+
+
+@register("rows_with_null", oracle("t_queries", "t_clicks", body="""SELECT count(*) FILTER (WHERE pid IS NULL OR click_mode IS NULL)
+    AS rows_with_null, CAST(count(*) > count(pid) AS INT) + CAST(count(*) > count(click_mode) AS INT) AS columns_with_null
+    FROM t_queries LEFT JOIN t_clicks USING (sid)"""))
+def _(spark, d):
+    joined = B.queries_table(spark, d).select("sid", "pid", "req_time").join(
+        B.clicks_table(spark, d).select("sid", "click_mode"), "sid", "left")
+    return quality.rows_with_null(joined)
+
+
+@register("check_row_count", oracle("t_queries", "t_clicks", body="""SELECT (SELECT count(*) FROM t_queries) AS before,
+    (SELECT count(*) FROM t_queries LEFT JOIN t_clicks USING (sid)) AS after, (SELECT count(*) FROM t_queries)
+    = (SELECT count(*) FROM t_queries LEFT JOIN t_clicks USING (sid)) AS same"""))
+def _(spark, d):
+    queries = B.queries_table(spark, d).select("sid")
+    return quality.check_row_count(queries, queries.join(B.clicks_table(spark, d).select("sid"), "sid", "left"))
+
+
+@register("check_folds", "SELECT CAST(0 AS BIGINT) AS repeated, CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS unknown, count(*) >= 0 AS ok FROM orders")
+def _(spark, d):
+    sids = B.table(spark, d, "orders").selectExpr("o_orderkey AS sid")
+    return quality.check_folds(folds.folds_equal(sids, 5), sids)

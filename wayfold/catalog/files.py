@@ -18,8 +18,7 @@ def _csv(df, path):
         "timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
 
 
-@register("src_csv_tables", oracle("t_queries", "t_sessions", "t_listed", "t_clicks", "t_profiles", body="""
-    WITH sizes AS (SELECT s.sid, count(l.sid) AS n FROM t_sessions s LEFT JOIN t_listed l ON s.sid = l.sid GROUP BY s.sid)
+@register("src_csv_tables", oracle("t_queries", "t_sessions", "t_clicks", "t_profiles", body="""
     SELECT q.sid, q.pid, req_time, o, d, plan_time, click_time, click_mode, p0, p65
     FROM t_queries q LEFT JOIN t_sessions s ON q.sid = s.sid LEFT JOIN t_clicks c ON q.sid = c.sid
     LEFT JOIN t_profiles p ON q.pid = p.pid"""))
@@ -95,15 +94,16 @@ def _(spark, d):
     return named.withColumn("kind", F.lit("header")).unionByName(plain.withColumn("kind", F.lit("plain")))
 
 
-@register("src_glob_union", oracle("t_rows", body="""SELECT sid, transport_mode FROM t_rows WHERE transport_mode <= 6"""))
+@register("src_glob_union", oracle("t_rows", body="""SELECT CAST(sid AS VARCHAR) AS sid, CAST(transport_mode AS VARCHAR)
+    AS transport_mode, CASE WHEN transport_mode > 3 THEN CAST(distance AS VARCHAR) END AS distance FROM t_rows
+    WHERE transport_mode <= 6"""))
 def _(spark, d):
     folder = scratch_path(spark, "runs")
-    rows = B.plan_rows_table(spark, d).select("sid", "transport_mode")
-    for name, condition in (("run_a_Summary", "transport_mode <= 3"), ("run_b_Summary", "transport_mode BETWEEN 4 AND 6"),
-                            ("run_c_other", "transport_mode > 6")):
-        _csv(rows.where(condition), f"{folder}/{name}.csv")
-    # Spark writes a folder per run, so the pattern goes on the folder names
-    return spark.read.schema("sid bigint, transport_mode int").option("header", "true").csv(f"{folder}/*Summary*")
+    rows = B.plan_rows_table(spark, d).select("sid", "transport_mode", "distance")
+    _csv(rows.where("transport_mode <= 3").drop("distance"), f"{folder}/run_a_Summary.csv")
+    _csv(rows.where("transport_mode BETWEEN 4 AND 6"), f"{folder}/run_b_Summary.csv")
+    _csv(rows.where("transport_mode > 6"), f"{folder}/run_c_other.csv")
+    return readers.read_matching(spark, folder, "Summary")
 
 
 @register("sink_qid_text", oracle("t_dedup", "t_clicks", body="""SELECT concat_ws(' ', CASE WHEN click_mode = transport_mode THEN '1'

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfold import schemas as S
+from wayfold.operators.setops import union_rows
 
 # File names of the raw tables.
 TRAIN_FILES = {"profiles": "profiles.csv", "queries": "train_queries.csv", "plans": "train_plans.csv",
@@ -54,12 +55,17 @@ def read_districts(spark: SparkSession, path: str, most: int = 256) -> DataFrame
                                  "idx int, District string, o_lat double, o_long double")
 
 
-def read_matching(spark: SparkSession, folder: str, key: str, schema=None, header: bool = True) -> DataFrame:
-    """Every file of the folder whose name contains ``key``, stacked."""
-    reader = spark.read.option("header", str(header).lower()).option("pathGlobFilter", f"*{key}*")
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.csv(folder)
+def read_matching(spark: SparkSession, folder: str, key: str, most: int = 1000) -> DataFrame:
+    """Every run file whose name contains ``key``, stacked by column name; absent columns are null.
+
+    Run files may differ in their columns, so each is read under its own header.
+    """
+    names = spark.read.text(f"{folder}/*{key}*").select(F.input_file_name().alias("f")).distinct().limit(most + 1).collect()
+    if len(names) > most:
+        raise ValueError(f"more than {most} run files match {key!r}")
+    if not names:
+        raise ValueError(f"no file in {folder} matches {key!r}")
+    return union_rows(*[spark.read.option("header", "true").csv(r["f"]) for r in sorted(names)], fill=True)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
