@@ -136,8 +136,8 @@ def _(spark, d):
 
 @register("silhouette", """WITH x AS (SELECT vec_id, label, unnest(range(1, 65)) AS i, unnest(CAST(embedding AS DOUBLE[])) AS v FROM embeddings),
     pairs AS (SELECT a.vec_id, a.label AS la, b.label AS lb, b.vec_id AS other, sum((a.v - b.v) * (a.v - b.v)) AS dist
-    FROM x a JOIN x b ON a.i = b.i GROUP BY ALL),
-    means AS (SELECT vec_id, la, lb, sum(dist) / CASE WHEN la = lb THEN count(*) - 1 ELSE count(*) END AS m FROM pairs GROUP BY ALL),
+    FROM x a JOIN x b ON a.i = b.i GROUP BY a.vec_id, a.label, b.label, b.vec_id),
+    means AS (SELECT vec_id, la, lb, sum(dist) / CASE WHEN la = lb THEN count(*) - 1 ELSE count(*) END AS m FROM pairs GROUP BY vec_id, la, lb),
     ab AS (SELECT vec_id, max(CASE WHEN la = lb THEN m END) AS a, min(CASE WHEN la <> lb THEN m END) AS b FROM means GROUP BY vec_id)
     SELECT count(*) AS n, round(avg((b - a) / greatest(a, b)), 6) AS silhouette FROM ab""")
 def _(spark, d):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from wayfold import bindings as B
@@ -32,16 +33,16 @@ def _documents(spark, d):
 def _(spark, d):
     docs = _documents(spark, d)
     weighed = text.weigh(docs, text.fit_idf(docs))
-    return rounded(weighed.select("sid", F.inline("weights")), ["weight"])
+    return rounded(text.weight_rows(weighed, "sid"), ["weight"])
 
 
 @register("mode_svd")
 def _(spark, d):
     docs = _documents(spark, d)
     idf = text.fit_idf(docs)
-    x = text.weigh(docs, idf).select("sid", text.dense_weights(F.col("weights"), list(idf)).alias("x"))
-    parts = decompose.project(F.col("x"), decompose.svd_axes(x, "x", 10), "TFIDF_clustered")
-    return rounded(x.withColumns(parts).drop("x"), parts)
+    vectors = text.weight_vectors(docs, idf).drop("terms")
+    found = decompose.add_components(vectors, "vector", len(idf), 10, "TFIDF_clustered").drop("vector")
+    return rounded(found, found.columns[1:])
 
 
 @register("profile_svd")
@@ -65,7 +66,7 @@ def _(spark, d):
     CAST(eta AS DOUBLE) AS f2 FROM t_rows"""))
 def _(spark, d):
     rows = decompose.assemble(B.plan_rows_table(spark, d), ["transport_mode", "distance", "eta"])
-    values = decompose.vector_to_array("features")
+    values = vector_to_array("features")
     return rows.select("sid", "pos", *[values[i].alias(f"f{i}") for i in range(3)])
 
 

@@ -118,7 +118,8 @@ def wide(df: DataFrame, plans: str = "plans", keep: str = "last", missing_price:
 
 def unfold(df: DataFrame, plans: str = "plans", missing_price: int | None = None) -> DataFrame:
     """One row per plan with its display position ``pos``; price as number or ``missing_price``."""
-    rows = df.select("*", F.posexplode(plans).alias("pos", "_plan")).drop(plans)
+    # the outer form keeps Catalyst from parsing the text a second time for a size filter
+    rows = df.select("*", F.posexplode_outer(plans).alias("pos", "_plan")).drop(plans).where("pos IS NOT NULL")
     price = _price(F.col("_plan"))
     if missing_price is not None:
         price = F.coalesce(price, F.lit(missing_price))

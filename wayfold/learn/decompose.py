@@ -10,46 +10,39 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import PCA, ElementwiseProduct, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def svd_axes(df: DataFrame, column: str, k: int):
-    """Right singular vectors of a column of equal-length arrays, one list per component.
-
-    The largest entry of each is made positive, as the sign of a singular vector is free.
-    """
-    x = df.select(array_to_vector(column).alias("x"))
-    width = len(x.first()[0])
-    k = min(k, width)
+def fit_svd(df: DataFrame, vector: str, width: int, k: int):
+    """PCA model of the table and its mirror image, and the sign that makes each axis's largest entry positive."""
+    x = df.select(F.col(vector).alias("x"))
     mirror = ElementwiseProduct(scalingVec=Vectors.dense([-1.0] * width), inputCol="x", outputCol="m")
     both = x.unionAll(mirror.transform(x).select(F.col("m").alias("x")))
-    axes = PCA(k=k, inputCol="x", outputCol="c").fit(both).pc.toArray().T
-    out = []
-    for axis in axes:
-        largest = max(range(width), key=lambda i: (abs(axis[i]), -i))
-        sign = 1.0 if axis[largest] >= 0 else -1.0
-        out.append([float(v) * sign for v in axis])
-    return out
+    model = PCA(k=min(k, width), inputCol="x", outputCol="c").fit(both)
+    signs = []
+    for axis in model.pc.toArray().T:
+        largest = max(range(width), key=lambda i: (round(abs(axis[i]), 9), -i))
+        signs.append(1.0 if axis[largest] >= 0 else -1.0)
+    return model, signs
 
 
-def project(values: Column, axes: Sequence[Sequence[float]], prefix: str) -> dict[str, Column]:
-    """Components of an array of numbers along the axes."""
-    out = {}
-    for i, axis in enumerate(axes):
-        weights = F.array(*[F.lit(w) for w in axis])
-        products = F.zip_with(values, weights, lambda a, b: a * b)
-        out[f"{prefix}_{i}"] = F.aggregate(products, F.lit(0.0), lambda s, p: s + p)
-    return out
+def add_components(df: DataFrame, vector: str, width: int, k: int, prefix: str) -> DataFrame:
+    """``<prefix>_<i>``: the row's coordinates along the first ``k`` right singular vectors.
+
+    ``PCAModel`` multiplies without centring, which is what the projection needs.
+    """
+    model, signs = fit_svd(df, vector, width, k)
+    placed = model.setInputCol(vector).setOutputCol("_c").transform(df).withColumn("_c", vector_to_array("_c"))
+    return placed.withColumns({f"{prefix}_{i}": F.col("_c")[i] * F.lit(s) for i, s in enumerate(signs)}).drop("_c")
 
 
 def profile_components(profiles: DataFrame, columns: Sequence[str], k: int = 20) -> DataFrame:
     """``pid`` with its components ``PID_MainComp_<i>``; give the table with its sentinel row."""
-    arrays = profiles.select("pid", F.array(*[F.col(c).cast("double") for c in columns]).alias("_x"))
-    parts = project(F.col("_x"), svd_axes(arrays, "_x", k), "PID_MainComp")
-    return arrays.withColumns(parts).drop("_x")
+    vectors = VectorAssembler(inputCols=list(columns), outputCol="_v").transform(profiles).select("pid", "_v")
+    return add_components(vectors, "_v", len(columns), k, "PID_MainComp").drop("_v")
 
 
 def standardize(df: DataFrame, columns: Sequence[str], using: DataFrame | None = None) -> DataFrame:
@@ -66,5 +59,3 @@ def standardize(df: DataFrame, columns: Sequence[str], using: DataFrame | None =
 def assemble(df: DataFrame, columns: Sequence[str], name: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(columns), outputCol=name, handleInvalid="keep").transform(df)
 
-
-__all__ = ["assemble", "profile_components", "project", "standardize", "svd_axes", "vector_to_array"]

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import math
 
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +25,7 @@ def terms_of(words: Column) -> Column:
 
 def fit_idf(docs: DataFrame, terms: str = "terms", most: int = MOST_TERMS) -> dict[str, float]:
     """Smoothed inverse document frequency ``ln((1 + n) / (1 + df)) + 1`` per term, by term."""
-    counts = (docs.select(F.explode(F.array_distinct(F.concat(terms, F.array(F.lit(None).cast("string"))))).alias("t"))
+    counts = (docs.select(F.explode_outer(F.array_distinct(F.concat(terms, F.array(F.lit(None).cast("string"))))).alias("t"))
               .groupBy("t").agg(F.count(F.lit(1)).alias("df")).limit(most + 2).collect())
     if len(counts) > most + 1:
         raise ValueError(f"more than {most} terms")
@@ -44,7 +46,17 @@ def weigh(docs: DataFrame, idf: dict[str, float], terms: str = "terms", name: st
     return docs.withColumn("_raw", raw).withColumn("_length", length).withColumn(name, unit).drop("_raw", "_length")
 
 
-def dense_weights(weights: Column, vocabulary: list[str]) -> Column:
-    """One number per vocabulary term."""
-    held = F.map_from_entries(weights)
-    return F.transform(F.array(*[F.lit(t) for t in vocabulary]), lambda t: F.coalesce(F.try_element_at(held, t), F.lit(0.0)))
+def weight_rows(docs: DataFrame, key: str, weights: str = "weights") -> DataFrame:
+    """One row per document and term; every document has at least one term.
+
+    The outer form of ``inline`` stops Catalyst from deriving a size filter, which would
+    evaluate the whole weighing a second time below the projection.
+    """
+    return docs.select(key, F.inline_outer(weights))
+
+
+def weight_vectors(docs: DataFrame, idf: dict[str, float], terms: str = "terms", name: str = "vector") -> DataFrame:
+    """The same weights as sparse ML vectors over the vocabulary."""
+    counts = CountVectorizerModel.from_vocabulary(list(idf), inputCol=terms, outputCol="_tf").transform(docs)
+    scaled = ElementwiseProduct(scalingVec=Vectors.dense(list(idf.values())), inputCol="_tf", outputCol="_w").transform(counts)
+    return Normalizer(p=2.0, inputCol="_w", outputCol=name).transform(scaled).drop("_tf", "_w")

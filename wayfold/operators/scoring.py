@@ -131,10 +131,11 @@ def silhouette(df: DataFrame, features: str, cluster: str) -> DataFrame:
                                F.lit(r["q"] / r["n"]).alias("q"), F.lit(r["n"]).alias("n")) for r in rows])
     norm = F.aggregate(features, F.lit(0.0), lambda a, v: a + v * v)
     dot = lambda m: F.aggregate(F.zip_with(features, m, lambda a, b: a * b), F.lit(0.0), lambda a, p: a + p)
-    far = F.transform(cells, lambda c: F.struct(c["c"].alias("c"), c["n"].alias("n"), (F.col("_norm") - 2 * dot(c["mean"]) + c["q"]).alias("d")))
-    measured = df.withColumn("_norm", norm).withColumn("_d", far)
+    far = F.transform(cells, lambda c: F.struct(c["c"].alias("c"), c["n"].alias("n"), (c["q"] - 2 * dot(c["mean"])).alias("d")))
+    measured = df.withColumns({"_norm": norm, "_d": far})
     own = F.get(F.filter("_d", lambda e: e["c"] == F.col(cluster)), F.lit(0))
-    others = F.array_min(F.transform(F.filter("_d", lambda e: e["c"] != F.col(cluster)), lambda e: e["d"]))
-    a = own["d"] * own["n"] / (own["n"] - 1)
-    value = F.when(own["n"] > 1, (others - a) / F.greatest(a, others)).otherwise(F.lit(0.0))
+    nearest = F.array_min(F.transform(F.filter("_d", lambda e: e["c"] != F.col(cluster)), lambda e: e["d"]))
+    measured = measured.select(own["n"].alias("n"), (own["d"] + F.col("_norm")).alias("own"), (nearest + F.col("_norm")).alias("others"))
+    a, others = F.col("own") * F.col("n") / (F.col("n") - 1), F.col("others")
+    value = F.when(F.col("n") > 1, (others - a) / F.greatest(a, others)).otherwise(F.lit(0.0))
     return measured.select(value.alias("s")).agg(F.avg("s").alias("silhouette"), F.count("s").alias("n"))
