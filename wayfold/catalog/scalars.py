@@ -225,15 +225,13 @@ def per_session_sql(expressions):
 
 @register("plan_stats", per_session_sql(STATS_SQL))
 def _(spark, d):
-    stats = planlists.plan_stats(F.col("plans"))
-    df = lists_of(spark, d).withColumns(stats).select("sid", *stats)
-    return rounded(df, [c for c in stats if c.startswith(("mean", "std"))])
+    df = planlists.summarize(lists_of(spark, d), arg_modes=False).drop("plans", "plan_time")
+    return rounded(df, [c for c in df.columns if c.startswith(("mean", "std"))])
 
 
 @register("plan_arg_modes", per_session_sql(ARGS_SQL))
 def _(spark, d):
-    args = planlists.plan_arg_modes(F.col("plans"))
-    return lists_of(spark, d).withColumns(args).select("sid", *args)
+    return planlists.summarize(lists_of(spark, d), stats=False).drop("plans", "plan_time")
 
 
 @register("plan_first_mode", per_session_sql("coalesce(arg_min(transport_mode, pos), 0) AS first_mode"))
@@ -243,8 +241,7 @@ def _(spark, d):
 
 @register("mode_flags", per_session_sql(FLAGS_SQL))
 def _(spark, d):
-    flags = planlists.mode_flags(F.col("plans"))
-    return lists_of(spark, d).withColumns(flags).select("sid", *flags)
+    return planlists.add_mode_flags(lists_of(spark, d)).drop("plans", "plan_time")
 
 
 @register("wide_last_wins", per_session_sql(wide_sql("arg_max", "700")))

@@ -25,65 +25,63 @@ def _price(plan: Column) -> Column:
     return plan["price"].try_cast("int")
 
 
-def _values(plans: Column, measure: str) -> Column:
-    if measure == "price":
-        return F.transform(plans, lambda p: F.coalesce(_price(p), F.lit(0)))
-    return F.transform(plans, lambda p: p[MEASURES[measure]])
-
-
 def _if_any(plans: Column, value: Column, otherwise) -> Column:
     return F.when(F.size(plans) > 0, value).otherwise(F.lit(otherwise))
 
 
-def plan_stats(plans: Column) -> dict[str, Column]:
-    """Largest, smallest, mean and population deviation per measure; -1 without a plan."""
-    out = {}
-    for short in MEASURES:
-        values = _values(plans, short)
-        n = F.size(values)
-        total = F.aggregate(values, F.lit(0).cast("bigint"), lambda a, v: a + v)
-        squares = F.aggregate(values, F.lit(0).cast("bigint"), lambda a, v: a + v.cast("bigint") * v)
-        spread = F.sqrt((n * squares - total * total).cast("double")) / n
-        out[f"max_{short}"] = _if_any(plans, F.array_max(values), -1)
-        out[f"min_{short}"] = _if_any(plans, F.array_min(values), -1)
-        out[f"mean_{short}"] = _if_any(plans, total / n, -1.0)
-        out[f"std_{short}"] = _if_any(plans, spread, -1.0)
-    return out
-
-
-def _ranked_by(measure: str):
+def _measured(measure: str):
     def entry(p, i):
         value = F.coalesce(_price(p), F.lit(0)) if measure == "price" else p[MEASURES[measure]]
         return F.struct(value.alias("v"), i.alias("i"), p["transport_mode"].alias("mode"))
     return entry
 
 
-def _of_mode(mode: int):
-    return lambda p: p["transport_mode"] == mode
+def summarize(df: DataFrame, plans: str = "plans", stats: bool = True, arg_modes: bool = True) -> DataFrame:
+    """Per measure: largest, smallest, mean, population deviation, and the modes at the extremes.
 
+    Sessions without a plan get -1.  Of equal smallest values the first shown counts, of equal
+    largest ones the last.  The (value, position, mode) entries are built once per measure and
+    referenced several times, so Catalyst keeps them as a column of their own.
+    """
+    entries = {f"_e_{m}": F.transform(F.col(plans), _measured(m)) for m in MEASURES}
+    parts, out = {}, {}
+    for m in MEASURES:
+        e = F.col(f"_e_{m}")
+        parts[f"_hi_{m}"], parts[f"_lo_{m}"] = F.array_max(e), F.array_min(e)
+        if stats:
+            start = F.struct(F.lit(0).cast("bigint").alias("s"), F.lit(0).cast("bigint").alias("q"))
+            parts[f"_sums_{m}"] = F.aggregate(e, start, lambda a, x: F.struct(
+                (a["s"] + x["v"]).alias("s"), (a["q"] + x["v"].cast("bigint") * x["v"]).alias("q")))
+    some, n = F.col(plans), F.size(plans)
+    for m in MEASURES:
+        hi, lo = F.col(f"_hi_{m}"), F.col(f"_lo_{m}")
+        if stats:
+            total, squares = F.col(f"_sums_{m}.s"), F.col(f"_sums_{m}.q")
+            out[f"max_{m}"], out[f"min_{m}"] = _if_any(some, hi["v"], -1), _if_any(some, lo["v"], -1)
+            out[f"mean_{m}"] = _if_any(some, total / n, -1.0)
+            out[f"std_{m}"] = _if_any(some, F.sqrt((n * squares - total * total).cast("double")) / n, -1.0)
+        if arg_modes:
+            out[f"max_{m}_mode"] = _if_any(some, hi["mode"], -1)
+            out[f"min_{m}_mode"] = _if_any(some, lo["mode"], -1)
+    return df.withColumns(entries).withColumns(parts).drop(*entries).withColumns(out).drop(*parts)
 
-def plan_arg_modes(plans: Column) -> dict[str, Column]:
-    """Mode with the smallest / largest measure: first shown of the smallest, last of the largest."""
-    out = {}
-    for short in MEASURES:
-        entries = F.transform(plans, _ranked_by(short))
-        out[f"max_{short}_mode"] = _if_any(plans, F.array_max(entries)["mode"], -1)
-        out[f"min_{short}_mode"] = _if_any(plans, F.array_min(entries)["mode"], -1)
-    return out
+
+def _of_mode(mode: int):
+    return lambda p: p["transport_mode"] == mode
 
 
 def first_mode(plans: Column) -> Column:
     return F.coalesce(F.get(plans, F.lit(0))["transport_mode"], F.lit(0))
 
 
-def mode_flags(plans: Column, modes: Sequence[int] = MODES) -> dict[str, Column]:
+def add_mode_flags(df: DataFrame, plans: str = "plans", modes: Sequence[int] = MODES) -> DataFrame:
     """``mode_<i>_available``; mode 0 stands for "no plan"."""
-    shown = F.transform(plans, lambda p: p["transport_mode"])
-    out = {}
+    shown = df.withColumn("_shown", F.transform(plans, lambda p: p["transport_mode"]))
+    flags = {}
     for mode in modes:
-        has = (F.size(plans) == 0) if mode == 0 else F.array_contains(shown, F.lit(mode))
-        out[f"mode_{mode}_available"] = has.cast("int")
-    return out
+        has = (F.size("_shown") == 0) if mode == 0 else F.array_contains("_shown", F.lit(mode))
+        flags[f"mode_{mode}_available"] = has.cast("int")
+    return shown.withColumns(flags).drop("_shown")
 
 
 def mode_words(plans: Column) -> Column:

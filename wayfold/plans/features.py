@@ -19,10 +19,8 @@ from wayfold.schemas import PROFILE_COLUMNS
 
 def plan_features(df: DataFrame, plans: str = "plans", keep: str | None = "last") -> DataFrame:
     """Statistics, modes at extremes, flags and, unless ``keep`` is None, the wide columns of a parsed list."""
-    lists = F.col(plans)
-    out = df.withColumns({
-        **planlists.mode_flags(lists), **planlists.plan_stats(lists), **planlists.plan_arg_modes(lists),
-        "first_mode": planlists.first_mode(lists)})
+    out = planlists.summarize(planlists.add_mode_flags(df, plans), plans)
+    out = out.withColumn("first_mode", planlists.first_mode(F.col(plans)))
     if keep is None:
         return out
     return planlists.wide(out, plans, keep=keep, missing_price=700 if keep == "last" else 99999)
