@@ -1 +1,172 @@
-"""Section."""
+"""Models: cross-validated classifiers, rankers, stacking and clusters."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from wayfold import bindings as B
+from wayfold.bindings import oracle
+from wayfold.catalog import register
+from wayfold.catalog.scalars import coords_of, rounded
+from wayfold.functions import clock, encode, planlists
+from wayfold.functions.digest import digest60
+from wayfold.learn import classifiers, clusters, cross_validation, ranker, stacking
+from wayfold.operators import folds, joins, ranks, sampling, scoring
+from wayfold.schemas import MODES, PROFILE_COLUMNS
+from wayfold.session import cut_lineage, scratch_path
+
+TRIP = ["o_long", "o_lat", "d_long", "d_lat", "weekday", "hour", "first_mode", "min_dist_mode", "min_price_mode", "min_eta_mode",
+        "max_dist", "min_dist", "max_eta", "min_eta", "min_price", "mode_3_available", "mode_5_available", "mode_7_available"]
+
+
+def _sessions(spark, d, k=2):
+    """Labelled sessions with trip features and ``k`` shuffled folds, stored once."""
+    base = clock.weekday_hour(coords_of(spark, d))
+    base = base.join(B.plans_table(spark, d).drop("plan_time"), "sid", "left").join(
+        B.clicks_table(spark, d).select("sid", "click_mode"), "sid", "left")
+    parsed = base.withColumn("plans", planlists.parse_plans(F.col("plans")))
+    wide = planlists.summarize(planlists.add_mode_flags(parsed)).withColumn("first_mode", planlists.first_mode(F.col("plans")))
+    table = encode.label_response(wide).select("sid", "pid", "req_time", "click_mode", *TRIP)
+    return cut_lineage(folds.folds_shuffled(cut_lineage(table), k))
+
+
+def _plans(spark, d, k=2):
+    """Deduplicated plan rows with click, numeric price and mode flags; folds by session."""
+    rows = ranks.first_per(B.plan_rows_table(spark, d), ["sid", "transport_mode"], ["pos", "distance", "eta", "price"])
+    rows = rows.join(B.clicks_table(spark, d).select("sid", "click_mode"), "sid")
+    rows = rows.withColumn("price", F.coalesce(encode.number(F.col("price"), "int"), F.lit(0)))
+    rows = encode.one_hot(rows, "transport_mode", MODES[1:], prefix="mode")
+    return cut_lineage(rows.withColumn("fold", (digest60("sid", seed=3) % k).cast("int")))
+
+
+PLAN = ["distance", "eta", "price", *[f"mode_{m}" for m in MODES[1:]]]
+
+
+def _shown(oof):
+    return rounded(oof, [c for c in oof.columns if c.startswith("prob_")])
+
+
+@register("cv_classifier")
+def _(spark, d):
+    return _shown(cross_validation.cv_classifier(_sessions(spark, d), TRIP, classifiers.logistic(rounds=10), scaled=True))
+
+
+@register("clf_boosted")
+def _(spark, d):
+    table = _sessions(spark, d)
+    sizes = sampling.class_sizes(table, "click_mode")
+    even = sum(sizes.values()) // (4 * len(sizes))
+    balance = lambda train: cut_lineage(sampling.draw_exactly(train, "click_mode", {m: even for m in sizes}))
+    return _shown(cross_validation.cv_classifier(table, TRIP, classifiers.boosted(rounds=2, depth=3), balance=balance))
+
+
+@register("clf_forest")
+def _(spark, d):
+    return _shown(cross_validation.cv_classifier(_sessions(spark, d), TRIP, classifiers.forest(trees=10, depth=5)))
+
+
+@register("clf_tree")
+def _(spark, d):
+    table = _sessions(spark, d)
+    parts = [cross_validation.cv_classifier(table, TRIP, classifiers.tree(depth)).withColumn("depth", F.lit(depth)) for depth in (3, 5)]
+    return _shown(parts[0].unionByName(parts[1]))
+
+
+@register("clf_mlp")
+def _(spark, d):
+    table = _sessions(spark, d)
+    parts = [cross_validation.cv_classifier(table, TRIP, classifiers.net(len(TRIP), hidden, rounds=10), scaled=True)
+             .withColumn("layers", F.lit(len(hidden))) for hidden in (classifiers.SMALL_NET, classifiers.LARGE_NET)]
+    return _shown(parts[0].unionByName(parts[1]))
+
+
+@register("clf_knn", oracle("t_coords", "t_clicks", body="""WITH labelled AS (SELECT o_long, o_lat, click_mode FROM t_coords JOIN t_clicks USING (sid)),
+    spots AS (SELECT o_long, o_lat, count(*) AS n FROM labelled GROUP BY ALL),
+    places AS (SELECT DISTINCT o_long, o_lat FROM t_coords),
+    pairs AS (SELECT p.o_long, p.o_lat, s.o_long AS sx, s.o_lat AS sy, n, round(sqrt((p.o_long - s.o_long) * (p.o_long - s.o_long)
+    + (p.o_lat - s.o_lat) * (p.o_lat - s.o_lat)), 9) AS dist FROM places p CROSS JOIN spots s),
+    reach AS (SELECT *, sum(n) OVER (PARTITION BY o_long, o_lat ORDER BY dist) AS upto, sum(n) OVER (PARTITION BY o_long, o_lat, dist) AS same FROM pairs),
+    voters AS (SELECT o_long, o_lat, sx, sy FROM reach WHERE upto - same < 50),
+    ballots AS (SELECT v.o_long, v.o_lat, click_mode, count(*) AS m FROM voters v JOIN labelled l ON l.o_long = sx AND l.o_lat = sy GROUP BY ALL)
+    SELECT o_long, o_lat, arg_min(click_mode, -m * 100 + click_mode) AS prediction, CAST(sum(m) AS BIGINT) AS voters
+    FROM ballots GROUP BY o_long, o_lat"""))
+def _(spark, d):
+    points = coords_of(spark, d)
+    train = points.join(B.clicks_table(spark, d).select("sid", "click_mode"), "sid")
+    return classifiers.nearest_vote(train, points, "o_long", "o_lat", "click_mode", 50)
+
+
+@register("hyper_grid")
+def _(spark, d):
+    grid = {"maxDepth": [3, 5], "minInstancesPerNode": [1, 20]}
+    return rounded(cross_validation.hyper_grid(_sessions(spark, d), TRIP, classifiers.tree(), grid), ["weighted_f1", "accuracy"])
+
+
+@register("rank_pairwise")
+def _(spark, d):
+    scored = ranker.cv_ranker(_plans(spark, d), PLAN, rounds=10)
+    return rounded(scored.select("sid", "fold", "transport_mode", "score"), ["score"])
+
+
+@register("final_fit_predict")
+def _(spark, d):
+    table = folds.split_random(_sessions(spark, d))
+    train, test = table.where("split = 'train'"), table.where("split = 'test'")
+    return _shown(cross_validation.final_fit_predict(train, test, TRIP, classifiers.forest(10, 5), scratch_path(spark, "model")))
+
+
+@register("stack_fit")
+def _(spark, d):
+    table = _sessions(spark, d)
+    base = {f"depth{n}": cross_validation.cv_classifier(table, TRIP, classifiers.tree(n)) for n in (3, 5)}
+    stacked = cut_lineage(stacking.stack_features(base, B.clicks_table(spark, d)))
+    return _shown(stacking.stack_fit(stacked, table, classifiers.tree(5)))
+
+
+@register("predict_user_cluster")
+def _(spark, d):
+    labels = clusters.kmeans(B.profiles_table(spark, d), PROFILE_COLUMNS, 4, rounds=5)
+    table = cut_lineage(joins.identified(_sessions(spark, d)).join(labels, "pid"))
+    return _shown(cross_validation.cv_classifier(table, TRIP, classifiers.forest(5, 5), label="cluster", classes=range(4)))
+
+
+@register("rank_scores")
+def _(spark, d):
+    scored = ranker.cv_ranker(_plans(spark, d), PLAN, rounds=10).withColumn("score", F.round("score", 6))
+    best = scoring.best_per_session(scored, order=B.SHOWN).withColumnRenamed("transport_mode", "prediction")
+    truth = scored.select("sid", F.col("click_mode").alias("label")).distinct()
+    return rounded(scoring.metrics(best.join(truth, "sid")), ["weighted_f1", "accuracy", "weighted_recall", "weighted_precision"])
+
+
+@register("clu_kmeans")
+def _(spark, d):
+    return clusters.kmeans(B.profiles_table(spark, d), PROFILE_COLUMNS, 8)
+
+
+@register("clu_sweep")
+def _(spark, d):
+    return rounded(clusters.sweep(B.profiles_table(spark, d), PROFILE_COLUMNS, [2, 4, 8, 16, 36], rounds=5), ["silhouette", "cost"])
+
+
+@register("clu_kmodes")
+def _(spark, d):
+    return clusters.kmodes(B.profiles_table(spark, d), PROFILE_COLUMNS, 4, rounds=10)
+
+
+@register("clu_hier")
+def _(spark, d):
+    return clusters.hierarchy(B.profiles_table(spark, d), PROFILE_COLUMNS, 8)
+
+
+@register("clu_density")
+def _(spark, d):
+    return clusters.density(B.profiles_table(spark, d), PROFILE_COLUMNS[:10], 20)
+
+
+@register("cluster_table")
+def _(spark, d):
+    profiles = B.profiles_table(spark, d)
+    return clusters.cluster_table({
+        "kmeans_4": clusters.kmeans(profiles, PROFILE_COLUMNS, 4, rounds=5),
+        "kmeans_16": clusters.kmeans(profiles, PROFILE_COLUMNS, 16, rounds=5),
+        "hier_4": clusters.hierarchy(profiles, PROFILE_COLUMNS, 4, rounds=5)})

@@ -1,17 +1,28 @@
-"""Stacked models: out-of-fold tables side by side, with the label."""
+"""Stacked models: out-of-fold tables side by side, a second model on top."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.ml import Estimator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wayfold.learn.cross_validation import cv_classifier
 from wayfold.operators.joins import join_many
+from wayfold.operators.quality import check_columns
+from wayfold.schemas import MODES
 
 
 def stack_features(oof: Mapping[str, DataFrame], clicks: DataFrame) -> DataFrame:
     """Probabilities of every model on ``sid`` with the label (0 without a click); folds are left out."""
-    tables = {name: df.drop("fold") for name, df in oof.items()}
+    wanted = ["sid", *[f"prob_{m}" for m in MODES]]
+    tables = {name: check_columns(df, wanted).select(*wanted) for name, df in oof.items()}
     joined = join_many(tables).join(clicks.select("sid", "click_mode"), "sid", "left")
     return joined.withColumn("click_mode", F.coalesce("click_mode", F.lit(0)))
+
+
+def stack_fit(stacked: DataFrame, folds: DataFrame, estimator: Estimator) -> DataFrame:
+    """Cross-validate a second model on the stacked probabilities; ``folds`` is ``(sid, fold)``."""
+    features = [c for c in stacked.columns if c.startswith("prob_")]
+    return cv_classifier(stacked.join(folds.select("sid", "fold"), "sid"), features, estimator)

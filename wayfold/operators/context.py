@@ -52,6 +52,19 @@ def _cells(side: Column, x: str, y: str, reach: int) -> Column:
         (F.floor(F.col(x) / side) + s["i"]).alias("cx"), (F.floor(F.col(y) / side) + s["j"]).alias("cy")))
 
 
+def leveled(df: DataFrame) -> DataFrame:
+    """Every row once per grid level, with ``level`` and the cell ``side``."""
+    levels = F.array(*[F.struct(F.lit(n).alias("level"), F.lit(side).alias("side"))
+                       for n, side in enumerate(CELL_SIDES)])
+    return df.withColumn("_l", F.explode(levels)).select("*", "_l.level", "_l.side").drop("_l")
+
+
+def celled(df: DataFrame, x: str, y: str, reach: int) -> DataFrame:
+    """Every row once per cell up to ``reach`` cells away from its own, as ``cx`` and ``cy``."""
+    spread = df.withColumn("_c", F.explode(_cells(F.col("side"), x, y, reach)))
+    return spread.select("*", "_c.cx", "_c.cy").drop("_c")
+
+
 def nearest(points: DataFrame, x: str, y: str, sites: DataFrame, site_x: str, site_y: str) -> DataFrame:
     """Exact distance from every distinct point to its nearest distinct site: ``(x, y, dist)``.
 
@@ -62,14 +75,6 @@ def nearest(points: DataFrame, x: str, y: str, sites: DataFrame, site_x: str, si
     """
     places = points.select(F.col(x).alias("_x"), F.col(y).alias("_y")).dropna().distinct()
     spots = sites.select(F.round(site_x, 2).alias("_sx"), F.round(site_y, 2).alias("_sy")).dropna().distinct()
-    levels = F.array(*[F.struct(F.lit(n).alias("level"), F.lit(side).alias("side"))
-                       for n, side in enumerate(CELL_SIDES)])
-    leveled = lambda df: df.withColumn("_l", F.explode(levels)).select("*", "_l.level", "_l.side").drop("_l")
-
-    def celled(df, a, b, reach):
-        spread = df.withColumn("_c", F.explode(_cells(F.col("side"), a, b, reach)))
-        return spread.select("*", "_c.cx", "_c.cy").drop("_c")
-
     site_cells = celled(leveled(spots), "_sx", "_sy", 0)
     near = celled(leveled(spots), "_sx", "_sy", 1).select("level", "cx", "cy").distinct()
     own = celled(leveled(places), "_x", "_y", 0).join(near, ["level", "cx", "cy"], "left_semi")
