@@ -186,5 +186,8 @@ def oracle(*views: str, body: str) -> str:
     if not clauses:
         return tail
     if tail.upper().startswith("WITH "):
-        return f"WITH {clauses}, {tail[5:]}"
+        own = tail[5:].strip()
+        if own.upper().startswith("RECURSIVE "):
+            return f"WITH RECURSIVE {clauses}, {own[10:]}"
+        return f"WITH {clauses}, {own}"
     return f"WITH {clauses} {tail}"

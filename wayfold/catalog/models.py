@@ -158,7 +158,20 @@ def _(spark, d):
     return clusters.hierarchy(B.profiles_table(spark, d), PROFILE_COLUMNS, 8)
 
 
-@register("clu_density")
+_BITS = " || ".join(f"CAST({c} AS VARCHAR)" for c in PROFILE_COLUMNS[:10])
+_DIFFER = " + ".join(f"CAST(substr(a.bits, {i}, 1) <> substr(b.bits, {i}, 1) AS INT)" for i in range(1, 11))
+
+
+@register("clu_density", oracle("t_profiles", body=f"""WITH RECURSIVE users AS (SELECT pid, {_BITS} AS bits FROM t_profiles),
+    kinds AS (SELECT bits, count(*) AS n, min(pid) AS first FROM users GROUP BY bits),
+    near AS (SELECT a.bits, b.bits AS other, b.n FROM kinds a JOIN kinds b ON {_DIFFER} <= 1),
+    cores AS (SELECT bits FROM near GROUP BY bits HAVING sum(n) >= 20),
+    links AS (SELECT bits, other FROM near WHERE bits IN (FROM cores) AND other IN (FROM cores)),
+    reach AS (SELECT bits, bits AS other FROM cores UNION SELECT r.bits, l.other FROM reach r JOIN links l ON r.other = l.bits),
+    named AS (SELECT r.bits, min(first) AS cluster FROM reach r JOIN kinds k ON r.other = k.bits GROUP BY r.bits),
+    border AS (SELECT near.bits, min(cluster) AS cluster FROM near JOIN named ON near.other = named.bits GROUP BY near.bits)
+    SELECT pid, coalesce(n.cluster, b.cluster, -1) AS cluster FROM users u LEFT JOIN named n ON u.bits = n.bits
+    LEFT JOIN border b ON u.bits = b.bits"""))
 def _(spark, d):
     return clusters.density(B.profiles_table(spark, d), PROFILE_COLUMNS[:10], 20)
 

@@ -48,7 +48,7 @@ def _(spark, d):
 @register("profile_svd")
 def _(spark, d):
     profiles = setops.add_sentinel(B.profiles_table(spark, d))
-    found = decompose.profile_components(profiles, PROFILE_COLUMNS, 20)
+    found = decompose.profile_components(profiles, PROFILE_COLUMNS, 20).drop(*PROFILE_COLUMNS)
     return rounded(found, found.columns[1:])
 
 

@@ -29,19 +29,20 @@ def fit_svd(df: DataFrame, vector: str, width: int, k: int):
     return model, signs
 
 
-def add_components(df: DataFrame, vector: str, width: int, k: int, prefix: str) -> DataFrame:
+def add_components(df: DataFrame, vector: str, width: int, k: int, prefix: str, fitted_on: DataFrame | None = None) -> DataFrame:
     """``<prefix>_<i>``: the row's coordinates along the first ``k`` right singular vectors.
 
-    ``PCAModel`` multiplies without centring, which is what the projection needs.
+    The vectors come from ``fitted_on``, by default the table itself.  ``PCAModel`` multiplies
+    without centring, which is what the projection needs.
     """
-    model, signs = fit_svd(df, vector, width, k)
+    model, signs = fit_svd(df if fitted_on is None else fitted_on, vector, width, k)
     placed = model.setInputCol(vector).setOutputCol("_c").transform(df).withColumn("_c", vector_to_array("_c"))
     return placed.withColumns({f"{prefix}_{i}": F.col("_c")[i] * F.lit(s) for i, s in enumerate(signs)}).drop("_c")
 
 
 def profile_components(profiles: DataFrame, columns: Sequence[str], k: int = 20) -> DataFrame:
-    """``pid`` with its components ``PID_MainComp_<i>``; give the table with its sentinel row."""
-    vectors = VectorAssembler(inputCols=list(columns), outputCol="_v").transform(profiles).select("pid", "_v")
+    """The profile table with components ``PID_MainComp_<i>`` beside it; give it with its sentinel row."""
+    vectors = VectorAssembler(inputCols=list(columns), outputCol="_v").transform(profiles)
     return add_components(vectors, "_v", len(columns), k, "PID_MainComp").drop("_v")
 
 

@@ -21,8 +21,8 @@ def _spread(key: str, by: str) -> Column:
 
 
 def join_profiles(sessions: DataFrame, profiles: DataFrame, columns: Sequence[str] | None = None,
-                  unknown: str = "keep") -> DataFrame:
-    """Profile attributes by ``pid``; anonymous sessions get pid and attributes -1.
+                  unknown: str = "keep", anonymous: Mapping[str, float] | None = None) -> DataFrame:
+    """Profile attributes by ``pid``; anonymous sessions get pid and attributes -1, or those of ``anonymous``.
 
     A pid without profile keeps its row with null attributes (``unknown="keep"``) or loses it ("drop").
     """
@@ -33,8 +33,8 @@ def join_profiles(sessions: DataFrame, profiles: DataFrame, columns: Sequence[st
     joined = sessions.withColumn("_key", _spread("pid", "sid")).join(side, "_key", "left")
     if unknown == "drop":
         joined = joined.where(F.col("pid").isNull() | F.col("_found"))
-    anonymous = F.col("pid").isNull()
-    filled = {c: F.when(anonymous, F.lit(SENTINEL)).otherwise(F.col(c)) for c in columns}
+    given = anonymous or {}
+    filled = {c: F.when(F.col("pid").isNull(), F.lit(given.get(c, SENTINEL))).otherwise(F.col(c)) for c in columns}
     return joined.withColumns(filled).withColumn("pid", F.coalesce("pid", F.lit(SENTINEL))).drop("_key", "_found")
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayfold.functions.digest import BITS
+from wayfold.session import cut_lineage
 
 BUCKETS = 4096          # histogram cells per open interval and pass
 SMALL = 100_000         # an interval of at most this many rows is read value by value
@@ -137,9 +138,14 @@ def quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> list[float
     return out
 
 
-def fill_median(df: DataFrame, column: str) -> DataFrame:
-    """Null becomes the exact global median."""
-    (median,) = quantiles(df, column, [0.5])
+def fill_median(df: DataFrame, column: str, store: bool = False) -> DataFrame:
+    """Null becomes the exact global median.
+
+    ``store`` writes the one column to the checkpoint folder first; use it where ``df`` is costly
+    to compute, as the median takes a few passes.
+    """
+    values = df.select(column)
+    (median,) = quantiles(cut_lineage(values) if store else values, column, [0.5])
     return df.withColumn(column, F.coalesce(F.col(column).cast("double"), F.lit(median)))
 
 
@@ -185,14 +191,18 @@ def running_totals(df: DataFrame, key: str, value: str, name: str = "total", wid
             .drop("_block", "_offset"))
 
 
-def split_by_time(df: DataFrame, share: float = 0.8, time: str = "req_time", ties: Sequence[str] = ("sid",)) -> DataFrame:
-    """``split``: "train" for the first ``share`` of the rows in time order, else "test"; no time sorts last."""
-    keyed = df.withColumn("_t", F.coalesce(micros(time), F.lit(2**62)))
+def split_by_time(df: DataFrame, share: float = 0.8, time: str = "req_time", ties: Sequence[str] = ("sid",),
+                  basis: DataFrame | None = None) -> DataFrame:
+    """``split``: "train" for the first ``share`` of the rows in time order, else "test"; no time sorts last.
+
+    The cut is looked up in ``basis``, a cheaper table with the same times and ties, where one is given.
+    """
+    clock = F.coalesce(micros(time), F.lit(2**62)).alias("_t")
+    keyed = df.select("*", clock)
     columns = ["_t", *ties]
-    slim = keyed.select(*columns)
+    slim = (df if basis is None else basis).select(clock, *ties)
     limit = int(share * slim.count())
-    total_known = limit > 0
-    if not total_known:
+    if limit == 0:
         return df.withColumn("split", F.lit("test"))
     # the last training row, so that share = 1 needs no row beyond the end
     point = cut_points(slim, columns, [limit - 1])[limit - 1]

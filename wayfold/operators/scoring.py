@@ -88,12 +88,12 @@ def score_submission(submission: DataFrame, truth: DataFrame) -> DataFrame:
 
     Repeated rows count once; a sid predicted twice differently shows in ``conflicting``.
     """
-    one = submission.distinct().groupBy("sid").agg(F.min("prediction").alias("prediction"), F.count(F.lit(1)).alias("times"))
+    one = submission.groupBy("sid").agg(F.min("prediction").alias("prediction"), F.max("prediction").alias("_other"))
     joined = truth.join(one, "sid", "full")
     matched = F.col("label").isNotNull() & F.col("prediction").isNotNull()
     coverage = joined.agg(F.count_if(F.col("prediction").isNull()).alias("not_predicted"),
                           F.count_if(F.col("label").isNull()).alias("not_labelled"),
-                          F.count_if(F.col("times") > 1).alias("conflicting"))
+                          F.count_if(F.col("_other") != F.col("prediction")).alias("conflicting"))
     scores = metrics(joined.where(matched))
     return coverage.withColumn("_k", F.lit(1)).join(scores.withColumn("_k", F.lit(1)), "_k", "left").drop("_k")
 

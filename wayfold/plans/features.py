@@ -15,6 +15,7 @@ from wayfold.functions import clock, coords, encode, planlists
 from wayfold.learn import decompose, text
 from wayfold.operators import context, joins, ranks, setops
 from wayfold.schemas import PROFILE_COLUMNS
+from wayfold.session import cut_lineage
 
 
 def plan_features(df: DataFrame, plans: str = "plans", keep: str | None = "last") -> DataFrame:
@@ -34,21 +35,27 @@ def _parsed(df: DataFrame) -> DataFrame:
     return df.withColumn("plans", planlists.parse_plans(F.col("plans")))
 
 
-def add_text_components(df: DataFrame, plans: str = "plans", k: int = 10) -> DataFrame:
-    """``TFIDF_clustered_<i>`` of the mode documents."""
-    docs = df.withColumn("_terms", text.terms_of(planlists.mode_words(F.col(plans))))
+def add_text_components(df: DataFrame, plans: str = "plans", k: int = 10, basis: DataFrame | None = None) -> DataFrame:
+    """``TFIDF_clustered_<i>`` of the mode documents.
+
+    Weights and components are fitted on ``basis``, a cheaper table with the same lists, where one is given.
+    """
+    document = text.terms_of(planlists.mode_words(F.col(plans))).alias("_terms")
+    docs = cut_lineage((df if basis is None else basis).select(document))
     idf = text.fit_idf(docs, terms="_terms")
-    vectors = text.weight_vectors(docs, idf, terms="_terms", name="_vector").drop("_terms")
-    return decompose.add_components(vectors, "_vector", len(idf), k, "TFIDF_clustered").drop("_vector")
+    vectors = lambda table: text.weight_vectors(table, idf, terms="_terms", name="_vector").drop("_terms")
+    found = decompose.add_components(vectors(df.select("*", document)), "_vector", len(idf), k, "TFIDF_clustered", vectors(docs))
+    return found.drop("_vector")
 
 
-def add_profile_components(sessions: DataFrame, profiles: DataFrame, k: int = 20) -> DataFrame:
-    """``PID_MainComp_<i>`` of the session's profile; the anonymous row has its own."""
+def _joined_profiles(sessions: DataFrame, profiles: DataFrame, components: bool, unknown: str = "keep", k: int = 20) -> DataFrame:
+    """Profile attributes, with ``PID_MainComp_<i>`` beside them if asked; one join either way."""
+    if not components:
+        return joins.join_profiles(sessions, profiles, unknown=unknown)
     found = decompose.profile_components(setops.add_sentinel(profiles), PROFILE_COLUMNS, k)
-    parts = [c for c in found.columns if c != "pid"]
-    (anonymous,) = found.where("pid = -1").collect()
-    joined = joins.join_profiles(sessions, found.where("pid <> -1"), parts)
-    return joined.withColumns({c: F.when(F.col("pid") == -1, F.lit(anonymous[c])).otherwise(F.col(c)) for c in parts})
+    (sentinel,) = found.where("pid = -1").collect()
+    return joins.join_profiles(sessions, found.where("pid <> -1"), unknown=unknown,
+                               anonymous={c: sentinel[c] for c in found.columns if c != "pid"})
 
 
 def features_col(queries: DataFrame, plans: DataFrame, clicks: DataFrame | None, profiles: DataFrame, keep: str = "last",
@@ -57,17 +64,16 @@ def features_col(queries: DataFrame, plans: DataFrame, clicks: DataFrame | None,
 
     ``components`` adds the profile and text components, ``share`` the time-ordered ``split``.
     """
-    sessions = _sessions(queries)
-    if components:
-        sessions = sessions.join(add_profile_components(sessions.select("sid", "pid"), profiles).drop("pid"), "sid")
-    sessions = joins.join_profiles(sessions, profiles)
+    sessions = _joined_profiles(_sessions(queries), profiles, components)
     if clicks is not None:
         sessions = sessions.join(clicks, "sid", "left")
     joined = _parsed(joins.join_plans_full(sessions, plans))
     if share is not None:
-        joined = ranks.split_by_time(joined, share)
+        times = joins.join_plans_full(queries.select("sid", "req_time"), plans.select("sid"))
+        joined = ranks.split_by_time(joined, share, basis=times)
     if components:
-        joined = add_text_components(joined)
+        lists = joins.join_plans_full(queries.select("sid"), plans.select("sid", "plans"))
+        joined = add_text_components(joined, basis=_parsed(lists))
     table = plan_features(joined, keep=keep).drop("plans")
     return encode.label_response(table) if clicks is not None else table
 
@@ -79,19 +85,17 @@ def features_row(queries: DataFrame, plans: DataFrame, clicks: DataFrame | None,
     Sessions, lists, clicks and profiles are joined before the lists unfold, while there is one
     row per session to move.
     """
-    sessions = _sessions(queries)
-    if components:
-        sessions = sessions.join(add_profile_components(sessions.select("sid", "pid"), profiles).drop("pid"), "sid")
-    joined = sessions.join(plans, "sid")
+    joined = _sessions(queries).join(plans, "sid")
     if clicks is not None:
         joined = joined.join(clicks, "sid", "left").withColumn("click_mode", F.coalesce("click_mode", F.lit(0)))
-    joined = _parsed(joins.join_profiles(joined, profiles, unknown="drop"))
+    joined = _parsed(_joined_profiles(joined, profiles, components, unknown="drop"))
     if components:
-        joined = add_text_components(joined)
+        lists = queries.select("sid").join(plans.select("sid", "plans"), "sid", "left")
+        joined = add_text_components(joined, basis=_parsed(lists))
     rows = planlists.unfold(plan_features(joined, keep=None))
     if share is not None:
         rows = ranks.split_sessions_by_time(rows, share)
-    rows = ranks.fill_median(rows, "price")
+    rows = ranks.fill_median(rows, "price", store=True)
     return encode.label_response(rows) if clicks is not None else rows
 
 

@@ -19,6 +19,8 @@ def build_session(app: str = "wayfold", master: str | None = None, **conf: str)
         "spark.sql.ansi.enabled": "true",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # split a hot key even where the next operator could have reused the join's partitioning
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.ui.enabled": "false",
         **conf,
     }
