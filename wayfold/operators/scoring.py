@@ -95,7 +95,9 @@ def score_submission(submission: DataFrame, truth: DataFrame) -> DataFrame:
                           F.count_if(F.col("label").isNull()).alias("not_labelled"),
                           F.count_if(F.col("_other") != F.col("prediction")).alias("conflicting"))
     scores = metrics(joined.where(matched))
-    return coverage.withColumn("_k", F.lit(1)).join(scores.withColumn("_k", F.lit(1)), "_k", "left").drop("_k")
+    # two one-row tables side by side, without a join
+    both = coverage.unionByName(scores, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
 def ndcg(rows: DataFrame, score: str = "score", label: str = "target", order: Sequence[str] = ("pos",),
