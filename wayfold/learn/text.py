@@ -38,11 +38,13 @@ def fit_idf(docs: DataFrame, terms: str = "terms", most: int = MOST_TERMS) -> di
 def weigh(docs: DataFrame, idf: dict[str, float], terms: str = "terms", name: str = "weights") -> DataFrame:
     """Array of (term, weight), unit length per document, terms in order."""
     table = F.create_map(*[x for t, w in idf.items() for x in (F.lit(t), F.lit(w))])
-    known = F.filter(F.sort_array(F.array_distinct(terms)), lambda t: F.map_contains_key(table, t))
-    raw = F.transform(known, lambda t: F.struct(
-        t.alias("term"), (F.size(F.filter(terms, lambda u: u == t)) * F.try_element_at(table, t)).alias("weight")))
+    weight = lambda t: F.try_element_at(table, t) * (F.size(terms) - F.size(F.array_remove(terms, t)))
+    raw = F.transform(F.sort_array(F.array_distinct(terms)), lambda t: F.struct(t.alias("term"), weight(t).alias("weight")))
+    raw = F.filter(raw, lambda e: e["weight"].isNotNull())
     length = F.sqrt(F.aggregate("_raw", F.lit(0.0), lambda a, e: a + e["weight"] * e["weight"]))
-    unit = F.transform("_raw", lambda e: F.struct(e["term"].alias("term"), (e["weight"] / F.col("_length")).alias("weight")))
+    # a column used twice stays a column; used once it would be computed again for every term
+    scaled = lambda w: F.when(F.col("_length") > 0, w / F.col("_length")).otherwise(F.lit(0.0))
+    unit = F.transform("_raw", lambda e: F.struct(e["term"].alias("term"), scaled(e["weight"]).alias("weight")))
     return docs.withColumn("_raw", raw).withColumn("_length", length).withColumn(name, unit).drop("_raw", "_length")
 
 

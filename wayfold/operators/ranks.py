@@ -37,7 +37,7 @@ def _order_statistics(df: DataFrame, column: str, ranks: Sequence[int] | Callabl
     ``ranks`` may be a function of the number of rows.  Nulls are not counted.  The driver only sees histogram cells and at most ``small``
     distinct values per open interval.
     """
-    df = df.select(F.col(column).alias("v")).where("v IS NOT NULL")
+    df = df.select(F.col(column).alias("v"))
     n, low, high = df.agg(F.count("v"), F.min("v"), F.max("v")).first()
     ranks = ranks(n) if callable(ranks) else ranks
     for rank in ranks:
@@ -56,7 +56,9 @@ def _order_statistics(df: DataFrame, column: str, ranks: Sequence[int] | Callabl
             share = (F.col("v") - F.lit(lo)).cast("double") / F.lit(float(hi - lo))
             at = F.least(F.floor(share * BUCKETS).cast("int"), F.lit(BUCKETS - 1))
             cell, which = F.when(inside, at).otherwise(cell), F.when(inside, F.lit(number)).otherwise(which)
-        cells = (df.select("v", which.alias("which"), cell.alias("cell")).where("which IS NOT NULL")
+        # rows outside fall into one null cell; a filter would be pushed below the projection and
+        # compute the column once more for every comparison in it
+        cells = (df.select("v", which.alias("which"), cell.alias("cell"))
                  .groupBy("which", "cell").agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
                  .collect())
         narrowed = {}
@@ -73,7 +75,8 @@ def _order_statistics(df: DataFrame, column: str, ranks: Sequence[int] | Callabl
     narrow = sorted({i for rank, i in where.items() if rank not in found})
     if narrow:
         inside = reduce(lambda a, b: a | b, [F.col("v").between(F.lit(i[0]), F.lit(i[1])) for i in narrow])
-        counts = sorted((r[0], r[1]) for r in df.where(inside).groupBy("v").count().collect())
+        counted = df.select(F.when(inside, F.col("v")).alias("v")).groupBy("v").agg(F.count("v").alias("n")).collect()
+        counts = sorted((r["v"], r["n"]) for r in counted if r["v"] is not None)
         for interval in narrow:
             below = interval[2]
             steps = []
