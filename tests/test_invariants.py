@@ -243,7 +243,7 @@ def test_kmodes_and_kmeans_find_planted_groups(spark):
     rows = [(i, *[b ^ (rng.random() < 0.05) for b in base[i % 2]]) for i in range(200)]
     columns = [f"p{i}" for i in range(10)]
     df = spark.createDataFrame([tuple(map(int, r)) for r in rows], ["pid", *columns])
-    for found in (clusters.kmodes(df, columns, 2, seed=5), clusters.kmeans(df, columns, 2), clusters.hierarchy(df, columns, 2)):
+    for found in (clusters.kmodes(df, columns, 2), clusters.kmeans(df, columns, 2), clusters.hierarchy(df, columns, 2)):
         got = {r["pid"]: r["cluster"] for r in found.collect()}
         agree = sum(got[i] == got[i % 2] for i in range(200))
         assert len(got) == 200 and got[0] != got[1] and agree >= 190

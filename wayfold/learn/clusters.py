@@ -10,7 +10,6 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfold.functions.digest import digest60
 from wayfold.learn.decompose import assemble, standardize
 from wayfold.session import cut_lineage
 
@@ -27,8 +26,13 @@ def kmeans(profiles: DataFrame, columns: Sequence[str], k: int, key: str = "pid"
 
 
 def hierarchy(profiles: DataFrame, columns: Sequence[str], k: int, key: str = "pid", seed: int = 1, rounds: int = 10) -> DataFrame:
-    """``(pid, cluster)`` by repeated bisection down to ``k`` clusters."""
-    vectors = _vectors(profiles, columns, key)
+    """``(pid, cluster)`` by repeated bisection down to ``k`` clusters, on the attributes as they are.
+
+    ``BisectingKMeans`` parts a centre by noise in proportion to its length, so a centre at zero is
+    never split; a constant extra attribute keeps every centre away from zero and changes no distance.
+    """
+    raw = profiles.select(key, *columns, F.lit(1.0).alias("_one"))
+    vectors = assemble(raw, [*columns, "_one"]).select(key, "features")
     model = BisectingKMeans(k=k, seed=seed, maxIter=rounds, predictionCol="cluster").fit(vectors)
     return model.transform(vectors).select(key, "cluster")
 
@@ -48,26 +52,19 @@ def sweep(profiles: DataFrame, columns: Sequence[str], ks: Sequence[int], key: s
 MOST_VALUES = 100_000
 
 
-def kmodes(profiles: DataFrame, columns: Sequence[str], k: int, key: str = "pid", seed: int = 1, rounds: int = 20) -> DataFrame:
+def kmodes(profiles: DataFrame, columns: Sequence[str], k: int, key: str = "pid", rounds: int = 20) -> DataFrame:
     """``(pid, cluster)`` by k-modes: the centre is the commonest value per attribute, the distance the mismatches.
 
-    Starts from the ``k`` distinct profiles with the smallest digests.  The modes are k rows on the
-    driver; new ones come from counts per (cluster, attribute, value).
+    The modes are k rows on the driver; new ones come from counts per (cluster, attribute, value).
     """
-    kinds = profiles.select(*columns).distinct().withColumn("_h", digest60(*columns, seed=seed))
-    modes = [tuple(r[c] for c in columns) for r in kinds.orderBy("_h", *columns).limit(k).collect()]
     data = profiles.select(key, *columns)
+    modes = _first_modes(data, columns, k)
     for _ in range(rounds):
         placed = data.withColumn("cluster", _closest_mode(columns, modes))
-        cells = placed.select("cluster", F.inline(F.array(*[
-            F.struct(F.lit(i).alias("i"), F.col(c).alias("v")) for i, c in enumerate(columns)])))
-        counted = cells.groupBy("cluster", "i", "v").agg(F.count(F.lit(1)).alias("n"))
+        counted = _value_counts(placed, columns, ["cluster"])
         best = counted.groupBy("cluster", "i").agg(F.min(F.struct((-F.col("n")).alias("n"), F.col("v").alias("v"))).alias("b"))
-        found = best.select("cluster", "i", "b.v").limit(MOST_VALUES + 1).collect()
-        if len(found) > MOST_VALUES:
-            raise ValueError("too many clusters and attributes for modes on the driver")
         new = [list(m) for m in modes]
-        for r in found:
+        for r in _few(best.select("cluster", "i", "b.v")):
             new[r["cluster"]][r["i"]] = r["v"]
         new = [tuple(m) for m in new]
         if new == modes:
@@ -76,6 +73,48 @@ def kmodes(profiles: DataFrame, columns: Sequence[str], k: int, key: str = "pid"
     return data.select(key, _closest_mode(columns, modes).alias("cluster"))
 
 
+def _few(df: DataFrame) -> list:
+    rows = df.limit(MOST_VALUES + 1).collect()
+    if len(rows) > MOST_VALUES:
+        raise ValueError("too many clusters, attributes or values for modes on the driver")
+    return rows
+
+
+def _value_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Rows per ``by`` group, attribute number ``i`` and value ``v``."""
+    cells = F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).alias("v")) for i, c in enumerate(columns)])
+    return df.select(*by, F.inline_outer(cells)).groupBy(*by, "i", "v").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _first_modes(data: DataFrame, columns: Sequence[str], k: int) -> list[tuple]:
+    """Starting modes: the profile of the commonest values, then always the one that is both common and far.
+
+    A profile's weight is the summed frequency of its values; each further mode has the largest
+    smallest product of weight and mismatches to the modes so far.
+    """
+    frequency: dict[int, dict] = {}
+    for r in _few(_value_counts(data, columns)):
+        frequency.setdefault(r["i"], {})[r["v"]] = r["n"]
+    pieces = []
+    for i, c in enumerate(columns):
+        table = F.create_map(*[x for v, n in frequency[i].items() if v is not None for x in (F.lit(v), F.lit(n))])
+        pieces.append(F.coalesce(F.try_element_at(table, F.col(c)), F.lit(0)))
+    kinds = cut_lineage(data.select(*columns).distinct().withColumn("_w", reduce(lambda a, b: a + b, pieces).cast("bigint")))
+    modes: list[tuple] = []
+    while len(modes) < k:
+        if modes:
+            row = F.array(*[F.col(c) for c in columns])
+            far = [F.size(F.filter(F.zip_with(row, F.array(*[F.lit(v) for v in m]), lambda a, b: a != b), lambda x: x)) for m in modes]
+            score = F.col("_w") * (F.least(*far) if len(far) > 1 else far[0])
+        else:
+            score = F.col("_w")
+        (top,) = kinds.withColumn("_s", score).orderBy(F.desc("_s"), *columns).limit(1).collect()
+        if modes and top["_s"] == 0:
+            raise ValueError(f"fewer than {k} distinct profiles")
+        modes.append(tuple(top[c] for c in columns))
+    return modes
+
+
 def _closest_mode(columns: Sequence[str], modes: Sequence[tuple]):
     """Number of the mode with the fewest mismatches, the first one on ties."""
     row = F.array(*[F.col(c) for c in columns])
