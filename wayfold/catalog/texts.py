@@ -14,6 +14,7 @@ from wayfold.catalog.scalars import coords_of, lists_of, rounded
 from wayfold.functions import encode, hexgrid, planlists
 from wayfold.learn import decompose, text
 from wayfold.operators import runs, setops
+from wayfold.plans.features import add_text_components
 from wayfold.schemas import PROFILE_COLUMNS
 
 
@@ -38,10 +39,7 @@ def _(spark, d):
 
 @register("mode_svd")
 def _(spark, d):
-    docs = _documents(spark, d)
-    idf = text.fit_idf(docs)
-    vectors = text.weight_vectors(docs, idf).drop("terms")
-    found = decompose.add_components(vectors, "vector", len(idf), 10, "TFIDF_clustered").drop("vector")
+    found = add_text_components(lists_of(spark, d)).drop("plans", "plan_time")
     return rounded(found, found.columns[1:])
 
 
