@@ -34,7 +34,7 @@ def test_session_table_scans_each_input_once(spark, sf_dir):
     assert plan.count("orders.parquet") == 3 and plan.count("customer.parquet") == 1
 
 
-def test_time_cut_reaches_the_scan(spark, sf_dir):
+def test_scan_reads_only_the_needed_columns(spark, sf_dir):
     plan = plan_of(QUERIES["join_plans_left"](spark, sf_dir))
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_linenumber:int,l_quantity:double>" in plan
 

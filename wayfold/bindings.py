@@ -9,7 +9,6 @@ bindings add no shuffle to what a query measures.  ``ORACLE`` holds the same vie
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from wayfold.schemas import PROFILE_COLUMNS, WEATHER
 

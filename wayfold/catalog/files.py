@@ -8,7 +8,6 @@ from wayfold import bindings as B
 from wayfold.bindings import SHOWN, oracle
 from wayfold.catalog import register
 from wayfold.operators import ranks
-from wayfold.schemas import PROFILE_COLUMNS, WEATHER
 from wayfold.session import scratch_path
 from wayfold.sources import readers, writers
 

@@ -147,11 +147,6 @@ def _(spark, d):
     return found.select("sid", "dist_nearest_sub")
 
 
-def district_sql(end):
-    return f"""(SELECT arg_min(idx, sqrt(({end}_long - t.o_long) * ({end}_long - t.o_long)
-        + ({end}_lat - t.o_lat) * ({end}_lat - t.o_lat)) * 1e12 + idx) FROM t_districts t)"""
-
-
 @register("nearest_district", oracle("t_coords", "t_districts", body="""WITH pairs AS (
     SELECT sid, idx, sqrt((c.o_long - t.o_long) * (c.o_long - t.o_long) + (c.o_lat - t.o_lat) * (c.o_lat - t.o_lat)) AS od,
     sqrt((d_long - t.o_long) * (d_long - t.o_long) + (d_lat - t.o_lat) * (d_lat - t.o_lat)) AS dd

@@ -9,7 +9,7 @@ from wayfold.bindings import SHOWN, oracle
 from wayfold.catalog import register
 from wayfold.catalog.scalars import rounded
 from wayfold.functions.encode import rank_target
-from wayfold.operators import joins, ranks, scoring
+from wayfold.operators import ranks, scoring
 from wayfold.schemas import MODES
 
 STAND_IN = "((sid * 31 + transport_mode * 17) % 101) / CAST(101 AS DOUBLE)"

@@ -80,7 +80,6 @@ def _hex_sql(end, n):
     return f"'{n}:' || CAST(CAST({cq} AS BIGINT) AS VARCHAR) || ':' || CAST(CAST({cr} AS BIGINT) AS VARCHAR)"
 
 
-_DOUBLE_COORDS = "CAST({0} AS DOUBLE)"
 _CELLS_SQL = ", ".join(f"{_hex_sql(end, n)} AS {end}_cell_{n}" for n in hexgrid.EDGE for end in ("o", "d"))
 
 
