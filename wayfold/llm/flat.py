@@ -16,9 +16,9 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 _RANDOM = np.random.Generator(np.random.PCG64(20240607))
 _BYTE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64)
-_MULTIPLIERS = _RANDOM.integers(1, 2**63, (2, 64), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_STEP = 0x9E3779B97F4A7C15 | 1
+_STEP = 0x9E3779B97F4A7C15
 _BACK = pow(_STEP, -1, 2**64)
+_BASES = [(p, pow(p, -1, 2**64)) for p in (0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7)]
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -70,9 +70,10 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def _power(n: int, base: int, key: str) -> np.ndarray:
+    """Powers of an odd base, kept between calls; the array doubles when a long text needs more."""
     known = _powers.get(key)
     if known is None or len(known) < n:
-        known = np.full(max(n, SLICE_BYTES + 1), base, np.uint64)
+        known = np.full(1 << max(n, 1 << 16).bit_length(), base, np.uint64)
         known[0] = 1
         np.cumprod(known, out=known)
         if n <= 4 * SLICE_BYTES:
@@ -88,15 +89,12 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(own + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def window_hashes(words: np.ndarray, width: int, which: int = 0) -> np.ndarray:
-    """A hash of every run of ``width`` consecutive word hashes; ``which`` picks one of two independent families."""
-    count = len(words) - width + 1
-    if count <= 0:
-        return np.zeros(0, np.uint64)
-    total = np.zeros(count, np.uint64)
-    for j in range(width):
-        total += words[j:j + count] * _MULTIPLIERS[which, j]
-    return mix(total)
+def window_hashes(words: np.ndarray, width: int, at: np.ndarray, which: int = 0) -> np.ndarray:
+    """A hash of the ``width`` word hashes from each index in ``at``; ``which`` picks one of two independent families."""
+    base, back = _BASES[which]
+    total = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * _power(len(words), base, f"up{which}"), out=total[1:])
+    return mix((total[at + width] - total[at]) * _power(len(words) + 1, back, f"down{which}")[at])
 
 
 def windows_inside(firsts: np.ndarray, width: int) -> np.ndarray:

@@ -18,4 +18,19 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n,
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
-SQL: dict[str, str] = {"op9_substring_dedup": _OP9}
+_LOWER = "translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_OP3 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.format(text=_LOWER.format(text='text'))} AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [ws]
+        ELSE list_transform(range(1, len(ws) - 1), lambda i: list_slice(ws, i, i + 2)) END) AS k FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (k) WHERE a.doc_id <> b.doc_id
+      GROUP BY ALL),
+e AS MATERIALIZED (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+      WHERE 100 * c >= 90 * (x.n + y.n - c)),
+r AS (SELECT doc_id, doc_id AS label FROM documents UNION SELECT e.b, r.label FROM r JOIN e ON e.a = r.doc_id)
+SELECT d.doc_id, CAST(coalesce(max(n.n), 0) AS BIGINT) AS n_shingles, min(r.label) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN r USING (doc_id) GROUP BY d.doc_id
+"""
+
+SQL: dict[str, str] = {"op3_jaccard_join": _OP3, "op9_substring_dedup": _OP9}

@@ -28,3 +28,10 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     done = remove_repeats(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
+
+
+@register
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wayfold.llm.jaccard import components_by_jaccard
+
+    return components_by_jaccard(table(spark, sf_dir, "documents"), width=3, percent=90)

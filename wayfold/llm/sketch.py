@@ -12,11 +12,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 BLOCK_BITS = 22
-SENT = "plane int, block int, chunk int, low binary, sizes binary, again binary"
-BACK = "chunk int, plane int, block int, low binary, sizes binary, counts binary"
+#: What is sent to and from a chunk; ``kind`` is the plane for cells, else what the sender says.
+MAIL = "chunk int, kind int, block int, id long, a binary, b binary, c binary"
+MAIL_ARROW = pa.schema([("chunk", pa.int32()), ("kind", pa.int32()), ("block", pa.int32()), ("id", pa.int64()),
+                        ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary())])
+HEADS = -1
 _PARTS = 1 << (BLOCK_BITS - 16)
 
 
@@ -25,7 +30,12 @@ def plane_bits(expected: int, spread: int = 4) -> int:
     return max(BLOCK_BITS, int(max(expected, 1) * spread - 1).bit_length())
 
 
-def cells(hashes: np.ndarray, bits: int) -> np.ndarray:
+def cells(hashes: np.ndarray, bits: int, plane: int = 0) -> np.ndarray:
+    """The cell of each 64-bit hash in a plane of ``2 ** bits`` cells."""
+    if plane:
+        hashes = hashes * np.uint64(0xC2B2AE3D27D4EB4F)
+        hashes ^= hashes >> np.uint64(29)
+        hashes *= np.uint64(0x9E3779B185EBCA87)
     return hashes >> np.uint64(64 - bits)
 
 
@@ -40,8 +50,23 @@ def _unpack(low: bytes, sizes: bytes) -> np.ndarray:
     return high | np.frombuffer(low, np.uint16)
 
 
+def mail(rows: list[dict]) -> pa.Table:
+    return pa.Table.from_pylist(rows, schema=MAIL_ARROW)
+
+
+def heads_mail(heads: DataFrame) -> DataFrame:
+    """Rows of ``(chunk, id)`` as mail to the chunks."""
+    null = F.lit(None)
+    return heads.select("chunk", F.lit(HEADS).alias("kind"), null.cast("int").alias("block"), "id",
+                        *[null.cast("binary").alias(c) for c in "abc"])
+
+
+def heads_of(right: pa.Table) -> np.ndarray:
+    return right.filter(pc.equal(right["kind"], HEADS))["id"].to_numpy()
+
+
 def send(planes: list[np.ndarray], chunk: int) -> Iterator[dict]:
-    """Rows of :data:`SENT` for one chunk; ``planes`` are its cell numbers, repeats included."""
+    """Mail to the merging tasks from one chunk; ``planes`` are its cell numbers, repeats included."""
     for plane, at in enumerate(planes):
         at = np.sort(at)
         new = np.ones(len(at), bool)
@@ -54,54 +79,51 @@ def send(planes: list[np.ndarray], chunk: int) -> Iterator[dict]:
         cuts = np.append(np.flatnonzero(np.diff(blocks, prepend=-1)), len(at))
         for first, last in zip(cuts[:-1], cuts[1:], strict=True):
             low, sizes = _pack(inside[first:last])
-            yield {"plane": plane, "block": int(blocks[first]), "chunk": chunk, "low": low, "sizes": sizes,
-                   "again": np.packbits(again[first:last]).tobytes()}
-
-
-def table(rows: list[dict], schema: pa.Schema) -> pa.Table:
-    return pa.Table.from_pylist(rows, schema=schema)
-
-
-SENT_ARROW = pa.schema([("plane", pa.int32()), ("block", pa.int32()), ("chunk", pa.int32()), ("low", pa.binary()),
-                        ("sizes", pa.binary()), ("again", pa.binary())])
-BACK_ARROW = pa.schema([("chunk", pa.int32()), ("plane", pa.int32()), ("block", pa.int32()), ("low", pa.binary()),
-                        ("sizes", pa.binary()), ("counts", pa.binary())])
+            yield {"chunk": chunk, "kind": plane, "block": int(blocks[first]), "a": low, "b": sizes,
+                   "c": np.packbits(again[first:last]).tobytes()}
 
 
-def merge(sent: DataFrame) -> DataFrame:
-    """Rows of :data:`BACK`: each chunk's cells that were met twice or more over all chunks."""
+def merge(sent: DataFrame, counted: bool = True) -> DataFrame:
+    """Mail back to the chunks: those of their cells that were met twice or more over all chunks, if ``counted`` with counts."""
     def block(group: pa.Table) -> pa.Table:
         total = np.zeros(1 << BLOCK_BITS, np.uint32)
         rows = group.to_pylist()
         for r in rows:
-            at = _unpack(r["low"], r["sizes"])
+            at = _unpack(r["a"], r["b"])
             total[at] += 1
-            again = np.unpackbits(np.frombuffer(r["again"], np.uint8), count=len(at)).astype(bool)
+            again = np.unpackbits(np.frombuffer(r["c"], np.uint8), count=len(at)).astype(bool)
             total[at[again]] += 1
         out = []
         for r in rows:
-            at = _unpack(r["low"], r["sizes"])
+            at = _unpack(r["a"], r["b"])
             at = at[total[at] >= 2]
             if len(at):
                 low, sizes = _pack(at)
-                out.append({"chunk": r["chunk"], "plane": r["plane"], "block": r["block"], "low": low, "sizes": sizes,
-                            "counts": np.minimum(total[at], 65535).astype(np.uint16).tobytes()})
-        return table(out, BACK_ARROW)
-    return sent.groupBy("plane", "block").applyInArrow(block, BACK)
-
-
-def received(back: pa.Table, plane: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted cell numbers of a plane that came back, and their counts."""
-    rows = sorted((r for r in back.to_pylist() if r["plane"] == plane), key=lambda r: r["block"])
-    if not rows:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint16)
-    at = [_unpack(r["low"], r["sizes"]).astype(np.uint64) + np.uint64(r["block"] << BLOCK_BITS) for r in rows]
-    return np.concatenate(at), np.concatenate([np.frombuffer(r["counts"], np.uint16) for r in rows])
-
-
-def look_up(at: np.ndarray, known: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The count of each cell: what came back, else 1."""
-    if not len(known):
-        return np.ones(len(at), np.uint16)
-    place = np.minimum(np.searchsorted(known, at), len(known) - 1)
-    return np.where(known[place] == at, counts[place], np.uint16(1))
+                counts = np.minimum(total[at], 65535).astype(np.uint16).tobytes() if counted else None
+                out.append({"chunk": r["chunk"], "kind": r["kind"], "block": r["block"], "a": low, "b": sizes, "c": counts})
+        return mail(out)
+    return sent.groupBy("kind", "block").applyInArrow(block, MAIL)
+
+
+class Returned:
+    """The cells of one plane that came back to a chunk."""
+
+    def __init__(self, right: pa.Table, plane: int) -> None:
+        rows = sorted(right.filter(pc.equal(right["kind"], plane)).to_pylist(), key=lambda r: r["block"])
+        parts = [_unpack(r["a"], r["b"]).astype(np.uint64) + np.uint64(r["block"] << BLOCK_BITS) for r in rows]
+        self.cells = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+        counts = [np.frombuffer(r["c"], np.uint16) for r in rows if r["c"] is not None]
+        self.counts = np.concatenate(counts) if counts else np.full(len(self.cells), 2, np.uint16)
+        self._mask = np.uint64((1 << 22) - 1)
+        self._maybe = np.zeros(1 << 22, bool)
+        self._maybe[self.cells & self._mask] = True
+
+    def estimates(self, at: np.ndarray) -> np.ndarray:
+        """The count of each cell: what came back, else 1."""
+        found = np.ones(len(at), np.uint16)
+        seen = np.flatnonzero(self._maybe[at & self._mask])
+        if len(seen):
+            place = np.minimum(np.searchsorted(self.cells, at[seen]), len(self.cells) - 1)
+            same = self.cells[place] == at[seen]
+            found[seen[same]] = self.counts[place[same]]
+        return found
