@@ -35,3 +35,58 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wayfold.llm.jaccard import components_by_jaccard
 
     return components_by_jaccard(table(spark, sf_dir, "documents"), width=3, percent=90)
+
+
+@register
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wayfold.llm.langid import identify, train
+
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    model = train(docs.filter(~held_out))
+    return identify(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@register
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wayfold.llm.secrets import find_secrets, train
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return find_secrets(docs, train(docs)).select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base"), 256).alias("base_sha256"), "spans")
+
+
+@register
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from wayfold.llm.pieces import decode, encode
+
+    path = str(public_tokenizers.path("piece_bpe_32k.model"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = decode(encode(docs, path, layout="bytes", keep_text=False), path)
+    return done.select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@register
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from wayfold.llm.packing import pack_documents
+
+    return pack_documents(table(spark, sf_dir, "documents"), str(public_tokenizers.path("byte_bpe_50k.json")))
+
+
+@register
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wayfold.llm.warc import archive_pages
+
+    return archive_pages(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register
+def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wayfold.llm.topk import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
