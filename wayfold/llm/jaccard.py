@@ -13,7 +13,7 @@ from wayfold.llm import flat, sketch
 from wayfold.llm.frames import chunk_count, chunk_of, stored, text_bytes
 from wayfold.llm.graph import components
 
-MAX_MATCHES = 8
+MAX_MATCHES = 16
 #: Set elements compared in the time one posting is probed.
 PROBE = 8
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -90,8 +90,8 @@ def _sets(docs: DataFrame, heads: DataFrame, width: int, percent: int, bits: int
     dealt, named = docs.groupBy("chunk"), sketch.heads_mail(heads)
     back = sketch.merge(dealt.cogroup(named.groupBy("chunk")).applyInArrow(count, sketch.MAIL))
     longs = pa.list_(pa.int64())
-    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("asked", pa.int32()), ("prefix", longs),
-                        ("level", pa.list_(pa.int32())), ("tokens", longs)])
+    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("lone", pa.int64()), ("asked", pa.int32()), ("prefix", longs),
+                        ("place", pa.list_(pa.int32())), ("tokens", longs)])
 
     def choose(group: pa.Table, right: pa.Table) -> pa.Table:
         out: list[list] = [[] for _ in schema]
@@ -103,21 +103,21 @@ def _sets(docs: DataFrame, heads: DataFrame, width: int, percent: int, bits: int
                 alone = np.append(0, np.cumsum(estimates == 1))
                 sizes = np.diff(bounds)
                 # as many lone tokens as the shortest prefix is long: no partner can exist
-                probed = alone[bounds[1:]] - alone[bounds[:-1]] < sizes - -(-percent * sizes // 100) + 1
+                lone = alone[bounds[1:]] - alone[bounds[:-1]]
+                probed = lone < sizes - -(-percent * sizes // 100) + 1
                 for i in np.flatnonzero(probed & (sizes > 0)):
                     own, est = tokens[bounds[i]:bounds[i + 1]], estimates[bounds[i]:bounds[i + 1]]
                     order = np.argsort(est, kind="stable")
                     one, asked = _prefix(est[order], percent)
                     order = order[:one + asked - 1]
-                    level = np.maximum(np.arange(len(order)) - one + 2, 1)
-                    shared = est[order] > 1
-                    for where, value in zip(out, (ids[low + i], len(own), asked, own[order][shared].view(np.int64),
-                                                  level[shared], own.view(np.int64)), strict=True):
+                    shared = np.flatnonzero(est[order] > 1)
+                    for where, value in zip(out, (ids[low + i], len(own), lone[i], asked, own[order[shared]].view(np.int64),
+                                                  shared, own.view(np.int64)), strict=True):
                         where.append(value)
         return pa.table([pa.array(values, f.type) for values, f in zip(out, schema, strict=True)], schema=schema)
 
     return dealt.cogroup(named.union(back).groupBy("chunk")).applyInArrow(
-        choose, "id long, n long, asked int, prefix array<long>, level array<int>, tokens array<long>")
+        choose, "id long, n long, lone long, asked int, prefix array<long>, place array<int>, tokens array<long>")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -130,24 +130,29 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _links(sets: DataFrame, percent: int) -> DataFrame:
     """Links between class heads that connect all that are similar, without every pair inside a dense group."""
-    postings = sets.select("id", "n", "asked", F.explode(F.arrays_zip("prefix", "level")).alias("p")).select(
-        "id", "n", "asked", F.col("p.prefix").alias("token"), F.col("p.level").alias("level"))
-    tokens = postings.groupBy("token").agg(F.min("id").alias("pivot"), F.max("id").alias("most")).filter("pivot < most")
-    shared = stored(postings.join(tokens.drop("most"), "token"), "postings")
-    # each document against the smallest id it shares most tokens with: joins dense groups at a linear price
-    stars = shared.filter("id > pivot").groupBy("id", "pivot").count().groupBy("id").agg(
+    postings = sets.select("id", "n", "lone", "asked", F.explode(F.arrays_zip("prefix", "place")).alias("p")).select(
+        "id", "n", "lone", "asked", F.col("p.prefix").alias("token"), F.col("p.place").alias("place"))
+    tokens = postings.groupBy("token").agg(F.min(F.struct("lone", "id")).alias("pivot"), F.min("id").alias("x"), F.max("id").alias("y"))
+    tokens = tokens.filter("x < y").select("token", F.col("pivot.id").alias("pivot"))
+    shared = stored(postings.join(tokens, "token"), "postings")
+    # each document against the one with the fewest lone tokens that it shares most with, which joins dense groups at a
+    # linear price: the text that near copies come from has no token of its own
+    stars = shared.filter("id <> pivot").groupBy("id", "pivot").count().groupBy("id").agg(
         F.max(F.struct("count", (-F.col("pivot")).alias("b"))).alias("top")).select(F.col("id").alias("a"), (-F.col("top.b")).alias("b"))
     star_links = stored(_linked(stars, sets, percent), "stars")
     labels = components(star_links)
     # the join proper: only tokens that still meet in more than one group, only pairs of different groups
-    group = F.coalesce("label", "id").alias("grp")
-    placed = shared.drop("pivot").join(labels, "id", "left").select("id", "n", "asked", "token", "level", group)
+    placed = shared.drop("pivot").join(labels, "id", "left").withColumn("grp", F.coalesce("label", "id")).drop("label")
     mixed = placed.groupBy("token").agg(F.min("grp").alias("x"), F.max("grp").alias("y")).filter("x < y").select("token")
     placed = placed.join(mixed, "token")
-    side = lambda x: placed.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("id", "n", "asked", "level", "grp")])
+    side = lambda x: placed.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("id", "n", "lone", "asked", "place", "grp")])
     asked = F.least("asked_a", "asked_b")
-    near: Column = (F.col("id_a") > F.col("id_b")) & (F.col("grp_a") != F.col("grp_b")) & (
-        100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (F.greatest("level_a", "level_b") <= asked)
+    # the overlap that the two sizes ask for, and what each side may miss of it
+    overlap = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent))
+    near: Column = (F.col("id_a") > F.col("id_b")) & (F.col("grp_a") != F.col("grp_b"))
+    for x in "ab":
+        missed = F.col(f"n_{x}") - overlap
+        near &= (F.col(f"lone_{x}") <= missed) & (F.col(f"place_{x}") < missed + asked)
     pairs = side("a").join(side("b"), "token").filter(near).groupBy(F.col("id_a").alias("a"), F.col("id_b").alias("b")).agg(
         F.count("*").alias("met"), F.max(asked).alias("asked")).filter("met >= asked").select("a", "b")
     return star_links.union(_linked(pairs, sets, percent))
@@ -164,7 +169,8 @@ def components_by_jaccard(docs: DataFrame, *, width: int = 3, percent: int = 90,
     low (:mod:`wayfold.llm.sketch`); tokens are ordered by it, rarest first.  Each class picks how many prefix tokens
     (``asked``) a partner must share: more tokens make the prefix longer and the comparisons fewer.  A pair is compared
     if it shares as many tokens as the smaller of its two numbers within the prefixes of that number, which no similar
-    pair can miss.  A class whose shortest prefix holds lone tokens only is never probed.
+    pair can miss; the prefix of a pair follows from the overlap that their sizes ask for.  A class whose shortest prefix
+    holds lone tokens only is never probed.
 
     Defined results: a text that is null or has no word has an empty set and is linked with nothing; a null id gets a
     null component; rows that share an id are one document; an empty table gives an empty table.

@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from wayfold.llm import flat
 from wayfold.llm.frames import packed, unpacked
@@ -217,7 +218,7 @@ def decode(docs: DataFrame, path: str, *, ids: str = "ids") -> DataFrame:
     column named ``decoded`` is replaced.
     """
     frame = packed(docs, ids)
-    schema = frame.schema.add("decoded", "string")
+    schema = StructType(frame.schema.fields[:]).add("decoded", "string")
 
     def run(batches):
         model = vocabulary(path)

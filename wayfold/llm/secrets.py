@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from wayfold.llm import cnn, flat
 from wayfold.llm.frames import packed, unpacked
@@ -185,7 +186,7 @@ def find_secrets(docs: DataFrame, model: SecretModel, *, text: str = "text", mas
     known = docs.sparkSession.sparkContext.broadcast(model)  # fixed size: tables of the network
     frame = packed(docs, text)
     counts = ["n_assign", "n_access", "n_hex"]
-    schema = frame.schema
+    schema = StructType(frame.schema.fields[:])
     for c in counts:
         schema = schema.add(c, "long")
     schema = schema.add("base", "string").add("spans", "string")
