@@ -33,4 +33,22 @@ SELECT d.doc_id, CAST(coalesce(max(n.n), 0) AS BIGINT) AS n_shingles, min(r.labe
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN r USING (doc_id) GROUP BY d.doc_id
 """
 
-SQL: dict[str, str] = {"op3_jaccard_join": _OP3, "op9_substring_dedup": _OP9}
+_OP7 = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+m AS (SELECT d, min(page_id) AS head FROM p WHERE n >= 100 GROUP BY d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, p.d AS payload_digest,
+       CASE WHEN head <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN head <> page_id THEN head END AS refers_to
+FROM p LEFT JOIN m ON p.d = m.d
+"""
+
+_OP10 = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+           WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+      FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 10
+"""
+
+SQL: dict[str, str] = {"op3_jaccard_join": _OP3, "op7_warc": _OP7, "op9_substring_dedup": _OP9, "op10_exact_top_k": _OP10}

@@ -90,3 +90,19 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wayfold.llm.topk import top_k
 
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+@register
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wayfold.llm.rules import judge, train
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return judge(docs, train(docs, table(spark, sf_dir, "labels"))).drop("text")
+
+
+@register
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wayfold.llm.quality import posteriors, train
+
+    docs = table(spark, sf_dir, "documents")
+    return posteriors(docs, train(docs, table(spark, sf_dir, "labels")))
