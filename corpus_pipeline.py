@@ -5,23 +5,74 @@ from __future__ import annotations
 import posixpath
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wayfold.llm import langid, secrets
 from wayfold.llm.frames import stored
+from wayfold.llm.jaccard import components_by_jaccard
+from wayfold.llm.packing import pack_documents
 from wayfold.llm.substrings import remove_repeats
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+MASK = "[SECRET]"
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language cannot be told (no text or no letter in it) go.
+
+    The network learns from the labelled documents of this stage's input, without the held-out quarter of their ids.
+    """
+    known = docs.filter(F.crc32(F.col("doc_id").cast("string")) % 4 != 2)
+    found = langid.identify(docs, langid.train(known))
+    return found.filter(F.col("lang_pred") != langid.UNKNOWN).select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by a similarity of 0.8 on five-word shingles, that with the smallest id stays.
+
+    Rows that share an id are one document, of which one row stays; rows without an id stay.
+    """
+    found = stored(components_by_jaccard(docs, width=5, percent=80), "components")
+    gone = found.filter("component_id <> doc_id").select("doc_id").distinct()
+    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    if found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        return kept
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = kept.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min_by(row, F.sha2(F.coalesce("text", F.lit("")), 256)).alias("row"))
+    return one.select("row.*").union(kept.filter("doc_id IS NULL"))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 13 words or more that start in an earlier document go; a document that loses all its words goes too."""
     done = remove_repeats(docs, spacing="original").filter("n_removed = 0 OR n_removed < n_words")
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    return done.withColumns({"text": text, "n_chars": F.length(text).cast("long")}).select(docs.columns)
+    return _with_text(done, docs, F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text")))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every secret in a text is masked; no document goes."""
+    found = secrets.find_secrets(docs, secrets.train(docs), mask=MASK)
+    return _with_text(found, docs, F.col("text"))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents and their places in sequences of 2048 tokens."""
+    return pack_documents(docs, str(public_tokenizers.path("byte_bpe_50k.json")))
+
+
+def _with_text(done: DataFrame, docs: DataFrame, text) -> DataFrame:
+    changed = {"text": text}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.length(text).cast("long")
+    return done.withColumns(changed).select(docs.columns)
 
 
-STAGES: list[tuple[str, Stage]] = [("substring_dedup", substring_dedup)]
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", language_id), ("near_duplicates", near_duplicates), ("substring_dedup", substring_dedup),
+    ("secret_scan", secret_scan), ("best_fit_packing", best_fit_packing),
+]
+#: Networks and token ids are beyond SQL; the tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
