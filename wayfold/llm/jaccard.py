@@ -65,16 +65,17 @@ def _digests(docs: DataFrame, width: int) -> DataFrame:
 def _prefix(estimates: np.ndarray, percent: int) -> tuple[int, int]:
     """Length of the one-match prefix and the number of matches to ask for, given a set's sorted frequencies.
 
-    With ``m`` matches the prefix is ``m - 1`` longer.  Probing costs the postings met; at most postings / m documents
-    can share ``m`` of them, and each of these costs a comparison of the sets.
+    With ``m`` matches the prefix is ``m - 1`` longer.  Probing costs the postings met, counted for a partner of the same
+    size; at most postings / m documents can share ``m`` of them, and each of these costs a comparison of the sets.
+    The prefix kept is that for the smallest partner.
     """
     n = len(estimates)
     least = -(-percent * n // 100)
-    one = n - least + 1
+    same = n - -(-2 * percent * n // (100 + percent)) + 1
     met = np.cumsum(estimates.astype(np.int64) - 1)
     asked = np.arange(1, min(MAX_MATCHES, least) + 1)
-    cost = met[one + asked - 2] * (1 + n / PROBE / asked)
-    return one, int(asked[np.argmin(cost)])
+    cost = met[same + asked - 2] * (1 + n / PROBE / asked)
+    return n - least + 1, int(asked[np.argmin(cost)])
 
 
 def _sets(docs: DataFrame, heads: DataFrame, width: int, percent: int, bits: int) -> DataFrame:
@@ -90,7 +91,7 @@ def _sets(docs: DataFrame, heads: DataFrame, width: int, percent: int, bits: int
     dealt, named = docs.groupBy("chunk"), sketch.heads_mail(heads)
     back = sketch.merge(dealt.cogroup(named.groupBy("chunk")).applyInArrow(count, sketch.MAIL))
     longs = pa.list_(pa.int64())
-    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("lone", pa.int64()), ("asked", pa.int32()), ("prefix", longs),
+    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("lone", pa.int64()), ("typical", pa.float64()), ("asked", pa.int32()), ("prefix", longs),
                         ("place", pa.list_(pa.int32())), ("tokens", longs)])
 
     def choose(group: pa.Table, right: pa.Table) -> pa.Table:
@@ -111,13 +112,13 @@ def _sets(docs: DataFrame, heads: DataFrame, width: int, percent: int, bits: int
                     one, asked = _prefix(est[order], percent)
                     order = order[:one + asked - 1]
                     shared = np.flatnonzero(est[order] > 1)
-                    for where, value in zip(out, (ids[low + i], len(own), lone[i], asked, own[order[shared]].view(np.int64),
+                    for where, value in zip(out, (ids[low + i], len(own), lone[i], est.mean(), asked, own[order[shared]].view(np.int64),
                                                   shared, own.view(np.int64)), strict=True):
                         where.append(value)
         return pa.table([pa.array(values, f.type) for values, f in zip(out, schema, strict=True)], schema=schema)
 
     return dealt.cogroup(named.union(back).groupBy("chunk")).applyInArrow(
-        choose, "id long, n long, lone long, asked int, prefix array<long>, place array<int>, tokens array<long>")
+        choose, "id long, n long, lone long, typical double, asked int, prefix array<long>, place array<int>, tokens array<long>")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -130,12 +131,12 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _links(sets: DataFrame, percent: int) -> DataFrame:
     """Links between class heads that connect all that are similar, without every pair inside a dense group."""
-    postings = sets.select("id", "n", "lone", "asked", F.explode(F.arrays_zip("prefix", "place")).alias("p")).select(
-        "id", "n", "lone", "asked", F.col("p.prefix").alias("token"), F.col("p.place").alias("place"))
-    tokens = postings.groupBy("token").agg(F.min(F.struct("lone", "id")).alias("pivot"), F.min("id").alias("x"), F.max("id").alias("y"))
-    tokens = tokens.filter("x < y").select("token", F.col("pivot.id").alias("pivot"))
+    postings = sets.select("id", "n", "lone", "typical", "asked", F.explode(F.arrays_zip("prefix", "place")).alias("p")).select(
+        "id", "n", "lone", "typical", "asked", F.col("p.prefix").alias("token"), F.col("p.place").alias("place"))
+    tokens = postings.groupBy("token").agg(F.max(F.struct("typical", (-F.col("id")).alias("id"))).alias("pivot"), F.min("id").alias("x"), F.max("id").alias("y"))
+    tokens = tokens.filter("x < y").select("token", (-F.col("pivot.id")).alias("pivot"))
     shared = stored(postings.join(tokens, "token"), "postings")
-    # each document against the one with the fewest lone tokens that it shares most with, which joins dense groups at a
+    # each document against the one of most frequent tokens that it shares most with, which joins dense groups at a
     # linear price: the text that near copies come from has no token of its own
     stars = shared.filter("id <> pivot").groupBy("id", "pivot").count().groupBy("id").agg(
         F.max(F.struct("count", (-F.col("pivot")).alias("b"))).alias("top")).select(F.col("id").alias("a"), (-F.col("top.b")).alias("b"))
