@@ -1,0 +1,273 @@
+"""Each text operator against plain Python on nulls, empty and long texts, ties, repeats, empty tables and clashing names."""
+
+from __future__ import annotations
+
+import itertools
+
+import numpy as np
+import public_tokenizers
+import pytest
+
+from tests.llm import brute
+from wayfold.llm import cnn, graph, jaccard, langid, packing, pieces, quality, rules, secrets, sketch, substrings
+
+PIECES = str(public_tokenizers.path("piece_bpe_32k.model"))
+BYTES = str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def key(row):
+    return tuple((v is None, v if v is not None else 0) for v in row)
+
+
+@pytest.mark.parametrize(("width", "percent"), [(3, 90), (5, 80), (3, 40)])
+def test_jaccard(edge_docs, edge_rows, width, percent):
+    want = brute.components(edge_rows, width, percent)
+    got = jaccard.components_by_jaccard(edge_docs, width=width, percent=percent).collect()
+    assert len(got) == len(edge_rows)
+    assert {(r.doc_id, r.component_id) for r in got} == {(i, want.get(i)) for i, _ in edge_rows}
+
+
+def test_jaccard_dense_group(spark):
+    words = [f"w{i}" for i in range(60)]
+    rows = [(0, " ".join(words))] + [(i, " ".join(words[:i] + [f"x{i}"] + words[i + 1:])) for i in range(1, 59)]
+    rows += [(100 + i, " ".join(words[:i] + [f"y{i}", f"z{i}"] + words[i + 2:])) for i in range(1, 57)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.components_by_jaccard(docs, width=3, percent=90).collect()}
+    assert got == brute.components(rows, 3, 90)
+
+
+def test_components_of_a_chain(spark):
+    edges = spark.createDataFrame([(i + 1, i) for i in range(40)] + [(101, 100), (7, 7)], "a long, b long")
+    got = {r.id: r.label for r in graph.components(edges).collect()}
+    assert got == {i: 0 for i in range(1, 41)} | {101: 100}
+
+
+@pytest.mark.parametrize("width", [13, 3])
+def test_substrings(edge_docs, edge_rows, width):
+    got = substrings.remove_repeats(edge_docs, width=width)
+    assert set(edge_docs.columns) | {"n_removed", "kept_text"} == set(got.columns)
+    rows = sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in got.collect()), key=key)
+    assert rows == sorted(brute.without_repeats(edge_rows, width), key=key)
+
+
+def test_substrings_keep_spacing(edge_docs, edge_rows):
+    want = sorted(brute.without_repeats(edge_rows), key=key)
+    got = sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_text, r.text) for r in substrings.remove_repeats(edge_docs, spacing="original").collect()), key=key)
+    for w, g in zip(want, got, strict=True):
+        assert g[:3] == w[:3] and brute.words(g[3]) == brute.words(w[3])
+        assert g[2] or g[3] == g[4]
+
+
+def test_sketch_is_never_low():
+    rng = np.random.default_rng(1)
+    chunks = [rng.integers(0, 3000, 2000, dtype=np.uint64) << np.uint64(45) for _ in range(4)]
+    sent = [list(sketch.send([sketch.cells(h, 22)], c)) for c, h in enumerate(chunks)]
+    cells, true = np.unique(np.concatenate(chunks), return_counts=True)
+    back = [r for rows in sent for r in rows]
+    total = {}
+    for r in back:
+        at = sketch._unpack(r["a"], r["b"])
+        again = np.unpackbits(np.frombuffer(r["c"], np.uint8), count=len(at))
+        for a, g in zip(at.tolist(), again.tolist(), strict=True):
+            k = (r["block"] << sketch.BLOCK_BITS) + a
+            total[k] = total.get(k, 0) + 1 + g
+    assert all(total[int(c)] >= min(t, 2) for c, t in zip(sketch.cells(cells, 22), true, strict=True))
+
+
+def test_secrets(edge_docs, edge_rows):
+    found = secrets.find_secrets(edge_docs, secrets.train(edge_docs), mask="[X]")
+    want = sorted(((i, ",".join(brute.base_spans(t))) for i, t in edge_rows), key=key)
+    rows = found.collect()
+    assert sorted(((r.doc_id, r.base) for r in rows), key=key) == want
+    assert all(set(filter(None, r.base.split(","))) <= set(r.spans.split(",")) for r in rows)
+    for r in rows:
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(r.base.count(k) for k in ("assign", "access", "hex"))
+        if not r.spans:
+            assert any(r.text == t for i, t in edge_rows if i == r.doc_id)
+        else:
+            assert "[X]" in r.text and not brute.base_spans(r.text)
+
+
+def test_secret_network_finds_unnamed_ones(spark):
+    rng = np.random.default_rng(2)
+    letters = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"))
+    secret = lambda n: "".join(rng.choice(letters, n))
+    prose = lambda: " ".join("".join(rng.choice(list("aeioutnrs"), rng.integers(2, 9))) for _ in range(60))
+    rows = [(i, f"{prose()} api_key={secret(32)} {prose()}") for i in range(300)] + [(1000 + i, prose()) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = secrets.train(docs)
+    assert model.net is not None and model.threshold >= 0.5
+    new = spark.createDataFrame([(i, f"{prose()} {'1' + secret(31)} {prose()}") for i in range(50)] + [(100 + i, prose()) for i in range(50)],
+                                "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secrets.find_secrets(new, model).collect()}
+    assert sum("net:" in got[i] for i in range(50)) >= 40 and not any(got[100 + i] for i in range(50))
+
+
+ODD_TEXTS = [None, "", " ", "   a  b ", "▁x▁▁y", "a▁b", "tab\tnew\nline\r\n", "\x00\x01", "aaaa" * 300, "😀é漢字テスト", "<s></s><unk><0x41>",
+             "Qx9" * 400, "1234567890" * 20, "ab" * 2000 + " " * 50, "Zürich größer naïve " * 50, "  x"]
+
+
+def test_pieces_match_the_library(spark, sf_dir):
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    texts = ODD_TEXTS + [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").limit(60).collect()]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, ids string")
+    done = {r.doc_id: r for r in pieces.decode(pieces.encode(docs, PIECES), PIECES).collect()}
+    for i, t in enumerate(texts):
+        ids = [1, *library.encode(t or ""), 2]
+        assert done[i].ids == ids and done[i].decoded == library.decode(ids), t
+
+
+def test_decoding_loose_ids(spark):
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    rows = [(0, None), (1, []), (2, [1, 2]), (3, [0, 5, 300, 301]), (4, [1, 198, 199, 2]), (5, [300, 200, 301])]
+    got = {r.k: r.decoded for r in pieces.decode(spark.createDataFrame(rows, "k int, ids array<int>"), PIECES).collect()}
+    assert got == {k: None if v is None else library.decode(v) for k, v in rows}
+
+
+def test_packing(edge_docs, edge_rows):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(BYTES)
+    got = packing.pack_documents(edge_docs, BYTES, capacity=512).collect()
+    lengths = sorted(len(library.encode(t or "", add_special_tokens=False).ids) + 1 for _, t in edge_rows)
+    by = {}
+    for r in got:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for own in by.values():
+        own.sort()
+        assert [o for o, _ in own] == [sum(n for _, n in own[:i]) for i in range(len(own))] and sum(n for _, n in own) <= 512
+    assert sum(r.length for r in got) == sum(lengths) and all(r.length == 512 for r in got if r.piece)
+
+
+def _optimal(sizes, capacity):
+    best = [len(sizes)]
+
+    def place(i, rooms):
+        if len(rooms) >= best[0]:
+            return
+        if i == len(sizes):
+            best[0] = len(rooms)
+            return
+        for j in range(len(rooms)):
+            if rooms[j] >= sizes[i] and rooms[j] not in rooms[:j]:
+                place(i + 1, rooms[:j] + [rooms[j] - sizes[i]] + rooms[j + 1:])
+        place(i + 1, [*rooms, capacity - sizes[i]])
+    place(0, [])
+    return best[0]
+
+
+def test_dominance_keeps_the_optimum():
+    rng = np.random.default_rng(4)
+    for _ in range(150):
+        sizes = sorted(rng.integers(1, 13, rng.integers(1, 9)).tolist(), reverse=True)
+        count = np.bincount(sizes, minlength=13)
+        fixed = packing._reduce(count, 12)
+        rest = [s for s in range(12, 0, -1) for _ in range(count[s])]
+        assert sum(n for n, _ in fixed) + _optimal(rest, 12) == _optimal(sizes, 12), sizes
+
+
+def test_plan_places_everything_once():
+    rng = np.random.default_rng(5)
+    sizes = {int(s): int(n) for s, n in zip(rng.choice(2047, 300, replace=False) + 1, rng.integers(1, 400, 300), strict=True)} | {2048: 9}
+    plan = packing.Plan(sizes, 2048)
+    size = np.repeat(list(sizes), list(sizes.values()))
+    number = np.concatenate([np.arange(n) for n in sizes.values()])
+    sequence, offset = plan.place(size, number)
+    order = np.lexsort((offset, sequence))
+    s, o, n = sequence[order], offset[order], size[order]
+    assert (np.where(np.append(True, s[1:] != s[:-1]), 0, np.append(0, (o + n)[:-1])) == o).all() and (o + n <= 2048).all()
+    assert plan.sequences == len(np.unique(sequence)) <= 1.02 * -(-size.sum() // 2048) + 1
+
+
+def test_languages(spark, sf_dir, edge_docs):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    held = "crc32(cast(doc_id as string)) % 4 = 2"
+    model = langid.train(docs.filter(f"NOT ({held})"))
+    rows = langid.identify(docs.filter(held), model).collect()
+    assert sum(r.lang == r.lang_pred for r in rows) >= 0.95 * len(rows)
+    got = langid.identify(edge_docs, model).collect()
+    assert all((r.lang_pred == "und") == (r.doc_id in (7, 8, 9, 18, 19)) and 0 <= r.score <= 1 for r in got) and len(got) == 21
+    alone = langid.train(docs.filter("lang = 'en'"))
+    assert {r.lang_pred for r in langid.identify(edge_docs, alone).collect()} == {"en", "und"}
+
+
+def test_network_lookups_agree():
+    net = cnn.ConvNet(3, widths=(2, 3, 4, 5), filters=4)
+    x = np.random.default_rng(3).integers(0, 256, (20, 40)).astype(np.uint8)
+    assert np.allclose(net._fast(x), net._pooled(net._responses(x, False)[0]), atol=1e-4)
+
+
+def test_rules(edge_docs, edge_rows, spark):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 18)], "doc_id long, quality int")
+    rows = rules.judge(edge_docs, rules.train(edge_docs, labels)).collect()
+    got = sorted(((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in rows), key=key)
+    assert got == sorted(((i, *brute.rule_counts(t)) for i, t in edge_rows), key=key)
+    for r in rows:
+        assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words) and not (r.base_failed and r.kept)
+
+
+def test_viterbi_is_the_best_path():
+    rng = np.random.default_rng(6)
+    model = rules.LineModel(rng.normal(0, 1, len(rules.FEATURES)), rng.normal(0, 1, (2, 2)))
+    sizes = [1, 5, 3, 0, 7]
+    features = rng.normal(0, 1, (sum(sizes), len(rules.FEATURES)))
+    firsts = np.append(0, np.cumsum(sizes))
+    got = model.label(features, firsts)
+    score = lambda y, g: sum(v * x for v, x in zip(y, g, strict=True)) + sum(model.steps[a, b] for a, b in zip(y[:-1], y[1:], strict=True))
+    for a, b in zip(firsts[:-1], firsts[1:], strict=True):
+        gain = features[a:b] @ model.weights
+        best = max(itertools.product((0, 1), repeat=int(b - a)), key=lambda y: score(y, gain))
+        assert tuple(got[a:b]) == best
+
+
+def test_field_learns_runs():
+    rng = np.random.default_rng(7)
+    features, labels = [], []
+    for _ in range(60):
+        y = np.repeat(rng.integers(0, 2, 4), 5)
+        f = rng.normal(0, 1, (20, len(rules.FEATURES)))
+        f[:, 0], f[:, 3] = 1, y + rng.normal(0, 0.8, 20)
+        features.append(f)
+        labels.append(y)
+    model = rules.fit(features[:40], labels[:40])
+    right = np.mean([np.mean(model.label(f, np.array([0, 20])) == y) for f, y in zip(features[40:], labels[40:], strict=True)])
+    assert right > 0.85 and model.steps[0, 0] + model.steps[1, 1] > model.steps[0, 1] + model.steps[1, 0]
+
+
+def test_quality(spark, sf_dir, edge_docs):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.train(docs, labels)
+    rows = quality.posteriors(docs, model).withColumnRenamed("quality", "q").join(labels, "doc_id").collect()
+    assert all(0 <= r.host_posterior <= 1 and 0 <= r.path_posterior <= 1 for r in rows)
+    good, poor = ([r.q for r in rows if r.quality == label] for label in (1, 0))
+    assert sum(g > p for g in good for p in poor) > 0.9 * len(good) * len(poor)
+    edge = quality.posteriors(edge_docs, model).collect()
+    assert len(edge) == 21 and all(0 <= r.quality <= 1 and r.kept == (r.quality >= 0.5) for r in edge)
+
+
+def test_sparse_sites_stay_near_the_prior(spark):
+    rows = [(i, "t", "big" if i < 900 else "poor" if i < 1800 else "one", "p") for i in range(1801)]
+    known = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+
+    class Given(quality.Evidence):
+        def probability(self, docs):
+            return docs.drop("text").selectExpr("*", "CASE WHEN host = 'big' THEN 0.9 ELSE 0.1 END + (id % 7 - 3) * 0.02 AS p")
+    got = {r.host: r for r in quality.posteriors(known, Given(None, 0.5)).collect()}
+    assert got["big"].host_posterior > 0.85 and got["poor"].host_posterior < 0.15
+    assert abs(got["one"].host_posterior - 0.5) < 0.05  # its own document is left out: the prior alone
+
+
+def test_empty_tables(spark, no_docs):
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    assert jaccard.components_by_jaccard(no_docs).count() == 0
+    assert substrings.remove_repeats(no_docs).count() == 0
+    assert secrets.find_secrets(no_docs, secrets.train(no_docs)).count() == 0
+    assert pieces.decode(pieces.encode(no_docs, PIECES), PIECES).count() == 0
+    assert packing.pack_documents(no_docs, BYTES).count() == 0
+    assert langid.identify(no_docs, langid.train(no_docs)).count() == 0
+    assert rules.judge(no_docs, rules.train(no_docs, labels)).count() == 0
+    assert quality.posteriors(no_docs, quality.train(no_docs, labels)).count() == 0
