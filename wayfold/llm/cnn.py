@@ -68,9 +68,11 @@ class ConvNet:
         return np.concatenate(parts) / self.temperature if parts else np.zeros((0, len(self.out_bias)), np.float32)
 
     def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = 12, batch: int = 128, rate: float = 0.01, decay: float = 1e-4,
-            seed: int = 11) -> ConvNet:
-        """Adam on the mean cross entropy; the order of rows follows ``seed`` alone."""
+            seed: int = 11, least_steps: int = 400) -> ConvNet:
+        """Adam on the mean cross entropy; the order of rows follows ``seed`` alone.  A small sample is gone through more
+        often, for at least ``least_steps`` steps."""
         rng = np.random.default_rng(seed)
+        epochs = max(epochs, -(-least_steps // max(1, -(-len(x) // batch))))
         weights = [*self.tables, *self.biases, self.out, self.out_bias]
         first, second, step = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights], 0
         total_steps = max(1, epochs * -(-len(x) // batch))

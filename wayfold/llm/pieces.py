@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructType
 
 from wayfold.llm import flat
 from wayfold.llm.frames import packed, unpacked
@@ -192,7 +192,7 @@ def encode(docs: DataFrame, path: str, *, text: str = "text", layout: str = "arr
     gives an empty table; a carried column named ``ids`` is replaced.
     """
     frame = packed(docs, text)
-    kind = "binary" if layout == "bytes" else "array<int>"
+    kind = BinaryType() if layout == "bytes" else ArrayType(IntegerType())
     schema = frame.select(*(["text"] if keep_text else []), "row").schema.add("ids", kind)
 
     def run(batches):

@@ -108,7 +108,7 @@ def posteriors(docs: DataFrame, evidence: Evidence, *, doc_id: str = "doc_id", t
     """
     rows = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"),
                        F.coalesce(F.col(path).cast("string"), F.lit("")).alias("path"), F.col(text).alias("text"))
-    known = stored(evidence.probability(rows).select("id", "host", "path", "p"), "evidence")
+    known = stored(evidence.probability(rows).select("id", "host", "path", F.col("p").cast("double").alias("p")), "evidence")
     paths = stored(known.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("p").alias("s"), F.sum(F.col("p") * F.col("p")).alias("q")), "paths")
     hosts = paths.groupBy("host").agg(*[F.sum(c).alias(c) for c in "nsq"])
     total, s = hosts.agg(F.sum("n"), F.sum("s")).first()
