@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 import traceback
 
@@ -56,7 +57,8 @@ def main(argv: list[str]) -> int:
     from wayfold.session import build_session
 
     sf_dir, only = argv[0], argv[1:]
-    conf = {"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"}
+    conf = {"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="parity-")}
     spark = build_session("parity", "local[8]", **conf)
     spark.sparkContext.setLogLevel("ERROR")
     con, failed = duck(sf_dir), []

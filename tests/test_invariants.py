@@ -55,7 +55,7 @@ def test_dense_index_with_many_buckets(spark):
 
 def test_running_totals_over_blocks(spark):
     df = spark.createDataFrame([(k, k % 5 + 1) for k in range(-40, 500, 3)], "k long, n long").repartition(4)
-    got = {r["k"]: r["total"] for r in ranks.running_totals(df, "k", "n", width=7).collect()}
+    got = {r["k"]: r["total"] for r in ranks.running_totals(df, "k", "n", per_block=7).collect()}
     total = 0
     for k in range(-40, 500, 3):
         total += k % 5 + 1

@@ -19,16 +19,17 @@ _PID = "CASE WHEN o_custkey % 3 = 0 THEN NULL ELSE o_custkey END"
 
 
 def _coord(key: str, k_long: int, k_lat: int) -> str:
-    return (
-        f"concat(CAST(115 + CAST(floor({key} * {k_long} / 100.0) AS BIGINT) % 2 AS STRING), '.', "
-        f"lpad(CAST(({key} * {k_long}) % 100 AS STRING), 2, '0'), ',', "
-        f"CAST(39 + CAST(floor({key} * {k_lat} / 100.0) AS BIGINT) % 2 AS STRING), '.', "
-        f"lpad(CAST(({key} * {k_lat}) % 100 AS STRING), 2, '0'))"
-    )
+    """A place: four of five in a dense centre of a tenth of a degree, the rest anywhere, a few far off to the east."""
+    def part(center: str, first: int, far: int, k: int) -> str:
+        dense = f"concat('{center}', lpad(CAST(({key} * {k}) % 100000 AS STRING), 5, '0'))"
+        wide = f"concat(CAST({first} + ({key} * {k}) % 2 AS STRING), '.', lpad(CAST(({key} * {k} * 7) % 1000000 AS STRING), 6, '0'))"
+        away = f"concat('{far}.', lpad(CAST(({key} * {k}) % 1000000 AS STRING), 6, '0'))"
+        return f"CASE WHEN {key} % 97 = 3 THEN {away} WHEN {key} % 5 = 0 THEN {wide} ELSE {dense} END"
+    return f"concat({part('116.3', 115, 119, k_long)}, ',', {part('39.9', 39, 40, k_lat)})"
 
 
-_O = _coord("o_custkey", 37, 53)
-_D = _coord("o_orderkey", 41, 59)
+_O = _coord("o_custkey", 7919, 6607)
+_D = _coord("o_orderkey", 7907, 6599)
 
 
 def _mode(i: str) -> str:

@@ -126,13 +126,14 @@ def _(spark, d):
     return found.withColumn("members", F.array_join(F.col("members").cast("array<string>"), ","))
 
 
-_RUNS = """SELECT l_returnflag || l_linestatus AS model_type, round(0.5 + l_tax + l_discount / 10, 6) AS score FROM lineitem"""
+_RUNS = """SELECT l_returnflag || l_linestatus AS model_type, 0.5 + l_tax + l_discount / 10 AS score FROM lineitem"""
 
 
-@register("score_by_model", f"""SELECT model_type, count(*) AS runs, min(score) AS min, round(quantile_cont(score, 0.25), 6) AS q25,
-    round(quantile_cont(score, 0.5), 6) AS q50, round(quantile_cont(score, 0.75), 6) AS q75, max(score) AS max
+@register("score_by_model", f"""SELECT model_type, count(*) AS runs, round(min(score), 9) AS min, round(quantile_cont(score, 0.25), 6) AS q25,
+    round(quantile_cont(score, 0.5), 6) AS q50, round(quantile_cont(score, 0.75), 6) AS q75, round(max(score), 9) AS max
     FROM ({_RUNS}) GROUP BY model_type""")
 def _(spark, d):
     runs = B.table(spark, d, "lineitem").selectExpr(
-        "concat(l_returnflag, l_linestatus) AS model_type", "round(0.5D + l_tax + l_discount / 10, 6) AS score")
-    return rounded(summaries.score_by_model(runs), ["q25", "q50", "q75"])
+        "concat(l_returnflag, l_linestatus) AS model_type", "0.5D + l_tax + l_discount / 10 AS score")
+    found = rounded(summaries.score_by_model(runs), ["q25", "q50", "q75"])
+    return found.withColumns({c: F.round(c, 9) for c in ("min", "max")})

@@ -8,6 +8,7 @@ from wayfold import bindings as B
 from wayfold.bindings import SHOWN, oracle
 from wayfold.catalog import register
 from wayfold.operators import ranks
+from wayfold.schemas import PROFILE_COLUMNS
 from wayfold.session import scratch_path
 from wayfold.sources import readers, writers
 
@@ -18,7 +19,7 @@ def _csv(df, path):
 
 
 @register("src_csv_tables", oracle("t_queries", "t_sessions", "t_clicks", "t_profiles", body="""
-    SELECT q.sid, q.pid, req_time, o, d, plan_time, click_time, click_mode, p0, p65
+    SELECT q.sid, q.pid, req_time, o, d, plan_time, click_time, click_mode, """ + ", ".join(PROFILE_COLUMNS) + """
     FROM t_queries q LEFT JOIN t_sessions s ON q.sid = s.sid LEFT JOIN t_clicks c ON q.sid = c.sid
     LEFT JOIN t_profiles p ON q.pid = p.pid"""))
 def _(spark, d):
@@ -28,7 +29,7 @@ def _(spark, d):
         _csv(made[name](spark, d), f"{folder}/{file}")
     t = readers.read_tables(spark, folder)
     joined = t["queries"].join(t["plans"].drop("plans"), "sid", "left").join(t["clicks"], "sid", "left")
-    return joined.join(t["profiles"].select("pid", "p0", "p65"), "pid", "left")
+    return joined.join(t["profiles"], "pid", "left")
 
 
 @register("src_csv_plans", oracle("t_sessions", "t_listed", body="""SELECT s.sid, plan_time, transport_mode, distance, price, eta

@@ -57,10 +57,10 @@ def _(spark, d):
 
 
 @register("join_profiles_full", oracle("t_coords", "t_profiles", body=f"""SELECT c.sid, c.pid, c.o_long,
-    {', '.join('p.' + c for c in PROFILE_COLUMNS[:10])}
+    {', '.join('p.' + c for c in PROFILE_COLUMNS)}
     FROM t_coords c FULL JOIN t_profiles p ON c.pid = p.pid WHERE c.o_long IS NOT NULL"""))
 def _(spark, d):
-    profiles = B.profiles_table(spark, d).select("pid", *PROFILE_COLUMNS[:10])
+    profiles = B.profiles_table(spark, d)
     return joins.join_profiles_full(coords_of(spark, d).select("sid", "pid", "o_long"), profiles)
 
 
@@ -83,30 +83,30 @@ def _(spark, d):
     return B.queries_table(spark, d).select("sid", "pid").join(B.plans_table(spark, d).drop("plans"), "sid", "left")
 
 
-@register("join_row_layout", oracle("t_rows", "t_queries", "t_clicks", "t_profiles", body="""
-    SELECT r.sid, pos, transport_mode, coalesce(q.pid, -1) AS pid, coalesce(click_mode, 0) AS click_mode,
-    CASE WHEN q.pid IS NULL THEN -1 ELSE p.p7 END AS p7, CASE WHEN q.pid IS NULL THEN -1 ELSE p.p33 END AS p33
-    FROM t_rows r JOIN t_queries q ON r.sid = q.sid LEFT JOIN t_clicks c ON r.sid = c.sid
+_PROFILE_OR_NONE = ", ".join(f"CASE WHEN q.pid IS NULL THEN -1 ELSE p.{c} END AS {c}" for c in PROFILE_COLUMNS)
+
+
+@register("join_row_layout", oracle("t_rows", "t_coords", "t_clicks", "t_profiles", body=f"""
+    SELECT r.sid, pos, transport_mode, distance, eta, price, o_long, o_lat, d_long, d_lat, coalesce(q.pid, -1) AS pid,
+    coalesce(click_mode, 0) AS click_mode, {_PROFILE_OR_NONE}
+    FROM t_rows r JOIN t_coords q ON r.sid = q.sid LEFT JOIN t_clicks c ON r.sid = c.sid
     LEFT JOIN t_profiles p ON q.pid = p.pid WHERE q.pid IS NULL OR p.pid IS NOT NULL"""))
 def _(spark, d):
     return joins.join_row_layout(
-        B.plan_rows_table(spark, d).select("sid", "pos", "transport_mode"),
-        B.queries_table(spark, d).select("sid", "pid"), B.clicks_table(spark, d).select("sid", "click_mode"),
-        B.profiles_table(spark, d).select("pid", "p7", "p33"))
+        B.plan_rows_table(spark, d), coords_of(spark, d).select("sid", "pid", "o_long", "o_lat", "d_long", "d_lat"),
+        B.clicks_table(spark, d).select("sid", "click_mode"), B.profiles_table(spark, d))
 
 
-@register("join_pid_inner", oracle("t_queries", "t_profiles", body="""SELECT sid, q.pid, p1, p2 FROM t_queries q
+@register("join_pid_inner", oracle("t_queries", "t_profiles", body=f"""SELECT sid, q.pid, {', '.join(PROFILE_COLUMNS)} FROM t_queries q
     JOIN t_profiles p ON q.pid = p.pid"""))
 def _(spark, d):
-    return joins.identified(B.queries_table(spark, d).select("sid", "pid")).join(
-        B.profiles_table(spark, d).select("pid", "p1", "p2"), "pid")
+    return joins.identified(B.queries_table(spark, d).select("sid", "pid")).join(B.profiles_table(spark, d), "pid")
 
 
-@register("join_pid_left", oracle("t_queries", "t_profiles", body="""SELECT sid, coalesce(q.pid, -1) AS pid,
-    CASE WHEN q.pid IS NULL THEN -1 ELSE p1 END AS p1, CASE WHEN q.pid IS NULL THEN -1 ELSE p65 END AS p65
+@register("join_pid_left", oracle("t_queries", "t_profiles", body=f"""SELECT sid, coalesce(q.pid, -1) AS pid, {_PROFILE_OR_NONE}
     FROM t_queries q LEFT JOIN t_profiles p ON q.pid = p.pid"""))
 def _(spark, d):
-    return joins.join_profiles(B.queries_table(spark, d).select("sid", "pid"), B.profiles_table(spark, d), ["p1", "p65"])
+    return joins.join_profiles(B.queries_table(spark, d).select("sid", "pid"), B.profiles_table(spark, d), PROFILE_COLUMNS)
 
 
 @register("join_natural", oracle("t_coords", "t_clicks", body="""SELECT a.sid, a.o_long, a.o_lat, CAST(hour(req_time) AS INT) AS hour,

@@ -31,9 +31,10 @@ def _sessions(spark, d, k=2):
 
 
 def _plans(spark, d, k=2):
-    """Deduplicated plan rows with click, numeric price and mode flags; folds by session."""
+    """Deduplicated plan rows with click (0 without one), numeric price and mode flags; folds by session."""
     rows = ranks.first_per(B.plan_rows_table(spark, d), ["sid", "transport_mode"], ["pos", "distance", "eta", "price"])
-    rows = rows.join(B.clicks_table(spark, d).select("sid", "click_mode"), "sid")
+    rows = rows.join(B.clicks_table(spark, d).select("sid", "click_mode"), "sid", "left")
+    rows = rows.withColumn("click_mode", F.coalesce("click_mode", F.lit(0)))
     rows = rows.withColumn("price", F.coalesce(encode.number(F.col("price"), "int"), F.lit(0)))
     rows = encode.one_hot(rows, "transport_mode", MODES[1:], prefix="mode")
     return cut_lineage(rows.withColumn("fold", (digest60("sid", seed=3) % k).cast("int")))
@@ -54,9 +55,11 @@ def _(spark, d):
 @register("clf_boosted")
 def _(spark, d):
     table = _sessions(spark, d)
-    sizes = sampling.class_sizes(table, "click_mode")
-    even = sum(sizes.values()) // (4 * len(sizes))
-    balance = lambda train: cut_lineage(sampling.draw_exactly(train, "click_mode", {m: even for m in sizes}))
+
+    def balance(train):
+        """As many rows as the training part has, the same number of each class."""
+        sizes = sampling.class_sizes(train, "click_mode")
+        return cut_lineage(sampling.draw_exactly(train, "click_mode", {m: sum(sizes.values()) // len(sizes) for m in sizes}))
     return _shown(cross_validation.cv_classifier(table, TRIP, classifiers.boosted(rounds=2, depth=3), balance=balance))
 
 

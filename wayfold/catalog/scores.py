@@ -60,10 +60,22 @@ def _(spark, d):
     return rounded(scoring.metrics(_judged(spark, d), by=["fold"]).select("fold", *names), names)
 
 
-@register("cv_summary", oracle("t_clicks", body=f"""WITH {metric_sql('fold')} SELECT 'stand-in' AS model_type, '{{"k": 5}}' AS parameters,
-    'sid - click_mode' AS features, 2 AS number, '{{' || string_agg('"' || CAST(fold AS VARCHAR) || '":' || CAST(round(f1, 6) AS VARCHAR), ','
-    ORDER BY fold) || '}}' AS "F1_folds", round(avg(f1), 6) AS "F1_mean", round(avg(acc), 6) AS "Acc_mean",
-    round(avg(rec), 6) AS "Recall_mean", round(avg(prec), 6) AS "Precision_mean" FROM scores"""))
+def _folds(column: str, name: str) -> str:
+    return (f"""'{{' || string_agg('"' || CAST(fold AS VARCHAR) || '":' || CAST(round({column}, 6) AS VARCHAR), ',' ORDER BY fold) || '}}' """
+            f'AS "{name}_folds"')
+
+
+_FOLD_SCORES = {"F1": "f1", "Acc": "acc", "Recall": "rec", "Precision": "prec"}
+
+
+@register("cv_summary", oracle("t_clicks", body=f"""WITH {metric_sql('fold')},
+    cells AS (SELECT fold, label, prediction, count(*) AS n FROM judged GROUP BY ALL),
+    listed AS (SELECT fold, string_agg('{{"label":' || CAST(label AS VARCHAR) || ',"prediction":' || CAST(prediction AS VARCHAR)
+        || ',"n":' || CAST(n AS VARCHAR) || '}}', ',' ORDER BY label, prediction) AS cells FROM cells GROUP BY fold)
+    SELECT 'stand-in' AS model_type, '{{"k": 5}}' AS parameters, 'sid - click_mode' AS features, 2 AS number,
+    {', '.join(_folds(c, n) for n, c in _FOLD_SCORES.items())},
+    '{{' || string_agg('"' || CAST(fold AS VARCHAR) || '":[' || cells || ']', ',' ORDER BY fold) || '}}' AS "Conf_folds",
+    {', '.join(f'round(avg({c}), 6) AS "{n}_mean"' for n, c in _FOLD_SCORES.items())} FROM scores JOIN listed USING (fold)"""))
 def _(spark, d):
     row = scoring.cv_summary(_judged(spark, d), '{"k": 5}', ["sid", "click_mode"], "stand-in")
     return rounded(row, [c for c in row.columns if c.endswith("_mean")])

@@ -16,6 +16,7 @@ from wayfold.learn import decompose, text
 from wayfold.operators import runs, setops
 from wayfold.plans.features import add_text_components
 from wayfold.schemas import PROFILE_COLUMNS
+from wayfold.session import cut_lineage
 
 
 def _documents(spark, d):
@@ -32,7 +33,7 @@ def _documents(spark, d):
     len AS (SELECT sid, sqrt(sum(w * w)) AS l FROM raw GROUP BY sid)
     SELECT sid, term, round(w / l, 6) AS weight FROM raw JOIN len USING (sid)"""))
 def _(spark, d):
-    docs = _documents(spark, d)
+    docs = cut_lineage(_documents(spark, d))  # lists are parsed once, for the frequencies and for the weights
     weighed = text.weigh(docs, text.fit_idf(docs))
     return rounded(text.weight_rows(weighed, "sid"), ["weight"])
 

@@ -104,7 +104,7 @@ def _first_modes(data: DataFrame, columns: Sequence[str], k: int) -> list[tuple]
     while len(modes) < k:
         if modes:
             row = F.array(*[F.col(c) for c in columns])
-            far = [F.size(F.filter(F.zip_with(row, F.array(*[F.lit(v) for v in m]), lambda a, b: a != b), lambda x: x)) for m in modes]
+            far = [F.size(F.filter(F.zip_with(row, F.array(*[F.lit(v) for v in m]), lambda a, b: ~a.eqNullSafe(b)), lambda x: x)) for m in modes]
             score = F.col("_w") * (F.least(*far) if len(far) > 1 else far[0])
         else:
             score = F.col("_w")
@@ -120,7 +120,7 @@ def _closest_mode(columns: Sequence[str], modes: Sequence[tuple]):
     row = F.array(*[F.col(c) for c in columns])
     centres = F.array(*[F.struct(F.array(*[F.lit(v) for v in m]).alias("m"), F.lit(n).alias("c")) for n, m in enumerate(modes)])
     far = F.transform(centres, lambda e: F.struct(
-        F.size(F.filter(F.zip_with(row, e["m"], lambda a, b: a != b), lambda x: x)).alias("d"), e["c"].alias("c")))
+        F.size(F.filter(F.zip_with(row, e["m"], lambda a, b: ~a.eqNullSafe(b)), lambda x: x)).alias("d"), e["c"].alias("c")))
     return F.array_min(far)["c"]
 
 
@@ -132,14 +132,17 @@ def density(profiles: DataFrame, columns: Sequence[str], min_samples: int, key:
     with ``min_samples`` users around it is a core; cores that are neighbours share a cluster, named
     after its smallest user; other profiles join the smallest cluster beside them or are noise (-1).
     """
-    bits = F.concat(*[F.col(c).cast("string") for c in columns])
+    # one letter an attribute; null is a value of its own, and other values than 0 and 1 are an error
+    letter = lambda c: F.when(F.col(c).isNull(), "-").when(F.col(c).isin(0, 1), F.col(c).cast("string")).otherwise(
+        F.raise_error(F.concat(F.lit(f"not 0 or 1 in {c}: "), F.col(c).cast("string"))).cast("string"))
+    bits = F.concat(*[letter(c) for c in columns])
     users = profiles.select(F.col(key).alias("_key"), bits.alias("bits"))
     kinds = cut_lineage(users.groupBy("bits").agg(F.count(F.lit(1)).alias("n"), F.min("_key").alias("first")))
     width = len(columns)
-    flip = F.transform(F.sequence(F.lit(1), F.lit(width)), lambda i: F.concat(
-        F.substr(F.col("bits"), F.lit(1), i - 1), F.when(F.substr(F.col("bits"), i, F.lit(1)) == "1", "0").otherwise("1"),
-        F.substr(F.col("bits"), i + 1)))
-    changed = kinds.select("bits", F.explode(flip).alias("other"))
+    flip = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(width)), lambda i: F.transform(
+        F.array(F.lit("0"), F.lit("1"), F.lit("-")), lambda v: F.concat(
+            F.substr(F.col("bits"), F.lit(1), i - 1), v, F.substr(F.col("bits"), i + 1)))))
+    changed = kinds.select("bits", F.explode(flip).alias("other")).where("bits <> other")
     edges = cut_lineage(changed.join(kinds.select(F.col("bits").alias("other"), F.col("n").alias("m")), "other"))
     around = edges.groupBy("bits").agg(F.sum("m").alias("m"))
     crowd = F.col("n") + F.coalesce("m", F.lit(0))

@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,16 +37,10 @@ def fit_idf(docs: DataFrame, terms: str = "terms", most: int = MOST_TERMS) -> di
 
 
 def weigh(docs: DataFrame, idf: dict[str, float], terms: str = "terms", name: str = "weights") -> DataFrame:
-    """Array of (term, weight), unit length per document, terms in order."""
-    table = F.create_map(*[x for t, w in idf.items() for x in (F.lit(t), F.lit(w))])
-    weight = lambda t: F.try_element_at(table, t) * (F.size(terms) - F.size(F.array_remove(terms, t)))
-    raw = F.transform(F.sort_array(F.array_distinct(terms)), lambda t: F.struct(t.alias("term"), weight(t).alias("weight")))
-    raw = F.filter(raw, lambda e: e["weight"].isNotNull())
-    length = F.sqrt(F.aggregate("_raw", F.lit(0.0), lambda a, e: a + e["weight"] * e["weight"]))
-    # a column used twice stays a column; used once it would be computed again for every term
-    scaled = lambda w: F.when(F.col("_length") > 0, w / F.col("_length")).otherwise(F.lit(0.0))
-    unit = F.transform("_raw", lambda e: F.struct(e["term"].alias("term"), scaled(e["weight"]).alias("weight")))
-    return docs.withColumn("_raw", raw).withColumn("_length", length).withColumn(name, unit).drop("_raw", "_length")
+    """Array of (term, weight), unit length per document, terms in order: the vectors of :func:`weight_vectors`, spelled out."""
+    words = F.array(*[F.lit(t) for t in idf]) if idf else F.array().cast("array<string>")
+    pairs = F.zip_with(words, vector_to_array("_vector"), lambda t, w: F.struct(t.alias("term"), w.alias("weight")))
+    return weight_vectors(docs, idf, terms, "_vector").withColumn(name, F.filter(pairs, lambda e: e["weight"] > 0)).drop("_vector")
 
 
 def weight_rows(docs: DataFrame, key: str, weights: str = "weights") -> DataFrame:

@@ -20,12 +20,17 @@ MOST_CENTRES = 256
 # Cell sides of the grid levels in degrees; the last covers any pair of coordinates.
 CELL_SIDES = [0.05 * 4**level for level in range(7)]
 LEVEL_REACH = 3
+# Nested cells of the nearest-site search: finest side, parts of a cell a side, first coarsest level and its most cells.
+FINEST, FAN, FIRST_LEVEL, MOST_TOP = 0.05, 8, 3, 256
 
 
 def _days(table: DataFrame, key: str) -> DataFrame:
     """Keep real ``MM-dd`` keys, once each: at most 366 rows, hence safe to broadcast."""
     real = table.where(F.col(key).rlike(r"^(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01])$"))
-    return F.broadcast(real.dropDuplicates([key]))
+    rest = [c for c in real.columns if c != key]
+    # of days that disagree the smallest row counts, in any order of the files
+    one = real.groupBy(key).agg(F.min(F.struct(*rest)).alias("_day")).select(key, *[F.col(f"_day.{c}").alias(c) for c in rest])
+    return F.broadcast(one)
 
 
 def add_holiday(df: DataFrame, holidays: DataFrame, date: str = "req_date") -> DataFrame:
@@ -65,22 +70,60 @@ def celled(df: DataFrame, x: str, y: str, reach: int) -> DataFrame:
     return spread.select("*", "_c.cx", "_c.cy").drop("_c")
 
 
+def _nested(spots: DataFrame, level: int) -> DataFrame:
+    """The cells of a level that hold a spot, with one of their spots; a cell parts into ``FAN`` by ``FAN`` finer ones."""
+    at = lambda c: F.floor(F.floor(F.col(c) / FINEST) / F.lit(FAN**level)).alias
+    cells = spots.select(at("_sx")("cx"), at("_sy")("cy"), F.struct("_sx", "_sy").alias("spot"))
+    return cells.groupBy("cx", "cy").agg(F.min("spot").alias("spot"))
+
+
+def _box_distance(cx: Column, cy: Column, level: int) -> Column:
+    side = FINEST * FAN**level
+    gap = lambda v, c: F.greatest(c * F.lit(side) - v, v - (c + 1) * F.lit(side), F.lit(0.0))
+    dx, dy = gap(F.col("_x"), cx), gap(F.col("_y"), cy)
+    return F.sqrt(dx * dx + dy * dy)
+
+
+def near_cells(places: DataFrame, spots: DataFrame) -> DataFrame:
+    """``(_x, _y, cx, cy)``: for every place the finest cells that may hold its nearest spot.
+
+    The few cells of the coarsest level are looked at in the row.  Then level by level: a spot of each cell bounds the
+    distance from above, cells whose box is farther go, the others part.  A place only meets cells that its own distance
+    passes through, however far its spots are and however many they are.
+    """
+    top = FIRST_LEVEL
+    while len(cells := _nested(spots, top).limit(MOST_TOP + 1).collect()) > MOST_TOP:
+        top += 1
+    within = lambda low, high: low <= high * F.lit(1 + 1e-9) + F.lit(1e-9)  # noqa: E731  rounding of the cell bounds
+    known = F.array(*[F.struct(F.lit(c["cx"]).alias("cx"), F.lit(c["cy"]).alias("cy"), F.lit(c["spot"]["_sx"]).alias("sx"),
+                               F.lit(c["spot"]["_sy"]).alias("sy")) for c in cells])
+    if not cells:
+        return places.select("_x", "_y", F.lit(0).alias("cx"), F.lit(0).alias("cy")).limit(0)
+    bound = F.array_min(F.transform(known, lambda c: planar(F.col("_x"), F.col("_y"), c["sx"], c["sy"])))
+    open_ = F.filter(known, lambda c: within(_box_distance(c["cx"], c["cy"], top), bound))
+    found = places.select("_x", "_y", F.explode(open_).alias("c")).select("_x", "_y", "c.cx", "c.cy")
+    for level in range(top - 1, -1, -1):
+        finer = _nested(spots, level).select(
+            F.floor(F.col("cx") / FAN).alias("cx"), F.floor(F.col("cy") / FAN).alias("cy"), F.col("cx").alias("fx"), F.col("cy").alias("fy"), "spot")
+        met = found.join(finer, ["cx", "cy"]).select(
+            "_x", "_y", planar(F.col("_x"), F.col("_y"), F.col("spot._sx"), F.col("spot._sy")).alias("high"),
+            F.struct(_box_distance(F.col("fx"), F.col("fy"), level).alias("low"), F.col("fx").alias("cx"), F.col("fy").alias("cy")).alias("c"))
+        # a place has a few cells of FAN by FAN parts each
+        per = met.groupBy("_x", "_y").agg(F.min("high").alias("high"), F.collect_list("c").alias("cs"))
+        found = per.select("_x", "_y", F.explode(F.filter("cs", lambda c: within(c["low"], F.col("high")))).alias("c")).select("_x", "_y", "c.cx", "c.cy")
+    return found
+
+
 def nearest(points: DataFrame, x: str, y: str, sites: DataFrame, site_x: str, site_y: str) -> DataFrame:
     """Exact distance from every distinct point to its nearest distinct site: ``(x, y, dist)``.
 
-    A site within the 3x3 cells around a point bounds its distance by 2.83 cell sides, so the
-    nearest site lies within three cells.  Each point uses the finest level where that holds.
-    Repeated coordinates are merged before any join, on both sides, so the join works on places
-    and not on sessions.
+    Repeated coordinates are merged before any join, on both sides, so the joins work on places and not on sessions.
+    Sites are rounded to two decimals: a finest cell holds at most 36 of them.
     """
     places = points.select(F.col(x).alias("_x"), F.col(y).alias("_y")).dropna().distinct()
     spots = sites.select(F.round(site_x, 2).alias("_sx"), F.round(site_y, 2).alias("_sy")).dropna().distinct()
-    site_cells = celled(leveled(spots), "_sx", "_sy", 0)
-    near = celled(leveled(spots), "_sx", "_sy", 1).select("level", "cx", "cy").distinct()
-    own = celled(leveled(places), "_x", "_y", 0).join(near, ["level", "cx", "cy"], "left_semi")
-    finest = own.groupBy("_x", "_y").agg(F.min(F.struct("level", "side")).alias("m")).select("_x", "_y", "m.level", "m.side")
-    pairs = celled(finest, "_x", "_y", LEVEL_REACH).drop("side").join(
-        site_cells.drop("side"), ["level", "cx", "cy"])
+    at = lambda c: F.floor(F.col(c) / FINEST)
+    pairs = near_cells(places, spots).join(spots.select(at("_sx").alias("cx"), at("_sy").alias("cy"), "_sx", "_sy"), ["cx", "cy"])
     dist = planar(F.col("_x"), F.col("_y"), F.col("_sx"), F.col("_sy"))
     return pairs.groupBy("_x", "_y").agg(F.min(dist).alias("dist")).withColumnsRenamed({"_x": x, "_y": y})
 

@@ -5,7 +5,7 @@ A global ``row_number`` would send all rows to a single task.  Instead:
 * :func:`cut_points` finds the rows at given ranks with a few histogram passes, each a
   ``groupBy(bucket)`` with map-side combine; the data itself is never shuffled.
 * :func:`dense_index` numbers rows in digest order through even buckets and bucket offsets.
-* :func:`running_totals` sums in key order through key blocks and block offsets.
+* :func:`running_totals` sums in key order through key ranges and block offsets.
 """
 
 from __future__ import annotations
@@ -30,14 +30,33 @@ def micros(column: str | Column) -> Column:
     return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), column)
 
 
+def _cell(low, high) -> Column:
+    """Number of the histogram cell of ``v`` between two values; infinities get cells of their own.
+
+    Halves keep the width of the interval within a double, whole numbers beyond 2^53 are counted from the low end.
+    """
+    v = F.col("v")
+    if isinstance(low, int):
+        share = (v.cast("decimal(38,0)") - F.lit(low)).cast("double") / F.lit(float(high - low))
+    elif math.isinf(low) or math.isinf(high):
+        return F.when(v == float("-inf"), 0).when(v == float("inf"), 2).otherwise(1)
+    else:
+        share = (v.cast("double") / 2 - F.lit(float(low) / 2)) / F.lit(float(high) / 2 - float(low) / 2)
+    # the ends always fall apart, so every pass narrows the interval
+    return F.when(v == F.lit(high), BUCKETS - 1).otherwise(F.least(F.floor(share * BUCKETS).cast("int"), F.lit(BUCKETS - 2)))
+
+
 def _order_statistics(df: DataFrame, column: str, ranks: Sequence[int] | Callable[[int], Sequence[int]],
                       small: int = SMALL) -> dict[int, tuple]:
     """For each 0-based rank: (value there, rows below that value, rows with that value).
 
-    ``ranks`` may be a function of the number of rows.  Nulls are not counted.  The driver only sees histogram cells and at most ``small``
-    distinct values per open interval.
+    ``ranks`` may be a function of the number of rows.  Nulls and NaN are not counted.  The driver only sees histogram
+    cells and at most ``small`` distinct values per open interval.
     """
-    df = df.select(F.col(column).alias("v"))
+    value = F.col(column)
+    if df.schema[column].dataType.typeName() in ("double", "float"):
+        value = F.when(~F.isnan(value), value)
+    df = df.select(value.alias("v"))
     n, low, high = df.agg(F.count("v"), F.min("v"), F.max("v")).first()
     ranks = ranks(n) if callable(ranks) else ranks
     for rank in ranks:
@@ -53,8 +72,7 @@ def _order_statistics(df: DataFrame, column: str, ranks: Sequence[int] | Callabl
         which = F.lit(None).cast("int")
         for number, (lo, hi, _, _) in enumerate(wide):
             inside = F.col("v").between(F.lit(lo), F.lit(hi))
-            share = (F.col("v") - F.lit(lo)).cast("double") / F.lit(float(hi - lo))
-            at = F.least(F.floor(share * BUCKETS).cast("int"), F.lit(BUCKETS - 1))
+            at = _cell(lo, hi)
             cell, which = F.when(inside, at).otherwise(cell), F.when(inside, F.lit(number)).otherwise(which)
         # rows outside fall into one null cell; a filter would be pushed below the projection and
         # compute the column once more for every comparison in it
@@ -64,6 +82,8 @@ def _order_statistics(df: DataFrame, column: str, ranks: Sequence[int] | Callabl
         narrowed = {}
         for number, interval in enumerate(wide):
             below, parts = interval[2], []
+            if sum(c["which"] == number for c in cells) < 2:
+                raise ValueError(f"no cut between {interval[0]} and {interval[1]}")
             for c in sorted((c for c in cells if c["which"] == number), key=lambda c: c["cell"]):
                 parts.append((c["lo"], c["hi"], below, c["n"]))
                 below += c["n"]
@@ -141,13 +161,13 @@ def quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> list[float
     return out
 
 
-def fill_median(df: DataFrame, column: str, store: bool = False) -> DataFrame:
-    """Null becomes the exact global median.
+def fill_median(df: DataFrame, column: str, store: bool = False, basis: DataFrame | None = None) -> DataFrame:
+    """Null becomes the exact global median, of ``basis`` where a cheaper table with the same values is given.
 
-    ``store`` writes the one column to the checkpoint folder first; use it where ``df`` is costly
+    ``store`` writes the one column to the checkpoint folder first; use it where the values are costly
     to compute, as the median takes a few passes.
     """
-    values = df.select(column)
+    values = (df if basis is None else basis).select(column)
     (median,) = quantiles(cut_lineage(values) if store else values, column, [0.5])
     return df.withColumn(column, F.coalesce(F.col(column).cast("double"), F.lit(median)))
 
@@ -175,21 +195,19 @@ def dense_index(df: DataFrame, digest: str, ties: Sequence[str], by: Sequence[st
     return joined.withColumn(name, F.col("_offset") + inside - 1).drop("_bucket", "_offset")
 
 
-def running_totals(df: DataFrame, key: str, value: str, name: str = "total", width: int | None = None) -> DataFrame:
-    """Sum of ``value`` over all smaller or equal keys; ``key`` is a whole number and unique.
+def running_totals(df: DataFrame, key: str, value: str, name: str = "total", per_block: int = 250_000) -> DataFrame:
+    """Sum of ``value`` over all smaller or equal keys; ``key`` is unique and may be of any spread.
 
-    A block spans ``width`` keys, so no window holds more than that many rows; the block sums
-    are one row per block.  ``width`` defaults to the root of the key range, which keeps both small.
+    The rows are dealt by ranges of the key into blocks of about ``per_block`` rows and stored, so that the blocks stay
+    what they are; a window works inside one block, and the block sums are one row per block.
     """
-    if width is None:
-        low, high = df.agg(F.min(key), F.max(key)).first()
-        width = max(1024, math.isqrt((high or 0) - (low or 0)) + 1)
-    blocks = df.withColumn("_block", F.floor(F.col(key) / F.lit(width)))
-    sums = blocks.groupBy("_block").agg(F.sum(value).alias("_sum"))
+    blocks = -(-df.count() // per_block) or 1
+    placed = cut_lineage(df.repartitionByRange(blocks, key).withColumn("_block", F.spark_partition_id()))
+    sums = placed.groupBy("_block").agg(F.sum(value).alias("_sum"))
     before = Window.partitionBy(F.lit(0)).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.withColumn("_offset", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
     upto = Window.partitionBy("_block").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
-    return (blocks.join(offsets, "_block")
+    return (placed.join(offsets, "_block")
             .withColumn(name, F.col("_offset") + F.sum(value).over(upto))
             .drop("_block", "_offset"))
 

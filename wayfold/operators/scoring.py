@@ -75,12 +75,17 @@ def cv_summary(scored: DataFrame, params: str, features: Sequence[str], model: s
     """One row per run: scores of every fold as JSON, their means, parameters and features."""
     per = metrics(scored, by=["fold"])
     named = {"F1": "weighted_f1", "Acc": "accuracy", "Recall": "weighted_recall", "Precision": "weighted_precision"}
-    folds = F.map_from_entries(F.sort_array(F.collect_list(F.struct(
-        F.col("fold").cast("string").alias("key"), F.round("weighted_f1", 6).alias("value")))))
+    # confusion counts of each fold, one entry per pair of classes
+    cells = confusion(scored, by=["fold"]).groupBy("fold").agg(F.sort_array(F.collect_list(F.struct(
+        F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"), "n"))).alias("cells"))
     # one entry per fold, a handful
-    return per.agg(F.lit(model).alias("model_type"), F.lit(params).alias("parameters"),
-                   F.lit(" - ".join(features)).alias("features"), F.lit(len(features)).alias("number"),
-                   F.to_json(folds).alias("F1_folds"), *[F.avg(c).alias(f"{n}_mean") for n, c in named.items()])
+    folds = lambda value: F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct(
+        F.col("fold").cast("string").alias("key"), value.alias("value"))))))
+    return per.join(cells, "fold").agg(
+        F.lit(model).alias("model_type"), F.lit(params).alias("parameters"),
+        F.lit(" - ".join(features)).alias("features"), F.lit(len(features)).alias("number"),
+        *[folds(F.round(c, 6)).alias(f"{n}_folds") for n, c in named.items()], folds(F.col("cells")).alias("Conf_folds"),
+        *[F.avg(c).alias(f"{n}_mean") for n, c in named.items()])
 
 
 def score_submission(submission: DataFrame, truth: DataFrame) -> DataFrame:
@@ -138,6 +143,7 @@ def silhouette(df: DataFrame, features: str, cluster: str) -> DataFrame:
     own = F.get(F.filter("_d", lambda e: e["c"] == F.col(cluster)), F.lit(0))
     nearest = F.array_min(F.transform(F.filter("_d", lambda e: e["c"] != F.col(cluster)), lambda e: e["d"]))
     measured = measured.select(own["n"].alias("n"), (own["d"] + F.col("_norm")).alias("own"), (nearest + F.col("_norm")).alias("others"))
-    a, others = F.col("own") * F.col("n") / (F.col("n") - 1), F.col("others")
-    value = F.when(F.col("n") > 1, (others - a) / F.greatest(a, others)).otherwise(F.lit(0.0))
+    a, others = F.coalesce(F.try_divide(F.col("own") * F.col("n"), F.col("n") - 1), F.lit(0.0)), F.col("others")
+    # clusters of equal points are as near to one another as to themselves
+    value = F.when((F.col("n") > 1) & (F.greatest(a, others) > 0), F.try_divide(others - a, F.greatest(a, others))).otherwise(F.lit(0.0))
     return measured.select(value.alias("s")).agg(F.avg("s").alias("silhouette"), F.count("s").alias("n"))

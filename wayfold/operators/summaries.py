@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from wayfold.functions.clock import part_of_day
 from wayfold.operators.ranks import quantiles
 
+MOST_TYPES = 1000
+
 
 def counts(df: DataFrame, *keys: str | Column, name: str = "n") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
@@ -24,13 +26,14 @@ def activity(df: DataFrame, user: str = "pid", few: int = 5) -> DataFrame:
     per_user = df.where(F.col(user).isNotNull()).groupBy(user).agg(F.count(F.lit(1)).alias("n"))
     sizes = per_user.groupBy("n").agg(F.count(F.lit(1)).alias("users"))
     total, heads = F.sum(F.col("n") * F.col("users")), F.sum("users")
-    squares = F.sum(F.col("n") * F.col("n") * F.col("users"))
+    squares = F.sum(F.col("n").cast("double") * F.col("n") * F.col("users"))
     q = F.percentile("n", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("users"))
     row = sizes.agg(heads.alias("users"), total.alias("rows"), squares.alias("_sq"), F.min("n").alias("min"),
                     F.max("n").alias("max"), q.alias("_q"),
                     F.coalesce(F.sum(F.when(F.col("n") < few, F.col("users"))), F.lit(0)).alias("few"))
-    mean = F.col("rows") / F.col("users")
-    spread = F.sqrt((F.col("_sq") - F.col("rows") * mean) / (F.col("users") - 1))
+    mean = F.try_divide("rows", "users")
+    # null for one user or none; rounding must not take the sum of squares below zero
+    spread = F.sqrt(F.try_divide(F.greatest(F.col("_sq") - F.col("rows") * mean, F.lit(0.0)), F.col("users") - 1))
     return row.select("users", "rows", mean.alias("mean"), spread.alias("std"), "min",
                       *[F.col("_q")[i].alias(c) for i, c in enumerate(("q25", "q50", "q75"))], "max", "few")
 
@@ -109,12 +112,15 @@ def cluster_members(df: DataFrame, cluster: str = "cluster", key: str = "pid", b
             .agg(F.sort_array(F.collect_list(key)).alias("members")))
 
 
-def score_by_model(runs: DataFrame, digits: int = 6) -> DataFrame:
-    """Quartiles of the score per model type, over (score, frequency) pairs of rounded scores."""
-    steps = runs.groupBy("model_type", F.round("score", digits).alias("score")).agg(F.count(F.lit(1)).alias("_n"))
-    q = F.percentile("score", F.array(*[F.lit(s) for s in (0.0, 0.25, 0.5, 0.75, 1.0)]), F.col("_n"))
-    out = steps.groupBy("model_type").agg(F.sum("_n").alias("runs"), q.alias("_q"))
-    return out.select("model_type", "runs", *[F.col("_q")[i].alias(c) for i, c in enumerate(("min", "q25", "q50", "q75", "max"))])
+def score_by_model(runs: DataFrame) -> DataFrame:
+    """Exact quartiles of the score per model type, by histogram passes for each of the few types (checked)."""
+    sizes = runs.where(F.col("score").isNotNull()).groupBy("model_type").count().limit(MOST_TYPES + 1).collect()
+    if len(sizes) > MOST_TYPES:
+        raise ValueError(f"more than {MOST_TYPES} model types")
+    rows = [(r["model_type"], r["count"], *quantiles(runs.where(F.col("model_type").eqNullSafe(F.lit(r["model_type"]))), "score",
+                                                    [0.0, 0.25, 0.5, 0.75, 1.0])) for r in sizes]
+    return runs.sparkSession.createDataFrame(
+        rows, "model_type string, runs bigint, min double, q25 double, q50 double, q75 double, max double")
 
 
 def best_row(df: DataFrame, score: str, value: str) -> DataFrame:

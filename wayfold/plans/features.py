@@ -95,7 +95,9 @@ def features_row(queries: DataFrame, plans: DataFrame, clicks: DataFrame | None,
     rows = planlists.unfold(plan_features(joined, keep=None))
     if share is not None:
         rows = ranks.split_sessions_by_time(rows, share)
-    rows = ranks.fill_median(rows, "price", store=True)
+    # the prices alone, without clicks, attributes and features
+    slim = joins.join_profiles(queries.select("sid", "pid").join(plans.select("sid", "plans"), "sid"), profiles.select("pid"), unknown="drop")
+    rows = ranks.fill_median(rows, "price", store=True, basis=planlists.unfold(_parsed(slim.select("plans"))))
     return encode.label_response(rows) if clicks is not None else rows
 
 

@@ -22,6 +22,7 @@ def build_session(app: str = "wayfold", master: str | None = None, **conf: str)
         # split a hot key even where the next operator could have reused the join's partitioning
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.ui.enabled": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }
     for key, value in settings.items():
@@ -32,11 +33,14 @@ def build_session(app: str = "wayfold", master: str | None = None, **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder: ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (a laptop, the tests) a fresh local folder is made.
+    Only on a local master, where all tasks share one disk, a fresh local folder stands in for it; elsewhere its
+    absence is an error, as each executor would write to a disk of its own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not configured and spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not configured:
         configured = getattr(shared_dir, "_fallback", None)
     if not configured:
