@@ -40,7 +40,19 @@ def _(spark, d):
     return quality.check_row_count(queries, queries.join(B.clicks_table(spark, d).select("sid"), "sid", "left"))
 
 
-@register("check_folds", "SELECT CAST(0 AS BIGINT) AS repeated, CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS unknown, count(*) >= 0 AS ok FROM orders")
+# A fold table with sids left out, listed twice, and unknown ones.
+_BROKEN = "SELECT sid FROM t_queries WHERE sid % 7 <> 0 UNION ALL SELECT sid FROM t_queries WHERE sid % 11 = 0 UNION ALL SELECT -sid FROM t_queries WHERE sid % 13 = 0"
+
+
+@register("check_folds", oracle("t_queries", body=f"""WITH folded AS (SELECT 'whole' AS kind, sid FROM t_queries UNION ALL SELECT 'broken', sid FROM ({_BROKEN})),
+    times AS (SELECT kind, sid, count(*) AS n FROM folded GROUP BY ALL),
+    found AS (SELECT kind, count(*) FILTER (WHERE n > 1) AS repeated, (SELECT count(*) FROM t_queries) - count(*) FILTER (WHERE sid >= 0) AS missing,
+    count(*) FILTER (WHERE sid < 0) AS unknown FROM times GROUP BY kind)
+    SELECT *, repeated + missing + unknown = 0 AS ok FROM found"""))
 def _(spark, d):
-    sids = B.table(spark, d, "orders").selectExpr("o_orderkey AS sid")
-    return quality.check_folds(folds.folds_equal(sids, 5), sids)
+    queries = B.queries_table(spark, d).select("sid")
+    whole = folds.folds_shuffled(queries, 5).select("sid", "fold")
+    broken = whole.where("sid % 7 <> 0").unionByName(whole.where("sid % 11 = 0")).unionByName(
+        whole.where("sid % 13 = 0").select((-F.col("sid")).alias("sid"), "fold"))
+    checked = [quality.check_folds(df, queries).withColumn("kind", F.lit(kind)) for kind, df in (("whole", whole), ("broken", broken))]
+    return checked[0].unionByName(checked[1])

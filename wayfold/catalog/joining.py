@@ -8,7 +8,7 @@ from wayfold import bindings as B
 from wayfold.bindings import oracle
 from wayfold.catalog import register
 from wayfold.catalog.scalars import coords_of, rounded
-from wayfold.functions import clock
+from wayfold.functions import clock, encode
 from wayfold.operators import context, joins
 from wayfold.schemas import PROFILE_COLUMNS, WEATHER
 
@@ -158,6 +158,16 @@ def _(spark, d):
     return context.add_districts(coords_of(spark, d), B.districts_table(spark, d)).select("sid", "o_district", "d_district")
 
 
+@register("district_code", oracle("t_coords", "t_districts", body="""WITH pairs AS (
+    SELECT sid, idx, sqrt((c.o_long - t.o_long) * (c.o_long - t.o_long) + (c.o_lat - t.o_lat) * (c.o_lat - t.o_lat)) AS od
+    FROM t_coords c CROSS JOIN t_districts t)
+    SELECT sid, CAST(min(idx) FILTER (WHERE od = mo) AS INT) AS code, CAST(NULL AS INT) AS none
+    FROM (SELECT *, min(od) OVER (PARTITION BY sid) AS mo FROM pairs) GROUP BY sid"""))
+def _(spark, d):
+    labelled = context.add_districts(coords_of(spark, d), B.districts_table(spark, d))
+    return labelled.select("sid", encode.district_code(F.col("o_district")).alias("code"), encode.district_code(F.lit("unknown")).alias("none"))
+
+
 @register("district_distances", oracle("t_coords", "t_districts", body="SELECT sid, " + ", ".join(
     f"round(max(CASE WHEN idx = {i} THEN sqrt((c.o_long - t.o_long) * (c.o_long - t.o_long) "
     f"+ (c.o_lat - t.o_lat) * (c.o_lat - t.o_lat)) END), 6) AS o_distance_{i}" for i in range(16))

@@ -9,7 +9,7 @@ from wayfold.bindings import oracle
 from wayfold.catalog import register
 from wayfold.catalog.scalars import coords_of, rounded
 from wayfold.functions import clock, encode, planlists
-from wayfold.functions.digest import digest60
+from wayfold.functions.digest import BITS, digest60, digest60_sql
 from wayfold.learn import classifiers, clusters, cross_validation, ranker, stacking
 from wayfold.operators import folds, joins, ranks, sampling, scoring
 from wayfold.schemas import MODES, PROFILE_COLUMNS
@@ -43,16 +43,25 @@ def _plans(spark, d, k=2):
 PLAN = ["distance", "eta", "price", *[f"mode_{m}" for m in MODES[1:]]]
 
 
-def _shown(oof):
-    return rounded(oof, [c for c in oof.columns if c.startswith("prob_")])
+def _shown(predicted, *keys):
+    """What SQL can state of a table of predictions: its keys, the sum of the probabilities, and that the largest is predicted."""
+    probs = F.array(*[f"prob_{m}" for m in MODES])
+    total = F.round(F.aggregate(probs, F.lit(0.0), lambda a, p: a + p), 6)
+    return predicted.select(*keys, total.alias("total"), (F.get(probs, F.col("prediction")) >= F.array_max(probs) - 1e-9).alias("top"))
 
 
-@register("cv_classifier")
+OOF = ("sid", "fold", "label")
+_FOLDED = f"""SELECT sid, CAST(row_number() OVER (ORDER BY {digest60_sql('sid', seed=0)}, sid) > (count(*) OVER () + 1) // 2 AS INT) AS fold,
+    CAST(coalesce(click_mode, 0) AS INT) AS label, CAST(1 AS DOUBLE) AS total, true AS top FROM t_coords LEFT JOIN t_clicks USING (sid)"""
+OOF_SQL = oracle("t_coords", "t_clicks", body=_FOLDED)
+
+
+@register("cv_classifier", OOF_SQL)
 def _(spark, d):
-    return _shown(cross_validation.cv_classifier(_sessions(spark, d), TRIP, classifiers.logistic(rounds=10), scaled=True))
+    return _shown(cross_validation.cv_classifier(_sessions(spark, d), TRIP, classifiers.logistic(rounds=10), scaled=True), *OOF)
 
 
-@register("clf_boosted")
+@register("clf_boosted", OOF_SQL)
 def _(spark, d):
     table = _sessions(spark, d)
 
@@ -60,27 +69,27 @@ def _(spark, d):
         """As many rows as the training part has, the same number of each class."""
         sizes = sampling.class_sizes(train, "click_mode")
         return cut_lineage(sampling.draw_exactly(train, "click_mode", {m: sum(sizes.values()) // len(sizes) for m in sizes}))
-    return _shown(cross_validation.cv_classifier(table, TRIP, classifiers.boosted(rounds=2, depth=3), balance=balance))
+    return _shown(cross_validation.cv_classifier(table, TRIP, classifiers.boosted(rounds=2, depth=3), balance=balance), *OOF)
 
 
-@register("clf_forest")
+@register("clf_forest", OOF_SQL)
 def _(spark, d):
-    return _shown(cross_validation.cv_classifier(_sessions(spark, d), TRIP, classifiers.forest(trees=10, depth=5)))
+    return _shown(cross_validation.cv_classifier(_sessions(spark, d), TRIP, classifiers.forest(trees=10, depth=5)), *OOF)
 
 
-@register("clf_tree")
+@register("clf_tree", oracle("t_coords", "t_clicks", body=f"SELECT t.*, depth FROM ({_FOLDED}) t CROSS JOIN (SELECT unnest([3, 5]) AS depth)"))
 def _(spark, d):
     table = _sessions(spark, d)
     parts = [cross_validation.cv_classifier(table, TRIP, classifiers.tree(depth)).withColumn("depth", F.lit(depth)) for depth in (3, 5)]
-    return _shown(parts[0].unionByName(parts[1]))
+    return _shown(parts[0].unionByName(parts[1]), *OOF, "depth")
 
 
-@register("clf_mlp")
+@register("clf_mlp", oracle("t_coords", "t_clicks", body=f"SELECT t.*, layers FROM ({_FOLDED}) t CROSS JOIN (SELECT unnest([3, 4]) AS layers)"))
 def _(spark, d):
     table = _sessions(spark, d)
     parts = [cross_validation.cv_classifier(table, TRIP, classifiers.net(len(TRIP), hidden, rounds=10), scaled=True)
              .withColumn("layers", F.lit(len(hidden))) for hidden in (classifiers.SMALL_NET, classifiers.LARGE_NET)]
-    return _shown(parts[0].unionByName(parts[1]))
+    return _shown(parts[0].unionByName(parts[1]), *OOF, "layers")
 
 
 @register("clf_knn", oracle("t_coords", "t_clicks", body="""WITH labelled AS (SELECT o_long, o_lat, click_mode FROM t_coords JOIN t_clicks USING (sid)),
@@ -105,32 +114,48 @@ def _(spark, d):
     return rounded(cross_validation.hyper_grid(_sessions(spark, d), TRIP, classifiers.tree(), grid), ["weighted_f1", "accuracy"])
 
 
-@register("rank_pairwise")
+_RANK_FOLD = f"CAST({digest60_sql('sid', seed=3)} % 2 AS INT)"
+
+
+@register("rank_pairwise", oracle("t_dedup", body=f"SELECT sid, {_RANK_FOLD} AS fold, transport_mode, true AS scored FROM t_dedup"))
 def _(spark, d):
     scored = ranker.cv_ranker(_plans(spark, d), PLAN, rounds=10)
-    return rounded(scored.select("sid", "fold", "transport_mode", "score"), ["score"])
+    finite = F.col("score").isNotNull() & ~F.isnan("score") & (F.abs("score") < float("inf"))
+    return scored.select("sid", "fold", "transport_mode", finite.alias("scored"))
+
+
+@register("rank_final_predict", oracle("t_dedup", body=f"SELECT sid, count(*) AS shown, true AS listed FROM t_dedup WHERE {_RANK_FOLD} = 1 GROUP BY sid"))
+def _(spark, d):
+    """Sessions of the other half, clicked or not, ranked by stored weights: is one of the modes shown on top?"""
+    rows = _plans(spark, d)
+    scored = ranker.final_fit_predict(rows.where("fold = 0"), rows.where("fold = 1").drop("click_mode"), PLAN, scratch_path(spark, "ranker"), rounds=10)
+    best = scoring.best_per_session(scored, order=B.SHOWN).select("sid", F.col("transport_mode").alias("prediction"))
+    listed = F.max(F.col("prediction") == F.col("transport_mode")).alias("listed")
+    return scored.join(best, "sid").groupBy("sid").agg(F.count(F.lit(1)).alias("shown"), listed)
 
 
-@register("final_fit_predict")
+@register("final_fit_predict", oracle("t_coords", body=f"""SELECT sid, CAST(1 AS DOUBLE) AS total, true AS top FROM t_coords
+    WHERE {digest60_sql('sid', seed=0)} >= {int(0.75 * 2**BITS)}"""))
 def _(spark, d):
     table = folds.split_random(_sessions(spark, d))
     train, test = table.where("split = 'train'"), table.where("split = 'test'")
-    return _shown(cross_validation.final_fit_predict(train, test, TRIP, classifiers.forest(10, 5), scratch_path(spark, "model")))
+    return _shown(cross_validation.final_fit_predict(train, test, TRIP, classifiers.forest(10, 5), scratch_path(spark, "model")), "sid")
 
 
-@register("stack_fit")
+@register("stack_fit", OOF_SQL)
 def _(spark, d):
     table = _sessions(spark, d)
     base = {f"depth{n}": cross_validation.cv_classifier(table, TRIP, classifiers.tree(n)) for n in (3, 5)}
     stacked = cut_lineage(stacking.stack_features(base, B.clicks_table(spark, d)))
-    return _shown(stacking.stack_fit(stacked, table, classifiers.tree(5)))
+    return _shown(stacking.stack_fit(stacked, table, classifiers.tree(5)), *OOF)
 
 
 @register("predict_user_cluster")
 def _(spark, d):
     labels = clusters.kmeans(B.profiles_table(spark, d), PROFILE_COLUMNS, 4, rounds=5)
     table = cut_lineage(joins.identified(_sessions(spark, d)).join(labels, "pid"))
-    return _shown(cross_validation.cv_classifier(table, TRIP, classifiers.forest(5, 5), label="cluster", classes=range(4)))
+    found = cross_validation.cv_classifier(table, TRIP, classifiers.forest(5, 5), label="cluster", classes=range(4))
+    return rounded(found, [c for c in found.columns if c.startswith("prob_")])
 
 
 @register("rank_scores")

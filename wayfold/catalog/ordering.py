@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from wayfold import bindings as B
 from wayfold.bindings import SHOWN, oracle
 from wayfold.catalog import register
-from wayfold.operators import ranks, summaries
+from wayfold.operators import ranks, scoring, summaries
 
 SCORE = "(sid * 31 + transport_mode * 17) % 7"
 
@@ -59,12 +59,17 @@ def _(spark, d):
     return summaries.top_users(B.queries_table(spark, d), 50)
 
 
-@register("best_k", """SELECT l_linenumber AS k, score FROM (SELECT l_linenumber, round(avg(l_discount), 6) AS score
-    FROM lineitem GROUP BY 1) ORDER BY score DESC, l_linenumber LIMIT 1""")
+@register("best_k", """WITH x AS (SELECT vec_id, unnest(range(1, 65)) AS i, unnest(CAST(embedding AS DOUBLE[])) AS v FROM embeddings),
+    dists AS (SELECT a.vec_id, b.vec_id AS other, sum((a.v - b.v) * (a.v - b.v)) AS dist FROM x a JOIN x b ON a.i = b.i GROUP BY a.vec_id, b.vec_id),
+    pairs AS (SELECT k, vec_id, vec_id % k AS la, other % k AS lb, dist FROM dists CROSS JOIN (SELECT unnest([2, 4, 8]) AS k)),
+    means AS (SELECT k, vec_id, la, lb, sum(dist) / CASE WHEN la = lb THEN count(*) - 1 ELSE count(*) END AS m FROM pairs GROUP BY k, vec_id, la, lb),
+    ab AS (SELECT k, vec_id, max(CASE WHEN la = lb THEN m END) AS a, min(CASE WHEN la <> lb THEN m END) AS b FROM means GROUP BY k, vec_id)
+    SELECT CAST(k AS INT) AS k, round(avg((b - a) / greatest(a, b)), 6) AS score FROM ab GROUP BY k ORDER BY score DESC, k LIMIT 1""")
 def _(spark, d):
-    scores = B.table(spark, d, "lineitem").groupBy(F.col("l_linenumber").alias("k")).agg(
-        F.round(F.avg("l_discount"), 6).alias("score"))
-    return summaries.best_row(scores, "score", "k")
+    points = B.table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("x"))
+    scores = [scoring.silhouette(points.withColumn("label", F.col("vec_id") % k), "x", "label").select(
+        F.lit(k).alias("k"), F.round("silhouette", 6).alias("score")) for k in (2, 4, 8)]
+    return summaries.best_row(scores[0].unionByName(scores[1]).unionByName(scores[2]), "score", "k")
 
 
 @register("sort_head", oracle("t_rows", body=f"""(SELECT 'head' AS kind, sid, distance FROM t_rows ORDER BY distance, sid,

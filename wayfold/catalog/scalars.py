@@ -184,14 +184,6 @@ def _(spark, d):
     return encode.overwrite_where(df, F.col("p0") == 0, encode.column_range(df, "p1", "p3")).drop("p0")
 
 
-@register("district_code", oracle("t_queries", body="""SELECT sid, CAST(sid % 16 AS INT) AS code, CAST(NULL AS INT) AS none
-    FROM t_queries"""))
-def _(spark, d):
-    label = F.concat(F.lit("o_district_"), (F.col("sid") % 16).cast("string"))
-    return B.queries_table(spark, d).select("sid", encode.district_code(label).alias("code"),
-                                            encode.district_code(F.lit("unknown")).alias("none"))
-
-
 _VALUE = {"dist": "distance", "price": "CASE WHEN pos IS NULL THEN NULL ELSE coalesce(TRY_CAST(price AS INT), 0) END", "eta": "eta"}
 STATS_SQL = ", ".join(
     f"CAST(coalesce(max({v}), -1) AS INT) AS max_{k}, CAST(coalesce(min({v}), -1) AS INT) AS min_{k}, "

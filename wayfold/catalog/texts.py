@@ -99,14 +99,20 @@ def _(spark, d):
     return found.groupBy("column").agg(F.count("cell").alias("cells"))
 
 
-@register("geo_cell_one_hot", oracle("t_coords", body=f"""WITH c AS (SELECT sid, {_hex_sql('o', 4)} AS cell FROM t_coords)
-    SELECT cell, count(*) AS n, CAST(count(*) AS BIGINT) AS ones FROM c GROUP BY cell"""))
+# Ends and resolutions whose cells are one-hot encoded.
+_HOT = (("o", 4), ("d", 4), ("o", 6), ("o", 7), ("o", 8))
+
+
+@register("geo_cell_one_hot", oracle("t_coords", body=f"WITH c AS (SELECT sid, {_CELLS_SQL} FROM t_coords) SELECT sid, " + ", ".join(
+    f"CAST(dense_rank() OVER (ORDER BY {e}_cell_{n}) - 1 AS INT) AS {e}_{n}, CAST((SELECT count(DISTINCT {e}_cell_{n}) FROM c) + 1 AS INT) AS {e}_{n}_width"
+    for e, n in _HOT) + " FROM c"))
 def _(spark, d):
-    cells = coords_of(spark, d).select("sid", hexgrid.hex_cell(F.col("o_long"), F.col("o_lat"), 4).alias("cell"))
-    hot = encode.one_hot(cells, "cell")
-    flags = [F.col(f"`{c}`") for c in hot.columns if c.startswith("cell_")]
-    ones = sum(flags[1:], flags[0])
-    return hot.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.sum(ones).alias("ones"))
+    cells = {f"{e}_{n}": hexgrid.hex_cell(F.col(f"{e}_long"), F.col(f"{e}_lat"), n) for e, n in _HOT}
+    hot = cut_lineage(coords_of(spark, d).select("sid", *[c.alias(name) for name, c in cells.items()]))
+    for name in cells:
+        hot = encode.one_hot_vector(hot, name, f"hot_{name}")
+    values = {name: F.unwrap_udt(F.col(f"hot_{name}")) for name in cells}
+    return hot.select("sid", *[c for name, v in values.items() for c in (v["indices"][0].alias(name), v["size"].alias(f"{name}_width"))])
 
 
 @register("params_to_rows", """SELECT c_custkey AS run, 'metric' AS kind, 'F1_mean' AS "key", CAST(c_nationkey AS VARCHAR) AS value FROM customer

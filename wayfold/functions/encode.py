@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,10 +13,18 @@ def vocabulary(df: DataFrame, column: str, most: int = 1000) -> list:
     """Sorted distinct values; refuses a column with more than ``most`` of them."""
     values = [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().limit(most + 1).collect()]
     if len(values) > most:
-        raise ValueError(f"{column} has more than {most} values; one-hot encoding is not meant for it")
+        raise ValueError(f"{column} has more than {most} values; take one_hot_vector")
     return sorted(values)
 
 
+def one_hot_vector(df: DataFrame, column: str, name: str) -> DataFrame:
+    """A sparse vector with a place per value, in the order of the values, and a last one for null: for columns of many values."""
+    index = StringIndexer(inputCol=column, outputCol="_index", stringOrderType="alphabetAsc", handleInvalid="keep").fit(df)
+    encoder = OneHotEncoder(inputCol="_index", outputCol=name, dropLast=False)
+    marked = index.transform(df)
+    return encoder.fit(marked).transform(marked).drop("_index")
+
+
 def one_hot(df: DataFrame, column: str, values: Iterable | None = None, prefix: str | None = None) -> DataFrame:
     """A 0/1 column per value, named ``<prefix>_<value>``.  Give ``values`` to avoid the extra job."""
     values = vocabulary(df, column) if values is None else list(values)

@@ -47,3 +47,17 @@ def cv_ranker(rows: DataFrame, features: Sequence[str], **how) -> DataFrame:
         test, train = standardize(test, features, using=train), standardize(train, features)
         parts.append(test.withColumn("score", linear_score(fit_pairwise(train, features, **how))))
     return reduce(DataFrame.unionByName, parts)
+
+
+def final_fit_predict(train: DataFrame, test: DataFrame, features: Sequence[str], path: str, **how) -> DataFrame:
+    """Fit on the clicked sessions of ``train``, store the weights at ``path``, score every row of ``test`` with the stored ones.
+
+    The scale of a feature goes into its weight: a shift of all scores ranks the same.
+    """
+    spread = train.agg(*[F.stddev_pop(f).alias(f) for f in features]).first()
+    weights = fit_pairwise(standardize(train, features), features, **how)
+    rows = [(f, w / (spread[f] or 1.0)) for f, w in weights.items()]
+    spark = train.sparkSession
+    spark.createDataFrame(rows, "feature string, weight double").coalesce(1).write.mode("overwrite").parquet(path)
+    stored = {r["feature"]: r["weight"] for r in spark.read.parquet(path).collect()}  # one row per feature
+    return test.withColumn("score", linear_score(stored))

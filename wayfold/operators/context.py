@@ -17,9 +17,6 @@ from wayfold.functions.encode import one_hot
 from wayfold.schemas import WEATHER
 
 MOST_CENTRES = 256
-# Cell sides of the grid levels in degrees; the last covers any pair of coordinates.
-CELL_SIDES = [0.05 * 4**level for level in range(7)]
-LEVEL_REACH = 3
 # Nested cells of the nearest-site search: finest side, parts of a cell a side, first coarsest level and its most cells.
 FINEST, FAN, FIRST_LEVEL, MOST_TOP = 0.05, 8, 3, 256
 
@@ -50,68 +47,67 @@ def add_weather(df: DataFrame, calendar: DataFrame, date: str = "req_date") -> D
     return one_hot(checked.drop("_known"), "weather", WEATHER).drop("weather")
 
 
-def _cells(side: Column, x: str, y: str, reach: int) -> Column:
-    steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"))
-                      for i in range(-reach, reach + 1) for j in range(-reach, reach + 1)])
-    return F.transform(steps, lambda s: F.struct(
-        (F.floor(F.col(x) / side) + s["i"]).alias("cx"), (F.floor(F.col(y) / side) + s["j"]).alias("cy")))
+def _nested(spots: DataFrame, level: int, finest: float) -> DataFrame:
+    """The cells of a level that hold a spot, with one of their spots and their rows; a cell parts into ``FAN`` by ``FAN`` finer ones."""
+    at = lambda c: F.floor(F.floor(F.col(c) / finest) / F.lit(FAN**level)).alias
+    cells = spots.select(at("_sx")("cx"), at("_sy")("cy"), F.struct("_sx", "_sy").alias("spot"), "_n")
+    return cells.groupBy("cx", "cy").agg(F.min("spot").alias("spot"), F.sum("_n").alias("n"))
 
 
-def leveled(df: DataFrame) -> DataFrame:
-    """Every row once per grid level, with ``level`` and the cell ``side``."""
-    levels = F.array(*[F.struct(F.lit(n).alias("level"), F.lit(side).alias("side"))
-                       for n, side in enumerate(CELL_SIDES)])
-    return df.withColumn("_l", F.explode(levels)).select("*", "_l.level", "_l.side").drop("_l")
+def _box_distances(cx: Column, cy: Column, side: float) -> tuple[Column, Column]:
+    """Distance from a place to the nearest and to the farthest point of a cell."""
+    low = lambda v, c: F.greatest(c * F.lit(side) - v, v - (c + 1) * F.lit(side), F.lit(0.0))
+    high = lambda v, c: F.greatest(F.abs(c * F.lit(side) - v), F.abs(v - (c + 1) * F.lit(side)))
+    length = lambda gap: F.sqrt(gap(F.col("_x"), cx) * gap(F.col("_x"), cx) + gap(F.col("_y"), cy) * gap(F.col("_y"), cy))
+    return length(low), length(high)
 
 
-def celled(df: DataFrame, x: str, y: str, reach: int) -> DataFrame:
-    """Every row once per cell up to ``reach`` cells away from its own, as ``cx`` and ``cy``."""
-    spread = df.withColumn("_c", F.explode(_cells(F.col("side"), x, y, reach)))
-    return spread.select("*", "_c.cx", "_c.cy").drop("_c")
+def _may_count(per: DataFrame, k: int) -> DataFrame:
+    """Of the cells ``cs`` those not farther than the bound within which ``k`` rows lie for sure; all where there are fewer."""
+    if k == 1:
+        high, enough = F.array_min(F.transform("cs", lambda c: c["high"])), F.lit(True)
+    else:
+        by_high = F.array_sort(F.transform("cs", lambda c: F.struct(c["high"].alias("high"), c["n"].alias("n"))))
+        sure = F.aggregate(by_high, F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("high")), lambda a, c: F.struct(
+            (a["n"] + c["n"]).alias("n"), F.when(a["n"] >= k, a["high"]).otherwise(c["high"]).alias("high")))
+        high, enough = sure["high"], sure["n"] >= k
+    # a little slack for the rounding of cell bounds; the bound is a column of its own, found once a place
+    reach = F.when(enough, high * F.lit(1 + 1e-9) + F.lit(2e-9)).otherwise(F.lit(float("inf")))
+    cells = per.select("_x", "_y", "cs", reach.alias("reach")).select("_x", "_y", "reach", F.explode("cs").alias("c"))
+    return cells.where(F.col("c.low") <= F.col("reach")).select("_x", "_y", "c.cx", "c.cy")
 
 
-def _nested(spots: DataFrame, level: int) -> DataFrame:
-    """The cells of a level that hold a spot, with one of their spots; a cell parts into ``FAN`` by ``FAN`` finer ones."""
-    at = lambda c: F.floor(F.floor(F.col(c) / FINEST) / F.lit(FAN**level)).alias
-    cells = spots.select(at("_sx")("cx"), at("_sy")("cy"), F.struct("_sx", "_sy").alias("spot"))
-    return cells.groupBy("cx", "cy").agg(F.min("spot").alias("spot"))
+def near_cells(places: DataFrame, spots: DataFrame, k: int = 1, finest: float = FINEST, first: int = FIRST_LEVEL) -> DataFrame:
+    """``(_x, _y, cx, cy)``: for every place the finest cells that may hold one of its ``k`` nearest rows.
 
-
-def _box_distance(cx: Column, cy: Column, level: int) -> Column:
-    side = FINEST * FAN**level
-    gap = lambda v, c: F.greatest(c * F.lit(side) - v, v - (c + 1) * F.lit(side), F.lit(0.0))
-    dx, dy = gap(F.col("_x"), cx), gap(F.col("_y"), cy)
-    return F.sqrt(dx * dx + dy * dy)
-
-
-def near_cells(places: DataFrame, spots: DataFrame) -> DataFrame:
-    """``(_x, _y, cx, cy)``: for every place the finest cells that may hold its nearest spot.
-
-    The few cells of the coarsest level are looked at in the row.  Then level by level: a spot of each cell bounds the
-    distance from above, cells whose box is farther go, the others part.  A place only meets cells that its own distance
-    passes through, however far its spots are and however many they are.
+    ``spots`` have ``_sx``, ``_sy`` and their rows ``_n``.  The few cells of the coarsest level are looked at in the row.
+    Then level by level: the farthest points of the nearest cells (for one row a spot in them) bound the distance from
+    above, cells whose box is farther go, the others part.  A place only meets cells that its own distance passes through,
+    however far its spots are and however many they are.
     """
-    top = FIRST_LEVEL
-    while len(cells := _nested(spots, top).limit(MOST_TOP + 1).collect()) > MOST_TOP:
+    top = first
+    while len(cells := _nested(spots, top, finest).limit(MOST_TOP + 1).collect()) > MOST_TOP:
         top += 1
-    within = lambda low, high: low <= high * F.lit(1 + 1e-9) + F.lit(1e-9)  # noqa: E731  rounding of the cell bounds
-    known = F.array(*[F.struct(F.lit(c["cx"]).alias("cx"), F.lit(c["cy"]).alias("cy"), F.lit(c["spot"]["_sx"]).alias("sx"),
-                               F.lit(c["spot"]["_sy"]).alias("sy")) for c in cells])
     if not cells:
         return places.select("_x", "_y", F.lit(0).alias("cx"), F.lit(0).alias("cy")).limit(0)
-    bound = F.array_min(F.transform(known, lambda c: planar(F.col("_x"), F.col("_y"), c["sx"], c["sy"])))
-    open_ = F.filter(known, lambda c: within(_box_distance(c["cx"], c["cy"], top), bound))
-    found = places.select("_x", "_y", F.explode(open_).alias("c")).select("_x", "_y", "c.cx", "c.cy")
+
+    def judged(cell: Column, level: int) -> Column:
+        low, high = _box_distances(cell["cx"], cell["cy"], finest * FAN**level)
+        if k == 1:
+            high = planar(F.col("_x"), F.col("_y"), cell["spot"]["_sx"], cell["spot"]["_sy"])
+        return F.struct(low.alias("low"), high.alias("high"), cell["n"].alias("n"), cell["cx"].alias("cx"), cell["cy"].alias("cy"))
+    known = F.array(*[F.struct(
+        F.lit(c["cx"]).alias("cx"), F.lit(c["cy"]).alias("cy"), F.lit(c["n"]).alias("n"),
+        F.struct(F.lit(c["spot"]["_sx"]).alias("_sx"), F.lit(c["spot"]["_sy"]).alias("_sy")).alias("spot")) for c in cells])
+    per = places.select("_x", "_y", F.transform(known, lambda c: judged(c, top)).alias("cs"))
     for level in range(top - 1, -1, -1):
-        finer = _nested(spots, level).select(
-            F.floor(F.col("cx") / FAN).alias("cx"), F.floor(F.col("cy") / FAN).alias("cy"), F.col("cx").alias("fx"), F.col("cy").alias("fy"), "spot")
-        met = found.join(finer, ["cx", "cy"]).select(
-            "_x", "_y", planar(F.col("_x"), F.col("_y"), F.col("spot._sx"), F.col("spot._sy")).alias("high"),
-            F.struct(_box_distance(F.col("fx"), F.col("fy"), level).alias("low"), F.col("fx").alias("cx"), F.col("fy").alias("cy")).alias("c"))
+        found = _may_count(per, k)
+        finer = _nested(spots, level, finest).select(
+            F.floor(F.col("cx") / FAN).alias("cx"), F.floor(F.col("cy") / FAN).alias("cy"), F.struct("cx", "cy", "spot", "n").alias("f"))
         # a place has a few cells of FAN by FAN parts each
-        per = met.groupBy("_x", "_y").agg(F.min("high").alias("high"), F.collect_list("c").alias("cs"))
-        found = per.select("_x", "_y", F.explode(F.filter("cs", lambda c: within(c["low"], F.col("high")))).alias("c")).select("_x", "_y", "c.cx", "c.cy")
-    return found
+        met = found.join(finer, ["cx", "cy"]).select("_x", "_y", judged(F.col("f"), level).alias("c"))
+        per = met.groupBy("_x", "_y").agg(F.collect_list("c").alias("cs"))
+    return _may_count(per, k)
 
 
 def nearest(points: DataFrame, x: str, y: str, sites: DataFrame, site_x: str, site_y: str) -> DataFrame:
@@ -121,7 +117,7 @@ def nearest(points: DataFrame, x: str, y: str, sites: DataFrame, site_x: str, si
     Sites are rounded to two decimals: a finest cell holds at most 36 of them.
     """
     places = points.select(F.col(x).alias("_x"), F.col(y).alias("_y")).dropna().distinct()
-    spots = sites.select(F.round(site_x, 2).alias("_sx"), F.round(site_y, 2).alias("_sy")).dropna().distinct()
+    spots = sites.select(F.round(site_x, 2).alias("_sx"), F.round(site_y, 2).alias("_sy")).dropna().distinct().withColumn("_n", F.lit(1))
     at = lambda c: F.floor(F.col(c) / FINEST)
     pairs = near_cells(places, spots).join(spots.select(at("_sx").alias("cx"), at("_sy").alias("cy"), "_sx", "_sy"), ["cx", "cy"])
     dist = planar(F.col("_x"), F.col("_y"), F.col("_sx"), F.col("_sy"))

@@ -47,25 +47,30 @@ def read_stations(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_districts(spark: SparkSession, path: str, most: int = 256) -> DataFrame:
-    """District centres with their place in the file as ``idx``; a short reference list."""
-    rows = read_csv(spark, path, S.DISTRICTS).limit(most + 1).collect()
+    """District centres with their place in the file as ``idx``; a short reference list in one file."""
+    rows = read_csv(spark, path, S.DISTRICTS).select("*", F.col("_metadata.file_path").alias("file")).limit(most + 1).collect()
     if len(rows) > most:
         raise ValueError(f"{path} lists more than {most} districts")
-    return spark.createDataFrame([(i, *r) for i, r in enumerate(rows)],
+    if len({r["file"] for r in rows}) > 1:
+        raise ValueError(f"{path} holds several files; their order is not defined")
+    return spark.createDataFrame([(i, *r[:-1]) for i, r in enumerate(rows)],
                                  "idx int, District string, o_lat double, o_long double")
 
 
-def read_matching(spark: SparkSession, folder: str, key: str, most: int = 1000) -> DataFrame:
+def read_matching(spark: SparkSession, folder: str, key: str) -> DataFrame:
     """Every run file whose name contains ``key``, stacked by column name; absent columns are null.
 
-    Run files may differ in their columns, so each is read under its own header.
+    Run files may differ in their columns: files with the same header are read in one scan.  Names come from the listing,
+    without reading contents.
     """
-    names = spark.read.text(f"{folder}/*{key}*").select(F.input_file_name().alias("f")).distinct().limit(most + 1).collect()
-    if len(names) > most:
-        raise ValueError(f"more than {most} run files match {key!r}")
+    listed = spark.read.format("binaryFile").load(f"{folder}/*{key}*").select("path", "length")
+    names = sorted(r["path"] for r in listed.collect() if r["length"])
     if not names:
         raise ValueError(f"no file in {folder} matches {key!r}")
-    return union_rows(*[spark.read.option("header", "true").csv(r["f"]) for r in sorted(names)], fill=True)
+    headers: dict[tuple[str, ...], list[str]] = {}
+    for name in names:
+        headers.setdefault(tuple(spark.read.option("header", "true").csv(name).columns), []).append(name)
+    return union_rows(*[spark.read.option("header", "true").csv(files) for files in headers.values()], fill=True)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
