@@ -90,5 +90,78 @@ def test_nearest_far_and_dense(spark, shift, spread):
     p, s = spark.createDataFrame(places, "x double, y double"), spark.createDataFrame(sites, "a double, b double")
     got = {(r["x"], r["y"]): r["dist"] for r in context.nearest(p, "x", "y", s, "a", "b").collect()}
     assert got == {(x, y): pytest.approx(min(math.hypot(x - a, y - b) for a, b in sites), abs=1e-9) for x, y in places}
-    cells = context.near_cells(p.toDF("_x", "_y"), s.toDF("_sx", "_sy").distinct()).groupBy("_x", "_y").count().agg({"count": "max"}).first()[0]
+    cells = context.near_cells(p.toDF("_x", "_y"), s.toDF("_sx", "_sy").distinct().selectExpr("*", "1 AS _n")).groupBy("_x", "_y").count().agg({"count": "max"}).first()[0]
     assert cells <= 40
+
+
+@pytest.mark.parametrize(("shift", "spread", "k"), [(30.0, 0.01, 5), (0.0, 0.001, 40), (0.0, 1.0, 25)])
+def test_nearest_votes_far_and_dense(spark, shift, spread, k):
+    import random
+
+    from wayfold.learn import classifiers
+    from wayfold.operators import context
+
+    draw = random.Random(k)
+    spots = sorted({(round(116 + draw.random() * spread, 6), round(40 + draw.random() * spread, 6)) for _ in range(600)})
+    places = sorted({(round(116 + shift + draw.random(), 6), round(40 + draw.random(), 6)) for _ in range(60)} | set(spots[:60]))
+    train = [(x, y, i % 3) for i, (x, y) in enumerate(spots)]
+    got = classifiers.nearest_vote(spark.createDataFrame(train, "x double, y double, l int"),
+                                   spark.createDataFrame(places, "x double, y double"), "x", "y", "l", k).collect()
+    assert len(got) == len(places)
+    for r in got:
+        far = sorted(round(math.dist((r["x"], r["y"]), s), 9) for s in spots)
+        assert r["voters"] == sum(f <= far[k - 1] for f in far)
+    # the cells of a place grow with k, not with the spots
+    counted = spark.createDataFrame([(*s, 1) for s in spots], "_sx double, _sy double, _n long")
+    cells = context.near_cells(spark.createDataFrame(places, "_x double, _y double"), counted, k, classifiers.VOTE_FINEST,
+                               context.FIRST_LEVEL + classifiers.VOTE_LEVELS)
+    assert cells.groupBy("_x", "_y").count().agg({"count": "max"}).first()[0] <= 4 * k + 60
+
+
+def test_districts_of_several_files_are_refused(spark, tmp_path):
+    from wayfold.sources import readers
+
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.csv").write_text("District,o_lat,o_long\nx,40.0,116.0\n")
+    with pytest.raises(ValueError, match="several files"):
+        readers.read_districts(spark, str(tmp_path))
+    assert readers.read_districts(spark, str(tmp_path / "a.csv")).first()["idx"] == 0
+
+
+def test_run_files_of_the_same_header_are_one_scan(spark, tmp_path):
+    from wayfold.sources import readers
+
+    for i in range(6):
+        (tmp_path / f"run_{i}.csv").write_text(("a,b\n1,2\n", "a\n3\n")[i % 2])
+    df = readers.read_matching(spark, str(tmp_path), "run")
+    assert sorted((r["a"], r["b"]) for r in df.collect()) == sorted([("1", "2")] * 3 + [("3", None)] * 3, key=str)
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 2
+
+
+def test_vector_of_many_values(spark):
+    from wayfold.functions import encode
+
+    df = spark.createDataFrame([(f"c{i % 1500:04d}",) for i in range(3000)] + [(None,)], "c string")
+    hot = encode.one_hot_vector(df, "c", "v").collect()
+    assert all(r["v"].size == 1501 and list(r["v"].indices) == [int(r["c"][1:]) if r["c"] else 1500] for r in hot)
+
+
+def test_broken_folds_are_found(spark):
+    from wayfold.operators import quality
+
+    sids = spark.createDataFrame([(i,) for i in range(5)], "sid long")
+    row = quality.check_folds(spark.createDataFrame([(0, 0), (0, 1), (1, 0), (2, 1), (9, 1)], "sid long, fold int"), sids).first()
+    assert (row["repeated"], row["missing"], row["unknown"], row["ok"]) == (1, 2, 1, False)
+
+
+def test_rows_with_split_and_components(spark, sf_dir):
+    from wayfold import bindings as B
+    from wayfold.plans import features
+
+    tables = [B.queries_table(spark, sf_dir), B.plans_table(spark, sf_dir), B.clicks_table(spark, sf_dir), B.profiles_table(spark, sf_dir)]
+    plain, full = features.features_row(*tables), features.features_row(*tables, components=True, share=0.8)
+    assert {"split", "TFIDF_clustered_0", "PID_MainComp_0"} <= set(full.columns)
+    assert full.count() == plain.count()
+    per = full.groupBy("sid").agg({"split": "min", "req_time": "max"}).toDF("sid", "split", "t").groupBy("split").agg({"t": "min"}).collect()
+    times = {r["split"]: r[1] for r in per}
+    assert set(times) == {"train", "test"} and times["train"] < times["test"]
