@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from wayfold import bindings as B
@@ -43,9 +45,9 @@ def _plans(spark, d, k=2):
 PLAN = ["distance", "eta", "price", *[f"mode_{m}" for m in MODES[1:]]]
 
 
-def _shown(predicted, *keys):
+def _shown(predicted, *keys, classes=MODES):
     """What SQL can state of a table of predictions: its keys, the sum of the probabilities, and that the largest is predicted."""
-    probs = F.array(*[f"prob_{m}" for m in MODES])
+    probs = F.array(*[f"prob_{m}" for m in classes])
     total = F.round(F.aggregate(probs, F.lit(0.0), lambda a, p: a + p), 6)
     return predicted.select(*keys, total.alias("total"), (F.get(probs, F.col("prediction")) >= F.array_max(probs) - 1e-9).alias("top"))
 
@@ -69,7 +71,7 @@ def _(spark, d):
         """As many rows as the training part has, the same number of each class."""
         sizes = sampling.class_sizes(train, "click_mode")
         return cut_lineage(sampling.draw_exactly(train, "click_mode", {m: sum(sizes.values()) // len(sizes) for m in sizes}))
-    return _shown(cross_validation.cv_classifier(table, TRIP, classifiers.boosted(rounds=2, depth=3), balance=balance), *OOF)
+    return _shown(cross_validation.cv_classifier(table, TRIP, classifiers.boosted(rounds=3, depth=3, held=0.2), balance=balance), *OOF)
 
 
 @register("clf_forest", OOF_SQL)
@@ -110,8 +112,9 @@ def _(spark, d):
 
 @register("hyper_grid")
 def _(spark, d):
-    grid = {"maxDepth": [3, 5], "minInstancesPerNode": [1, 20]}
-    return rounded(cross_validation.hyper_grid(_sessions(spark, d), TRIP, classifiers.tree(), grid), ["weighted_f1", "accuracy"])
+    make = partial(classifiers.boosted, rounds=2, held=0.2)
+    grid = {"rate": [0.1, 0.3], "depth": [2, 3]}
+    return rounded(cross_validation.hyper_grid(_sessions(spark, d), TRIP, make, grid), ["weighted_f1", "accuracy"])
 
 
 _RANK_FOLD = f"CAST({digest60_sql('sid', seed=3)} % 2 AS INT)"
@@ -134,8 +137,11 @@ def _(spark, d):
     return scored.join(best, "sid").groupBy("sid").agg(F.count(F.lit(1)).alias("shown"), listed)
 
 
-@register("final_fit_predict", oracle("t_coords", body=f"""SELECT sid, CAST(1 AS DOUBLE) AS total, true AS top FROM t_coords
-    WHERE {digest60_sql('sid', seed=0)} >= {int(0.75 * 2**BITS)}"""))
+TEST_SQL = oracle("t_coords", body=f"""SELECT sid, CAST(1 AS DOUBLE) AS total, true AS top FROM t_coords
+    WHERE {digest60_sql('sid', seed=0)} >= {int(0.75 * 2**BITS)}""")
+
+
+@register("final_fit_predict", TEST_SQL)
 def _(spark, d):
     table = folds.split_random(_sessions(spark, d))
     train, test = table.where("split = 'train'"), table.where("split = 'test'")
@@ -146,16 +152,31 @@ def _(spark, d):
 def _(spark, d):
     table = _sessions(spark, d)
     base = {f"depth{n}": cross_validation.cv_classifier(table, TRIP, classifiers.tree(n)) for n in (3, 5)}
-    stacked = cut_lineage(stacking.stack_features(base, B.clicks_table(spark, d)))
-    return _shown(stacking.stack_fit(stacked, table, classifiers.tree(5)), *OOF)
+    stacked = cut_lineage(stacking.stack_features(base, B.clicks_table(spark, d), extra=table.select("sid", *TRIP)))
+    return _shown(stacking.stack_fit(stacked, table, classifiers.logistic(rounds=10), scaled=True), *OOF)
+
+
+@register("stack_final_predict", TEST_SQL)
+def _(spark, d):
+    """Base models out of fold on the training sessions and refitted for the others; the second model is stored and predicts these."""
+    table = cut_lineage(folds.split_random(_sessions(spark, d)))
+    train, test = table.where("split = 'train'"), table.where("split = 'test'")
+    clicks = B.clicks_table(spark, d)
+    base = {f"depth{n}": classifiers.tree(n) for n in (3, 5)}
+    own = {name: cross_validation.cv_classifier(train, TRIP, one) for name, one in base.items()}
+    new = {name: cross_validation.final_fit_predict(train, test, TRIP, one, scratch_path(spark, name)) for name, one in base.items()}
+    stacked = cut_lineage(stacking.stack_features(own, clicks, extra=train.select("sid", *TRIP)))
+    unseen = stacking.stack_features(new, clicks, extra=test.select("sid", *TRIP)).drop("click_mode")
+    return _shown(stacking.stack_final(stacked, unseen, classifiers.logistic(rounds=10), scratch_path(spark, "stack")), "sid")
 
 
-@register("predict_user_cluster")
+@register("predict_user_cluster", oracle("t_coords", "t_clicks", "t_profiles", body=f"""SELECT t.sid, fold, total, top FROM ({_FOLDED}) t
+    JOIN t_coords c ON t.sid = c.sid JOIN t_profiles p ON c.pid = p.pid"""))
 def _(spark, d):
     labels = clusters.kmeans(B.profiles_table(spark, d), PROFILE_COLUMNS, 4, rounds=5)
     table = cut_lineage(joins.identified(_sessions(spark, d)).join(labels, "pid"))
     found = cross_validation.cv_classifier(table, TRIP, classifiers.forest(5, 5), label="cluster", classes=range(4))
-    return rounded(found, [c for c in found.columns if c.startswith("prob_")])
+    return _shown(found, "sid", "fold", classes=range(4))
 
 
 @register("rank_scores")
@@ -186,13 +207,12 @@ def _(spark, d):
     return clusters.hierarchy(B.profiles_table(spark, d), PROFILE_COLUMNS, 8)
 
 
-_BITS = " || ".join(f"CAST({c} AS VARCHAR)" for c in PROFILE_COLUMNS[:10])
-_DIFFER = " + ".join(f"CAST(substr(a.bits, {i}, 1) <> substr(b.bits, {i}, 1) AS INT)" for i in range(1, 11))
+_BITS = " || ".join(f"CAST({c} AS VARCHAR)" for c in PROFILE_COLUMNS)
 
 
 @register("clu_density", oracle("t_profiles", body=f"""WITH RECURSIVE users AS (SELECT pid, {_BITS} AS bits FROM t_profiles),
     kinds AS (SELECT bits, count(*) AS n, min(pid) AS first FROM users GROUP BY bits),
-    near AS (SELECT a.bits, b.bits AS other, b.n FROM kinds a JOIN kinds b ON {_DIFFER} <= 1),
+    near AS (SELECT a.bits, b.bits AS other, b.n FROM kinds a JOIN kinds b ON hamming(a.bits, b.bits) <= 1),
     cores AS (SELECT bits FROM near GROUP BY bits HAVING sum(n) >= 20),
     links AS (SELECT bits, other FROM near WHERE bits IN (FROM cores) AND other IN (FROM cores)),
     reach AS (SELECT bits, bits AS other FROM cores UNION SELECT r.bits, l.other FROM reach r JOIN links l ON r.other = l.bits),
@@ -201,7 +221,7 @@ _DIFFER = " + ".join(f"CAST(substr(a.bits, {i}, 1) <> substr(b.bits, {i}, 1) AS
     SELECT pid, coalesce(n.cluster, b.cluster, -1) AS cluster FROM users u LEFT JOIN named n ON u.bits = n.bits
     LEFT JOIN border b ON u.bits = b.bits"""))
 def _(spark, d):
-    return clusters.density(B.profiles_table(spark, d), PROFILE_COLUMNS[:10], 20)
+    return clusters.density(B.profiles_table(spark, d), PROFILE_COLUMNS, 20)
 
 
 @register("cluster_table")

@@ -10,12 +10,14 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wayfold.learn.cross_validation import dealt
 from wayfold.learn.decompose import assemble, standardize
 from wayfold.session import cut_lineage
 
 
 def _vectors(profiles: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
-    return assemble(standardize(profiles.select(key, *columns), columns), columns).select(key, "features")
+    vectors = assemble(standardize(profiles.select(key, *columns), columns), columns).select(key, "features")
+    return dealt(vectors, key)
 
 
 def kmeans(profiles: DataFrame, columns: Sequence[str], k: int, key: str = "pid", seed: int = 1, rounds: int = 20) -> DataFrame:
@@ -32,7 +34,7 @@ def hierarchy(profiles: DataFrame, columns: Sequence[str], k: int, key: str = "p
     never split; a constant extra attribute keeps every centre away from zero and changes no distance.
     """
     raw = profiles.select(key, *columns, F.lit(1.0).alias("_one"))
-    vectors = assemble(raw, [*columns, "_one"]).select(key, "features")
+    vectors = dealt(assemble(raw, [*columns, "_one"]).select(key, "features"), key)
     model = BisectingKMeans(k=k, seed=seed, maxIter=rounds, predictionCol="cluster").fit(vectors)
     return model.transform(vectors).select(key, "cluster")
 
@@ -124,6 +126,30 @@ def _closest_mode(columns: Sequence[str], modes: Sequence[tuple]):
     return F.array_min(far)["c"]
 
 
+def _smallest_reachable(links: DataFrame, cores: DataFrame) -> tuple[DataFrame, int]:
+    """The smallest ``cluster`` that each core reaches over the links, and the rounds it took.
+
+    A cluster names the core it was first the name of.  In each round a core and the core it is named after take the
+    smallest name beside the former, and every name is then replaced by the name of its own core, so paths halve.
+    """
+    rounds = 0
+    while True:
+        rounds += 1
+        beside = links.join(cores.select(F.col("bits").alias("other"), F.col("cluster").alias("theirs")), "other")
+        best = beside.groupBy("bits").agg(F.min("theirs").alias("theirs")).join(cores, "bits")
+        offered = best.select(F.explode(F.array("bits", "cluster.bits")).alias("bits"), "theirs").groupBy("bits").agg(
+            F.min("theirs").alias("theirs"))
+        taken = cut_lineage(cores.join(offered, "bits", "left").select(
+            "bits", F.col("cluster").alias("before"), F.least("cluster", F.coalesce("theirs", "cluster")).alias("cluster")))
+        named = taken.select(F.col("bits").alias("_core"), F.col("cluster").alias("_name"))
+        after = cut_lineage(taken.join(named, F.col("cluster.bits") == F.col("_core")).select(
+            "bits", "before", F.col("_name").alias("cluster")))
+        moved = after.where("before <> cluster").limit(1).count()
+        cores = after.drop("before")
+        if not moved:
+            return cores, rounds
+
+
 def density(profiles: DataFrame, columns: Sequence[str], min_samples: int, key: str = "pid") -> DataFrame:
     """``(pid, cluster)`` by density over 0/1 profiles: neighbours differ in at most one attribute.
 
@@ -147,19 +173,11 @@ def density(profiles: DataFrame, columns: Sequence[str], min_samples: int, key:
     around = edges.groupBy("bits").agg(F.sum("m").alias("m"))
     crowd = F.col("n") + F.coalesce("m", F.lit(0))
     marked = cut_lineage(kinds.join(around, "bits", "left").select("bits", "first", (crowd >= min_samples).alias("core")))
-    cores = marked.where("core").select("bits", F.col("first").alias("cluster"))
+    cores = marked.where("core").select("bits", F.struct("first", "bits").alias("cluster"))
     links = cut_lineage(edges.select("bits", "other").join(cores.select("bits"), "bits", "left_semi").join(
         cores.select(F.col("bits").alias("other")), "other", "left_semi"))
-    while True:
-        offered = links.join(cores.select(F.col("bits").alias("other"), F.col("cluster").alias("theirs")), "other")
-        best = offered.groupBy("bits").agg(F.min("theirs").alias("theirs"))
-        after = cut_lineage(cores.join(best, "bits", "left").select(
-            "bits", F.least("cluster", F.coalesce("theirs", "cluster")).alias("cluster"),
-            F.coalesce(F.col("theirs") < F.col("cluster"), F.lit(False)).alias("moved")))
-        moved = after.where("moved").limit(1).count()
-        cores = after.drop("moved")
-        if not moved:
-            break
+    cores, _ = _smallest_reachable(links, cores)
+    cores = cores.select("bits", F.col("cluster.first").alias("cluster"))
     beside = edges.join(cores.withColumnRenamed("bits", "other"), "other").groupBy("bits").agg(F.min("cluster").alias("border"))
     named = marked.join(cores, "bits", "left").join(beside, "bits", "left").select(
         "bits", F.coalesce("cluster", "border", F.lit(-1)).alias("cluster"))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
+from itertools import product
 
-from pyspark.ml import Estimator
+from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,9 +33,18 @@ def with_probabilities(predicted: DataFrame, classes: Sequence[int] = MODES) ->
     return held.withColumn("_total", total).withColumns({f"prob_{c}": share(c) for c in classes}).drop("_p", "_total")
 
 
-def fit_on(train: DataFrame, features: Sequence[str], label: str, estimator: Estimator):
-    ready = assemble(train, features).select("features", F.col(label).cast("double").alias("label"))
-    return estimator.fit(ready)
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """The rows in parts and an order that follow from their keys alone, so that seeded draws meet the same rows.
+
+    The number of parts is the session's ``spark.sql.shuffle.partitions``.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, key).sortWithinPartitions(key)
+
+
+def fit_on(train: DataFrame, features: Sequence[str], label: str, estimator: Estimator, key: str):
+    ready = assemble(train, features).select(F.col(key).alias("_key"), "features", F.col(label).cast("double").alias("label"))
+    return estimator.fit(dealt(ready, "_key").drop("_key"))
 
 
 def predict_with(model, df: DataFrame, features: Sequence[str], keep: Sequence[str],
@@ -59,7 +69,7 @@ def cv_classifier(df: DataFrame, features: Sequence[str], estimator: Estimator,
             test, train = standardize(test, features, using=train), standardize(train, features)
         if balance is not None:
             train = balance(train)
-        model = fit_on(train, features, label, estimator)
+        model = fit_on(train, features, label, estimator, key)
         parts.append(predict_with(model, test.withColumn("label", F.col(label)), features, [key, "fold", "label"], classes))
     return reduce(DataFrame.unionByName, parts)
 
@@ -68,23 +78,29 @@ def fold_scores(oof: DataFrame) -> DataFrame:
     return scoring.metrics(oof, by=["fold"])
 
 
-def hyper_grid(df: DataFrame, features: Sequence[str], estimator: Estimator, grid: Mapping[str, Iterable], **how) -> DataFrame:
-    """Mean scores over the folds for every combination of parameter values."""
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        builder = builder.addGrid(estimator.getParam(name), list(values))
+def hyper_grid(df: DataFrame, features: Sequence[str], make: Callable[..., Estimator], grid: Mapping[str, Iterable],
+               **how) -> DataFrame:
+    """Mean scores over the folds for every combination of parameter values of ``make``."""
     rows = []
-    for setting in builder.build():
-        oof = cv_classifier(df, features, estimator.copy(setting), **how)
-        text = ", ".join(sorted(f"{p.name}={v}" for p, v in setting.items()))
+    for values in product(*grid.values()):
+        setting = dict(zip(grid, values))
+        oof = cv_classifier(df, features, make(**setting), **how)
+        text = ", ".join(sorted(f"{name}={v}" for name, v in setting.items()))
         rows.append(fold_scores(oof).agg(F.lit(text).alias("setting"), F.avg("weighted_f1").alias("weighted_f1"),
                                          F.avg("accuracy").alias("accuracy")))
     return reduce(DataFrame.unionByName, rows)
 
 
 def final_fit_predict(train: DataFrame, test: DataFrame, features: Sequence[str], estimator: Estimator, path: str,
-                      label: str = "click_mode", key: str = "sid", classes: Sequence[int] = MODES) -> DataFrame:
-    """Fit on all training rows, store the model at ``path`` and predict the test rows with the stored one."""
-    model = fit_on(train, features, label, estimator)
-    model.write().overwrite().save(path)
-    return predict_with(type(model).load(path), test, features, [key], classes)
+                      label: str = "click_mode", key: str = "sid", classes: Sequence[int] = MODES, scaled: bool = False) -> DataFrame:
+    """Fit on all training rows, store the model at ``path`` and predict the test rows with the stored one.
+
+    With ``scaled`` the scale of the training rows is a part of the stored model.
+    """
+    steps = [VectorAssembler(inputCols=list(features), outputCol="_raw" if scaled else "features", handleInvalid="keep")]
+    if scaled:
+        steps.append(StandardScaler(withMean=True, inputCol="_raw", outputCol="features"))
+    rows = train.select(F.col(key).alias("_key"), *features, F.col(label).cast("double").alias("label"))
+    Pipeline(stages=[*steps, estimator]).fit(dealt(rows, "_key").drop("_key")).write().overwrite().save(path)
+    predicted = with_probabilities(PipelineModel.load(path).transform(test.select(key, *features)), classes)
+    return predicted.select(key, *[f"prob_{c}" for c in classes], F.col("prediction").cast("int").alias("prediction"))

@@ -8,21 +8,37 @@ from pyspark.ml import Estimator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfold.learn.cross_validation import cv_classifier
+from wayfold.learn.cross_validation import cv_classifier, final_fit_predict
 from wayfold.operators.joins import join_many
 from wayfold.operators.quality import check_columns
 from wayfold.schemas import MODES
 
 
-def stack_features(oof: Mapping[str, DataFrame], clicks: DataFrame) -> DataFrame:
-    """Probabilities of every model on ``sid`` with the label (0 without a click); folds are left out."""
+def stack_features(oof: Mapping[str, DataFrame], clicks: DataFrame, extra: DataFrame | None = None) -> DataFrame:
+    """Probabilities of every model on ``sid`` with the label (0 without a click); folds are left out.
+
+    ``extra`` gives further columns by ``sid``, each named ``extra_<column>``; sessions without them are left out.
+    """
     wanted = ["sid", *[f"prob_{m}" for m in MODES]]
     tables = {name: check_columns(df, wanted).select(*wanted) for name, df in oof.items()}
     joined = join_many(tables).join(clicks.select("sid", "click_mode"), "sid", "left")
+    if extra is not None:
+        joined = joined.join(extra.select("sid", *[F.col(c).alias(f"extra_{c}") for c in extra.columns if c != "sid"]), "sid")
     return joined.withColumn("click_mode", F.coalesce("click_mode", F.lit(0)))
 
 
-def stack_fit(stacked: DataFrame, folds: DataFrame, estimator: Estimator) -> DataFrame:
-    """Cross-validate a second model on the stacked probabilities; ``folds`` is ``(sid, fold)``."""
-    features = [c for c in stacked.columns if c.startswith("prob_")]
-    return cv_classifier(stacked.join(folds.select("sid", "fold"), "sid"), features, estimator)
+def _inputs(stacked: DataFrame) -> list[str]:
+    return [c for c in stacked.columns if c.startswith(("prob_", "extra_"))]
+
+
+def stack_fit(stacked: DataFrame, folds: DataFrame, estimator: Estimator, scaled: bool = False) -> DataFrame:
+    """Cross-validate a second model on the stacked columns; ``folds`` is ``(sid, fold)``."""
+    return cv_classifier(stacked.join(folds.select("sid", "fold"), "sid"), _inputs(stacked), estimator, scaled=scaled)
+
+
+def stack_final(stacked: DataFrame, test: DataFrame, estimator: Estimator, path: str, scaled: bool = True) -> DataFrame:
+    """Fit the second model on all stacked rows, store it with its scale at ``path`` and predict ``test`` with the stored one.
+
+    ``test`` holds the same columns, with the probabilities of base models that were fitted without its sessions.
+    """
+    return final_fit_predict(stacked, test, _inputs(stacked), estimator, path, scaled=scaled)
