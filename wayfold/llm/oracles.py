@@ -97,5 +97,19 @@ SELECT w.conv_id, CAST(w.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, w.
 FROM w JOIN u ON u.p = w.p LEFT JOIN g up ON w.d > 0 AND up.p = list_slice(w.p, 1, w.d - 1)
 """
 
+_OP12 = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+           WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (SELECT q.vec_id AS anchor_id, c.vec_id, c.label = q.label AS same, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+      FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score QUALIFY rank <= 5
+"""
+
 SQL: dict[str, str] = {"op3_jaccard_join": _OP3, "op7_warc": _OP7, "op9_substring_dedup": _OP9, "op10_exact_top_k": _OP10,
-                       "op11_prefix_trie": _OP11, "op13_chat_formatting": _OP13}
+                       "op11_prefix_trie": _OP11, "op12_hard_negatives": _OP12,
+                       "op13_chat_formatting": _OP13}

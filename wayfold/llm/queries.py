@@ -125,3 +125,12 @@ def op13_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     talk = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     talk = talk.unionByName(spark.createDataFrame([(-1, 0, "user", forged), (-1, 1, "assistant", forged)], "conv_id long, turn long, role string, text string"))
     return read_back(stored(format_conversations(talk), "chat"))
+
+
+@register
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wayfold.llm.negatives import hard_negatives
+
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.when(
+        F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label")).alias("label"))
+    return hard_negatives(vectors, F.col("vec_id") % 100 == 0)
