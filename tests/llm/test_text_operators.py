@@ -6,6 +6,7 @@ import itertools
 
 import numpy as np
 import public_tokenizers
+import pyarrow.compute as pc
 import pytest
 
 from tests.llm import brute
@@ -58,20 +59,38 @@ def test_substrings_keep_spacing(edge_docs, edge_rows):
         assert g[2] or g[3] == g[4]
 
 
-def test_sketch_is_never_low():
+def test_sketch_is_never_low(spark):
     rng = np.random.default_rng(1)
     chunks = [rng.integers(0, 3000, 2000, dtype=np.uint64) << np.uint64(45) for _ in range(4)]
-    sent = [list(sketch.send([sketch.cells(h, 22)], c)) for c, h in enumerate(chunks)]
-    cells, true = np.unique(np.concatenate(chunks), return_counts=True)
-    back = [r for rows in sent for r in rows]
-    total = {}
-    for r in back:
-        at = sketch._unpack(r["a"], r["b"])
-        again = np.unpackbits(np.frombuffer(r["c"], np.uint8), count=len(at))
-        for a, g in zip(at.tolist(), again.tolist(), strict=True):
-            k = (r["block"] << sketch.BLOCK_BITS) + a
-            total[k] = total.get(k, 0) + 1 + g
-    assert all(total[int(c)] >= min(t, 2) for c, t in zip(sketch.cells(cells, 22), true, strict=True))
+    chunks[1][:300] = chunks[1][0]  # 300 repeats inside one chunk
+    chunks.append(np.full(70_000, 5 << 45, np.uint64))
+    sent = [r for c, h in enumerate(chunks) for r in sketch.send([sketch.cells(h, 22)], c, 20)]
+    back = sketch.merge(spark.createDataFrame(sketch.mail(sent)).repartition(3), 20).toArrow()
+    hashes, true = np.unique(np.concatenate(chunks), return_counts=True)
+    for c, own in enumerate(chunks):
+        known = sketch.Returned(back.filter(pc.equal(back["chunk"], c)), 0, 20)
+        held = np.isin(hashes, own)
+        assert (known.estimates(sketch.cells(hashes[held], 22)) >= true[held]).all()
+    assert true.max() >= 70_000 and (true >= 300).sum() >= 2
+
+
+def test_rice_codes_come_back():
+    rng = np.random.default_rng(2)
+    for top, n in [(1, 1), (2, 2), (1 << 25, 1), (1 << 25, 5000), (1 << 20, 1 << 19), (300, 300), (1 << 31, 3), (5, 0)]:
+        x = np.sort(rng.choice(min(top, 1 << 24), n, replace=False)).astype(np.uint32) * np.uint32(max(1, top >> 24))
+        assert (sketch.unrice(sketch.rice(x)) == x).all()
+    x = np.unique(rng.integers(0, 1 << 24, 4096))
+    assert len(sketch.rice(x)) * 8 < 14.5 * len(x)
+
+
+def test_mails_grow_with_the_corpus():
+    def mails(total):
+        chunks = -(-total // sketch.chunk_bytes(total))
+        bits = sketch.plane_bits(total // 6)
+        return chunks << (bits - sketch.block_bits(bits, chunks))
+    for total in (1 << 30, 1 << 33, 1 << 35):
+        assert mails(4 * total) <= 5 * mails(total)
+    assert mails(1 << 35) < (1 << 35) / 6 / 500  # hundreds of hashes share a mail
 
 
 def test_secrets(edge_docs, edge_rows):

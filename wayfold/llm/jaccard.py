@@ -78,7 +78,7 @@ def _prefix(estimates: np.ndarray, percent: int) -> tuple[int, int]:
     return n - least + 1, int(asked[np.argmin(cost)])
 
 
-def _sets(docs: DataFrame, heads: DataFrame, width: int, percent: int, bits: int) -> DataFrame:
+def _sets(docs: DataFrame, heads: DataFrame, width: int, percent: int, bits: int, inner: int) -> DataFrame:
     """Class heads that may have partners: their set, and the prefix tokens that some other head may hold."""
     def chosen(group: pa.Table, right: pa.Table):
         group = group.filter(pa.array(np.isin(group["id"].to_numpy(), sketch.heads_of(right))))
@@ -86,10 +86,10 @@ def _sets(docs: DataFrame, heads: DataFrame, width: int, percent: int, bits: int
 
     def count(group: pa.Table, right: pa.Table) -> pa.Table:
         found = [sketch.cells(t, bits) for _, t, _ in chosen(group, right)[1]] if group.num_rows else []
-        return sketch.mail(list(sketch.send([np.concatenate(found)], group["chunk"][0].as_py())) if found else [])
+        return sketch.mail(list(sketch.send([np.concatenate(found)], group["chunk"][0].as_py(), inner)) if found else [])
 
     dealt, named = docs.groupBy("chunk"), sketch.heads_mail(heads)
-    back = sketch.merge(dealt.cogroup(named.groupBy("chunk")).applyInArrow(count, sketch.MAIL))
+    back = sketch.merge(dealt.cogroup(named.groupBy("chunk")).applyInArrow(count, sketch.MAIL), inner)
     longs = pa.list_(pa.int64())
     schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("lone", pa.int64()), ("typical", pa.float64()), ("asked", pa.int32()), ("prefix", longs),
                         ("place", pa.list_(pa.int32())), ("tokens", longs)])
@@ -97,7 +97,7 @@ def _sets(docs: DataFrame, heads: DataFrame, width: int, percent: int, bits: int
     def choose(group: pa.Table, right: pa.Table) -> pa.Table:
         out: list[list] = [[] for _ in schema]
         if group.num_rows:
-            known = sketch.Returned(right, 0)
+            known = sketch.Returned(right, 0, inner)
             ids, slices = chosen(group, right)
             for low, tokens, bounds in slices:
                 estimates = known.estimates(sketch.cells(tokens, bits))
@@ -178,14 +178,14 @@ def components_by_jaccard(docs: DataFrame, *, width: int = 3, percent: int = 90,
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     total = text_bytes(rows, "text")
-    chunks = chunk_count(total)
+    chunks, bits = chunk_count(total, sketch.chunk_bytes(total)), sketch.plane_bits(total // 6)
     known = stored(_digests(rows, width), "digests")
     classes = known.filter("n > 0 AND id IS NOT NULL").groupBy("d1", "d2", "n").agg(
         F.min("id").alias("head"), F.count("*").alias("copies"))
     classes = stored(classes, "classes")
     heads = classes.select(F.col("head").alias("id")).withColumn("chunk", chunk_of(F.col("id"), chunks))
     dealt = rows.filter("id IS NOT NULL").withColumn("chunk", chunk_of(F.col("id"), chunks))
-    sets = stored(_sets(dealt, heads, width, percent, sketch.plane_bits(total // 6)), "sets")
+    sets = stored(_sets(dealt, heads, width, percent, bits, sketch.block_bits(bits, chunks)), "sets")
     labels = components(_links(sets, percent))
     named = classes.join(labels.withColumnRenamed("id", "head"), "head", "left").select(
         "d1", "d2", "n", "copies", "head", F.coalesce("label", "head").alias("label")).filter("copies > 1 OR label <> head")

@@ -1,13 +1,18 @@
 """A count-min sketch that grows with the corpus and is never held in one place.
 
 Documents are dealt into chunks.  Each chunk turns its hashes into cells of one or more planes and sends, per block of
-cells, its distinct cells and which of them it met twice: two bytes a hash and plane.  One task merges one block,
-so a plane may have any number of blocks.  What comes back to a chunk are its own cells whose merged count is two or
-more, with that count.  A count is never below the true one; a cell that does not come back was met once.
+cells, its distinct cells and how often it met those that it met more than once.  One task merges one block, so a plane
+may have any number of blocks.  What comes back to a chunk are its own cells whose merged count is two or more, with that
+count.  A count is never below the true one; a cell that does not come back was met once.
+
+Every chunk writes to about every block.  Chunks and blocks therefore both grow with the square root of the corpus (up to
+:data:`MOST_CHUNK` and :data:`MOST_BITS`), so that the number of mails grows in proportion to it, and cells travel as Rice
+codes of their gaps, whose length hardly depends on how many share a mail: about 12 bits a hash and plane.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,18 +21,28 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_BITS = 22
+#: Bytes of text in a chunk at least and at most, bytes of corpus for each square byte of chunk, bits of a block's cells.
+LEAST_CHUNK, MOST_CHUNK, SPREAD_CHUNK, LEAST_BITS, MOST_BITS = 1 << 20, 64 << 20, 6 << 10, 20, 26
 #: What is sent to and from a chunk; ``kind`` is the plane for cells, else what the sender says.
 MAIL = "chunk int, kind int, block int, id long, a binary, b binary, c binary"
 MAIL_ARROW = pa.schema([("chunk", pa.int32()), ("kind", pa.int32()), ("block", pa.int32()), ("id", pa.int64()),
                         ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary())])
 HEADS = -1
-_PARTS = 1 << (BLOCK_BITS - 16)
+
+
+def chunk_bytes(total_bytes: int) -> int:
+    """Bytes of text for each chunk of a corpus."""
+    return min(max(LEAST_CHUNK, math.isqrt(total_bytes * SPREAD_CHUNK)), MOST_CHUNK)
+
+
+def block_bits(bits: int, chunks: int) -> int:
+    """Bits of a cell number inside its block: a quarter as many blocks as chunks, within bounds."""
+    return min(max(LEAST_BITS, bits - max(0, (chunks - 1).bit_length() - 2)), MOST_BITS, bits)
 
 
 def plane_bits(expected: int, spread: int = 4) -> int:
     """Bits of a cell number: about ``spread`` cells for each expected hash, at least one block."""
-    return max(BLOCK_BITS, int(max(expected, 1) * spread - 1).bit_length())
+    return max(LEAST_BITS, int(max(expected, 1) * spread - 1).bit_length())
 
 
 def cells(hashes: np.ndarray, bits: int, plane: int = 0) -> np.ndarray:
@@ -39,15 +54,26 @@ def cells(hashes: np.ndarray, bits: int, plane: int = 0) -> np.ndarray:
     return hashes >> np.uint64(64 - bits)
 
 
-def _pack(inside: np.ndarray) -> tuple[bytes, bytes]:
-    """Sorted cell numbers of a block as their low 16 bits and the count of each high part."""
-    sizes = np.diff(np.searchsorted(inside, np.arange(_PARTS + 1, dtype=np.uint32) << np.uint32(16)))
-    return (inside & np.uint32(0xFFFF)).astype(np.uint16).tobytes(), sizes.astype(np.uint32).tobytes()
+def rice(sorted_: np.ndarray) -> bytes:
+    """Distinct sorted numbers below 2 ** 32 as Rice codes of the gaps between them."""
+    gaps = np.diff(sorted_.astype(np.int64), prepend=-1) - 1
+    n = len(gaps)
+    k = max(0, min(16, int(gaps.mean()).bit_length() - 1)) if n else 0
+    ones = np.cumsum((gaps >> k) + 1) - 1
+    unary = np.zeros(int(ones[-1]) + 1 if n else 0, np.uint8)
+    unary[ones] = 1
+    rest = np.unpackbits((gaps & ((1 << k) - 1)).astype(">u2").view(np.uint8).reshape(-1, 2), axis=1)[:, 16 - k:]
+    return np.array([n, len(unary)], "<u4").tobytes() + bytes([k]) + np.packbits(np.concatenate([unary, rest.ravel()])).tobytes()
 
 
-def _unpack(low: bytes, sizes: bytes) -> np.ndarray:
-    high = np.repeat(np.arange(_PARTS, dtype=np.uint32) << np.uint32(16), np.frombuffer(sizes, np.uint32))
-    return high | np.frombuffer(low, np.uint16)
+def unrice(code: bytes) -> np.ndarray:
+    n, long = np.frombuffer(code, "<u4", 2).tolist()
+    k = code[8]
+    bits = np.unpackbits(np.frombuffer(code, np.uint8, offset=9), count=long + n * k)
+    high = np.diff(np.flatnonzero(bits[:long]), prepend=-1) - 1
+    rest = np.zeros((n, 16), np.uint8)
+    rest[:, 16 - k:] = bits[long:].reshape(n, k)
+    return np.cumsum((high << k) + np.packbits(rest, axis=1).view(">u2").ravel() + 1) - 1
 
 
 def mail(rows: list[dict]) -> pa.Table:
@@ -65,42 +91,52 @@ def heads_of(right: pa.Table) -> np.ndarray:
     return right.filter(pc.equal(right["kind"], HEADS))["id"].to_numpy()
 
 
-def send(planes: list[np.ndarray], chunk: int) -> Iterator[dict]:
-    """Mail to the merging tasks from one chunk; ``planes`` are its cell numbers, repeats included."""
+def send(planes: list[np.ndarray], chunk: int, block: int) -> Iterator[dict]:
+    """Mail to the merging tasks from one chunk; ``planes`` are its cell numbers, repeats included, ``block`` a block's bits.
+
+    ``a`` are the cells, ``b`` which of them were met more than once, ``c`` how often.
+    """
     for plane, at in enumerate(planes):
         at = np.sort(at)
         new = np.ones(len(at), bool)
         new[1:] = at[1:] != at[:-1]
         one = np.flatnonzero(new)
-        again = np.diff(np.append(one, len(at))) > 1
+        counts = np.diff(np.append(one, len(at))).astype(np.uint32)
         at = at[one]
-        blocks = (at >> np.uint64(BLOCK_BITS)).astype(np.int64)
-        inside = (at & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.uint32)
+        blocks = (at >> np.uint64(block)).astype(np.int64)
+        inside = (at & np.uint64((1 << block) - 1)).astype(np.uint32)
         cuts = np.append(np.flatnonzero(np.diff(blocks, prepend=-1)), len(at))
         for first, last in zip(cuts[:-1], cuts[1:], strict=True):
-            low, sizes = _pack(inside[first:last])
-            yield {"chunk": chunk, "kind": plane, "block": int(blocks[first]), "a": low, "b": sizes,
-                   "c": np.packbits(again[first:last]).tobytes()}
+            own = counts[first:last]
+            again = np.flatnonzero(own > 1)
+            yield {"chunk": chunk, "kind": plane, "block": int(blocks[first]), "a": rice(inside[first:last]),
+                   "b": rice(again) if len(again) else None, "c": own[again].tobytes() if len(again) else None}
+
+
+def merge(sent: DataFrame, bits: int, counted: bool = True) -> DataFrame:
+    """Mail back to the chunks: those of their cells that were met twice or more over all chunks, if ``counted`` with counts.
 
+    ``bits`` are those of a block.  Counts stop at 2 ** 32 - 1 (255 where only two or more matters).
+    """
+    kind = np.uint32 if counted else np.uint8
 
-def merge(sent: DataFrame, counted: bool = True) -> DataFrame:
-    """Mail back to the chunks: those of their cells that were met twice or more over all chunks, if ``counted`` with counts."""
     def block(group: pa.Table) -> pa.Table:
-        total = np.zeros(1 << BLOCK_BITS, np.uint32)
-        rows = group.to_pylist()
-        for r in rows:
-            at = _unpack(r["a"], r["b"])
-            total[at] += 1
-            again = np.unpackbits(np.frombuffer(r["c"], np.uint8), count=len(at)).astype(bool)
-            total[at[again]] += 1
+        total = np.zeros(1 << bits, kind)
+        most = np.iinfo(kind).max
+        codes, own, place = (group[c] for c in ("a", "chunk", "block"))
+        for code, again, times in zip(codes, group["b"], group["c"], strict=True):
+            at = unrice(code.as_py())
+            add = np.ones(len(at), kind)
+            if again.is_valid:
+                add[unrice(again.as_py())] = np.minimum(np.frombuffer(times.as_py(), np.uint32), most)
+            total[at] += np.minimum(add, most - total[at])
         out = []
-        for r in rows:
-            at = _unpack(r["a"], r["b"])
+        for code, chunk, number, plane in zip(codes, own, place, group["kind"], strict=True):
+            at = unrice(code.as_py())
             at = at[total[at] >= 2]
             if len(at):
-                low, sizes = _pack(at)
-                counts = np.minimum(total[at], 65535).astype(np.uint16).tobytes() if counted else None
-                out.append({"chunk": r["chunk"], "kind": r["kind"], "block": r["block"], "a": low, "b": sizes, "c": counts})
+                out.append({"chunk": chunk.as_py(), "kind": plane.as_py(), "block": number.as_py(), "a": rice(at),
+                            "c": total[at].tobytes() if counted else None})
         return mail(out)
     return sent.groupBy("kind", "block").applyInArrow(block, MAIL)
 
@@ -108,19 +144,19 @@ def merge(sent: DataFrame, counted: bool = True) -> DataFrame:
 class Returned:
     """The cells of one plane that came back to a chunk."""
 
-    def __init__(self, right: pa.Table, plane: int) -> None:
+    def __init__(self, right: pa.Table, plane: int, bits: int) -> None:
         rows = sorted(right.filter(pc.equal(right["kind"], plane)).to_pylist(), key=lambda r: r["block"])
-        parts = [_unpack(r["a"], r["b"]).astype(np.uint64) + np.uint64(r["block"] << BLOCK_BITS) for r in rows]
+        parts = [unrice(r["a"]).astype(np.uint64) + np.uint64(r["block"] << bits) for r in rows]
         self.cells = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-        counts = [np.frombuffer(r["c"], np.uint16) for r in rows if r["c"] is not None]
-        self.counts = np.concatenate(counts) if counts else np.full(len(self.cells), 2, np.uint16)
+        counts = [np.frombuffer(r["c"], np.uint32) for r in rows if r["c"] is not None]
+        self.counts = np.concatenate(counts) if counts else np.full(len(self.cells), 2, np.uint32)
         self._mask = np.uint64((1 << 22) - 1)
         self._maybe = np.zeros(1 << 22, bool)
         self._maybe[self.cells & self._mask] = True
 
     def estimates(self, at: np.ndarray) -> np.ndarray:
         """The count of each cell: what came back, else 1."""
-        found = np.ones(len(at), np.uint16)
+        found = np.ones(len(at), np.uint32)
         seen = np.flatnonzero(self._maybe[at & self._mask])
         if len(seen):
             place = np.minimum(np.searchsorted(self.cells, at[seen]), len(self.cells) - 1)

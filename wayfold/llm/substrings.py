@@ -37,9 +37,9 @@ class _Estimated:
     The order is by both hashes, so that it is the same in every pass over the chunk.
     """
 
-    def __init__(self, group: pa.Table, right: pa.Table, width: int, bits: int) -> None:
+    def __init__(self, group: pa.Table, right: pa.Table, width: int, bits: int, inner: int) -> None:
         group = group.filter(pa.array(np.isin(group["id"].fill_null(-1).to_numpy(), sketch.heads_of(right)) & group["id"].is_valid().to_numpy()))
-        ids, known = group["id"].to_numpy(), [sketch.Returned(right, p) for p in (0, 1)]
+        ids, known = group["id"].to_numpy(), [sketch.Returned(right, p, inner) for p in (0, 1)]
         hits: list[list[np.ndarray]] = [[], [], []]
         for low, _, _, _, firsts, words, at, h1 in _windows(group["text"], width):
             twice = known[0].estimates(sketch.cells(h1, bits)) >= 2
@@ -77,7 +77,8 @@ def remove_repeats(docs: DataFrame, *, width: int = WIDTH, doc_id: str = "doc_id
     replaced.
     """
     total = text_bytes(docs, text)
-    chunks, bits = chunk_count(total), sketch.plane_bits(total // 6)
+    chunks, bits = chunk_count(total, sketch.chunk_bytes(total)), sketch.plane_bits(total // 6)
+    inner = sketch.block_bits(bits, chunks)
     part_bits = max(0, (chunks - 1).bit_length() - 2)
     dealt = packed(docs, text, id=F.col(doc_id).cast("long")).withColumn(
         "chunk", chunk_of(F.coalesce("id", F.crc32(F.coalesce("text", F.lit("")))), chunks))
@@ -91,32 +92,33 @@ def remove_repeats(docs: DataFrame, *, width: int = WIDTH, doc_id: str = "doc_id
         keep = group.filter(pa.array(np.isin(group["id"].fill_null(-1).to_numpy(), sketch.heads_of(right)) & group["id"].is_valid().to_numpy()))
         found = [w[-1] for w in _windows(keep["text"], width)]
         planes = [[sketch.cells(h, bits, p) for h in found] for p in (0, 1)]
-        return sketch.mail(list(sketch.send([np.concatenate(p) for p in planes], group["chunk"][0].as_py())) if found else [])
+        return sketch.mail(list(sketch.send([np.concatenate(p) for p in planes], group["chunk"][0].as_py(), inner)) if found else [])
 
     groups = dealt.groupBy("chunk")
-    back = named.union(sketch.merge(groups.cogroup(named.groupBy("chunk")).applyInArrow(count, sketch.MAIL), counted=False))
+    back = named.union(sketch.merge(groups.cogroup(named.groupBy("chunk")).applyInArrow(count, sketch.MAIL), inner, counted=False))
 
     def estimated(group: pa.Table, right: pa.Table) -> pa.Table:
         if not group.num_rows:
             return sketch.mail([])
-        mine = _Estimated(group, right, width, bits)
+        mine = _Estimated(group, right, width, bits, inner)
         parts = (mine.h1 >> np.uint64(64 - part_bits)).astype(np.int64) if part_bits else np.zeros(len(mine.h1), np.int64)
         cuts = np.append(np.flatnonzero(np.diff(parts, prepend=-1)), len(parts))
         return sketch.mail([{"chunk": group["chunk"][0].as_py(), "kind": CODES, "block": int(parts[i]),
                              "a": np.concatenate([mine.h1[i:j], mine.h2[i:j]]).tobytes(), "b": mine.low[i:j].tobytes(),
-                             "c": mine.high[i:j].tobytes()} for i, j in zip(cuts[:-1], cuts[1:], strict=True)])
+                             "c": np.packbits(mine.high[i:j] > mine.low[i:j]).tobytes()} for i, j in zip(cuts[:-1], cuts[1:], strict=True)])
 
     def exact(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
         hashes = [np.frombuffer(r["a"], np.uint64).reshape(2, -1) for r in rows]
         h1, h2 = np.concatenate(hashes, axis=1)
-        low, high = (np.concatenate([np.frombuffer(r[c], np.int64) for r in rows]) for c in "bc")
+        low = np.concatenate([np.frombuffer(r["b"], np.int64) for r in rows])
+        several = np.concatenate([np.unpackbits(np.frombuffer(r["c"], np.uint8), count=x.shape[1]) for r, x in zip(rows, hashes, strict=True)])
         order = np.lexsort((low, h2, h1))
         new = np.ones(len(h1), bool)
         new[1:] = (h1[order][1:] != h1[order][:-1]) | (h2[order][1:] != h2[order][:-1])
         least = np.empty(len(h1), np.int64)
         least[order] = low[order][np.maximum.accumulate(np.where(new, np.arange(len(h1)), 0))]
-        code = np.where(low > least, ALL, np.where(high > low, BUT_LOWEST, 0)).astype(np.uint8)
+        code = np.where(low > least, ALL, np.where(several > 0, BUT_LOWEST, 0)).astype(np.uint8)
         ends = np.cumsum([x.shape[1] for x in hashes])
         return sketch.mail([{"chunk": r["chunk"], "kind": CODES, "block": r["block"], "a": c.tobytes()}
                             for r, c in zip(rows, np.split(code, ends[:-1]), strict=True)])
@@ -130,7 +132,7 @@ def remove_repeats(docs: DataFrame, *, width: int = WIDTH, doc_id: str = "doc_id
         codes = sorted(right.filter(pc.equal(right["kind"], CODES)).to_pylist(), key=lambda r: r["block"])
         g1 = np.zeros(0, np.uint64)
         if codes:
-            mine = _Estimated(group, right, width, bits)
+            mine = _Estimated(group, right, width, bits, inner)
             code = np.concatenate([np.frombuffer(r["a"], np.uint8) for r in codes])
             g1, g2, code, lowest = mine.h1[code > 0], mine.h2[code > 0], code[code > 0], mine.low[code > 0]
         words, removed, kept = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64), []
