@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfold.llm import langid, secrets
-from wayfold.llm.frames import stored
+from wayfold.llm.frames import stored, without
 from wayfold.llm.jaccard import components_by_jaccard
 from wayfold.llm.packing import pack_documents
 from wayfold.llm.substrings import remove_repeats
@@ -25,8 +25,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The network learns from the labelled documents of this stage's input, without the held-out quarter of their ids.
     """
     known = docs.filter(F.crc32(F.col("doc_id").cast("string")) % 4 != 2)
-    found = langid.identify(docs, langid.train(known))
-    return found.filter(F.col("lang_pred") != langid.UNKNOWN).select(docs.columns)
+    found = langid.identify(_apart(docs), langid.train(known))
+    return _together(found.filter(F.col("lang_pred") != langid.UNKNOWN), docs, changed=False)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +36,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     found = stored(components_by_jaccard(docs, width=5, percent=80), "components")
     gone = found.filter("component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    kept = without(docs, gone, "doc_id")
     if found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty():
         return kept
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
@@ -46,14 +46,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 13 words or more that start in an earlier document go; a document that loses all its words goes too."""
-    done = remove_repeats(docs, spacing="original").filter("n_removed = 0 OR n_removed < n_words")
-    return _with_text(done, docs, F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text")))
+    done = remove_repeats(_apart(docs), spacing="original").filter("n_removed = 0 OR n_removed < n_words")
+    return _together(done.withColumn("text", F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))), docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret in a text is masked; no document goes."""
-    found = secrets.find_secrets(docs, secrets.train(docs), mask=MASK)
-    return _with_text(found, docs, F.col("text"))
+    return _together(secrets.find_secrets(_apart(docs), secrets.train(docs), mask=MASK), docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,11 +60,16 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return pack_documents(docs, str(public_tokenizers.path("byte_bpe_50k.json")))
 
 
-def _with_text(done: DataFrame, docs: DataFrame, text) -> DataFrame:
-    changed = {"text": text}
-    if "n_chars" in docs.columns:
-        changed["n_chars"] = F.length(text).cast("long")
-    return done.withColumns(changed).select(docs.columns)
+def _apart(docs: DataFrame) -> DataFrame:
+    """Id and text for an operator, all else in one struct, so that no column can clash with what the operator returns."""
+    others = [F.col(f"`{c}`").alias(c) for c in docs.columns if c != "text"]
+    return docs.select("doc_id", "text", F.struct(*others).alias("_carried"))
+
+
+def _together(done: DataFrame, docs: DataFrame, changed: bool = True) -> DataFrame:
+    """The columns of ``docs`` again, with the text as it is now and, if it may have changed, its length."""
+    now = {"text": F.col("text")} | ({"n_chars": F.length("text").cast("long")} if changed else {})
+    return done.select(*[now.get(c, F.col("_carried").getField(c)).alias(c) for c in docs.columns])
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -5,11 +5,13 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm import brute
 from tests.parity import compare, duck
 from wayfold.llm import queries
+from wayfold.llm.frames import without
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -92,3 +94,23 @@ def test_empty_stages(spark, no_docs, sf_dir):
     for name, stage in corpus_pipeline.STAGES:
         frame = corpus_pipeline.stored(stage(spark, frame, sf_dir), f"empty-{name}")
         assert frame.count() == 0
+
+
+def test_columns_named_as_outputs_stay(spark, sf_dir):
+    extra = ["lang_pred", "score", "n_words", "n_removed", "kept_text", "spans", "base", "n_hex", "row", "id", "letter", "chunk", "component_id", "_set"]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(COLUMNS)
+    frame = docs.select("*", *[F.concat(F.lit(f"{c} of "), F.col("doc_id").cast("string")).alias(c) for c in extra])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        frame = corpus_pipeline.stored(stage(spark, frame, sf_dir), f"clash-{name}")
+        assert frame.columns == [*COLUMNS, *extra]
+        assert frame.count() > 0
+        assert all(r[c] == f"{c} of {r.doc_id}" for r in frame.collect() for c in extra)
+
+
+def test_rows_without_ids_in_a_list(spark):
+    rows = spark.createDataFrame([(i if i % 50 else None, f"t{i}") for i in range(1000)], "doc_id long, text string")
+    gone = spark.createDataFrame([(i,) for i in range(0, 1200, 3)], "doc_id long")
+    want = sorted(f"t{i}" for i in range(1000) if i % 50 == 0 or i % 3)
+    for bits in (24, 7):  # the second bitmap is all set
+        assert sorted(r.text for r in without(rows, gone, "doc_id", bits).collect()) == want
+    assert without(rows, gone.limit(0), "doc_id").count() == 1000

@@ -34,6 +34,22 @@ def unpacked(df: DataFrame, *outputs: str, text: str | None = "text") -> DataFra
     return df.select(*kept, *([F.col("text").alias(text)] if text else []), *outputs)
 
 
+def without(rows: DataFrame, ids: DataFrame, key: str, bits: int = 24) -> DataFrame:
+    """``rows`` whose ``key`` is not among ``ids``, without shuffling those that cannot be.
+
+    The ids set bits of a bitmap of ``2 ** bits`` places, which is at most ``2 ** (bits - 6)`` rows and so may be broadcast
+    whatever the number of ids.  A row whose bit is not set stays where it is; the others are compared by a join.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(1 << bits))
+    at = [F.shiftright(place, 6).cast("int").alias("_word"), place.bitwiseAND(F.lit(63)).cast("int").alias("_bit")]
+    words = ids.select(*at).groupBy("_word").agg(F.expr("bit_or(shiftleft(1L, _bit))").alias("_set"))
+    whole = F.struct(*[F.col(f"`{c}`").alias(c) for c in rows.columns]).alias("row")
+    marked = rows.select(F.col(key).alias("_key"), *at, whole).join(F.broadcast(words), "_word", "left")
+    may = F.coalesce(F.expr("shiftright(_set, _bit) & 1L") == 1, F.lit(False))
+    compared = marked.filter(may).join(ids.select(F.col(key).alias("_key")), "_key", "left_anti")
+    return marked.filter(~may).select("row.*").union(compared.select("row.*"))
+
+
 def text_bytes(df: DataFrame, text: str) -> int:
     return df.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
 
