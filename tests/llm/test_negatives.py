@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wayfold.llm import hypertree, negatives, queries
+from wayfold.llm import hypertree, integers, negatives, queries
 
 SCHEMA = "vec_id long, embedding array<double>, label int, rank string, key string, x int, leaf int, block string"
 
@@ -87,7 +87,7 @@ def test_tree_leaves_out_leaves_but_no_row():
 
 def test_keys_sort_as_scores():
     for largest, scores in [(300, [-5, 0, 7, 90_000 * 64]), (2**40, [-(2**86), -1, 0, 2**70, 2**86])]:
-        keys = negatives.Keys(largest, 64)
+        keys = integers.Keys(largest, 64)
         made = keys.of(np.array(scores, object if largest > 2**30 else np.int64))
         assert made == sorted(made) and [keys.score(k) for k in made] == scores
 

@@ -14,14 +14,17 @@ from tests.llm.conftest import prose
 from wayfold.llm import topk, warc
 
 
+def _floor(x):
+    return int(x) * 1024 if abs(x) > 2**60 else math.floor(x * 1024)
+
+
 def _best(rows, k=10):
-    ok = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows
-          if i is not None and v and all(x is not None and math.isfinite(x) and abs(x * 1024) <= topk.LARGEST for x in v)]
+    ok = [(i, [_floor(float(x)) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
     out = []
     for i, q in {(i, tuple(v)) for i, v in ok if i % 100 == 0}:
         found = sorted((-sum(a * b for a, b in zip(q, v, strict=True)), j) for j, v in ok if j != i and len(v) == len(q))[:k]
-        out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(found)]
-    return sorted(out)
+        out += [(i, r + 1, j, -s if -(2**63) <= -s < 2**63 else None) for r, (s, j) in enumerate(found)]
+    return sorted(out, key=str)
 
 
 def test_top_k(spark):
@@ -29,9 +32,9 @@ def test_top_k(spark):
     base = rng.normal(0, 0.3, (40, 24)).astype(float)
     rows = [(i, base[i % 40].tolist()) for i in range(330)]  # every vector many times: ties
     rows += [(100, base[3].tolist()), (None, base[1].tolist()), (700, None), (701, []), (702, [None] * 24), (703, [math.nan] * 24),
-             (704, [math.inf] * 24), (800, [1e30] * 24), (900, [0.5, 0.25]), (901, [1.0, 1.0]), (1000, [2.0])]
+             (704, [math.inf] * 24), (800, [1e30] * 24), (801, [1e6 + 0.25] * 24), (802, [-1e6] * 24), (1100, [1e6 - 0.125] * 24), (900, [0.5, 0.25]), (901, [1.0, 1.0]), (1000, [2.0])]
     vectors = spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id long, embedding array<double>, key string, g int").repartition(4)
-    got = sorted(map(tuple, topk.top_k(vectors, F.col("vec_id") % 100 == 0).collect()))
+    got = sorted(map(tuple, topk.top_k(vectors, F.col("vec_id") % 100 == 0).collect()), key=str)
     assert got == _best(rows)
     assert topk.top_k(vectors.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
@@ -40,10 +43,18 @@ def test_top_k_over_several_groups(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(topk, "CANDIDATES", 64)
     monkeypatch.setattr(topk, "QUERIES", 2)
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    got = sorted(map(tuple, topk.top_k(vectors, F.col("vec_id") % 100 == 0).collect()))
+    got = sorted(map(tuple, topk.top_k(vectors, F.col("vec_id") % 100 == 0).collect()), key=str)
     assert got == _best([(r.vec_id, r.embedding) for r in vectors.collect()])
 
 
+def test_top_k_of_components_up_to_a_million(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, (rng.normal(0, 1, 8) * 10 ** rng.integers(0, 7)).tolist()) for i in range(300)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = sorted(map(tuple, topk.top_k(vectors, F.col("vec_id") % 100 == 0).collect()), key=str)
+    assert got == _best(rows) and all(r[3] is not None for r in got)
+
+
 def test_bounds_are_above_the_product():
     rng = np.random.default_rng(2)
     a, b = (np.floor(rng.normal(0, 300, (50, 37))) for _ in "ab")
@@ -97,3 +108,30 @@ def test_members_and_index(spark, tmp_path):
         for a, n in places:
             record = gzip.decompress(whole[a:a + n])
             assert record.startswith(b"WARC/1.1\r\n") and record.endswith(b"\r\n\r\n")
+
+
+def test_archives_are_read_in_pieces():
+    class Slow:
+        def __init__(self, data):
+            self.data, self.at = data, 0
+
+        def read(self, n):
+            part = self.data[self.at:self.at + min(n, 7)]
+            self.at += len(part)
+            return part
+    records = [f"WARC/1.1\r\nX: {i}\r\nContent-Length: {len(body)}\r\n\r\n".encode() + body + b"\r\n\r\n"
+               for i, body in enumerate([b"", b"a\r\n\r\nb", b"z" * 100_000, b"Content-Length: 9\r\n\r\n"])]
+    one = gzip.compress(b"".join(records))
+    many = b"".join(gzip.compress(r) for r in records)
+    for stream in (one, many):
+        parts = list(warc.inflated(Slow(stream), 50))
+        assert max(map(len, parts)) <= 200
+        assert list(warc.split_records(parts)) == records
+    assert list(warc.split_records(warc.inflated(Slow(gzip.compress(b"")), 50))) == []
+
+
+def test_ranges_cover_the_index():
+    index = np.array([(0, 10), (10, 5), (15, 100), (115, 1), (116, 1), (117, 1)])
+    assert list(warc.ranges(index, 20)) == [(0, 2), (2, 3), (3, 6)]
+    assert list(warc.ranges(index, 1, 2)) == [(0, 1), (1, 2), (2, 3), (3, 4), (4, 5), (5, 6)] and list(warc.ranges(index, 1000, 4)) == [(0, 4), (4, 6)]
+    assert list(warc.ranges(np.zeros((0, 2), int))) == []

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,56 +12,12 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from wayfold.llm.frames import stored
 from wayfold.llm.hypertree import SLACK, Tree, asked, lifted
+from wayfold.llm.integers import Keys, exact, matrix, products
 
 SCALE = 256
 #: Rows that a leaf is meant to hold, and rows of a leaf that one task compares at a time; bounds of the tree and of the
 #: sample it is built from; lengths of vector that get a tree (others have one leaf).
 LEAF, BLOCK, LEAVES, SAMPLE, TREES = 4096, 8192, 4096, 8192, 8
-_PLAIN = 2.0**45
-
-
-def exact(x: np.ndarray) -> np.ndarray:
-    """floor(256 x), x as double, of every component: whole doubles, or Python integers where doubles end."""
-    if not x.size or np.abs(x).max() < _PLAIN:
-        return np.floor(x * float(SCALE))
-    whole = [int(e) * SCALE if abs(e) >= _PLAIN else math.floor(e * SCALE) for e in x.ravel().tolist()]
-    out = np.empty(len(whole), object)
-    out[:] = whole
-    return out.reshape(x.shape)
-
-
-def products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Exact integer inner products of rows, as longs where all fit, else as Python integers."""
-    largest = [int(np.abs(m).max(initial=0)) if m.size else 0 for m in (q, c)]
-    bound = largest[0] * largest[1] * q.shape[1]
-    if bound < 2**53:
-        return (q.astype(np.float64) @ c.astype(np.float64).T).astype(np.int64)
-    if bound < 2**63 and max(largest) < 2**62:
-        return q.astype(np.int64) @ c.astype(np.int64).T
-    whole = [np.array([[int(e) for e in row] for row in m.tolist()], object).reshape(m.shape) for m in (q, c)]
-    return whole[0] @ whole[1].T
-
-
-class Keys:
-    """Scores as binary keys of one length whose order is that of the scores, whatever their size."""
-
-    def __init__(self, largest: int, dim: int) -> None:
-        self.width = max(8, (int(largest) ** 2 * dim).bit_length() // 8 + 1)
-        self.middle = 1 << (8 * self.width - 1)
-
-    def of(self, scores: np.ndarray) -> list[bytes]:
-        if scores.dtype != object and self.width == 8:
-            raw = (scores.astype(np.int64).view(np.uint64) ^ np.uint64(1 << 63)).astype(">u8").tobytes()
-            return [raw[i:i + 8] for i in range(0, len(raw), 8)]
-        return [(int(s) + self.middle).to_bytes(self.width, "big") for s in scores.tolist()]
-
-    def score(self, key: bytes) -> int:
-        return int.from_bytes(key, "big") - self.middle
-
-
-def _matrix(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
-    flat = (column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column).flatten()
-    return flat.to_numpy(zero_copy_only=False).reshape(-1, dim).astype(np.float64)
 
 
 class _Index:
@@ -89,7 +44,7 @@ class _Index:
             some = rows.filter((F.col("dim") == r["dim"]) & (hashed == 0)).select("x").limit(2 * SAMPLE).toArrow()
             if some.num_rows:
                 self.square[r["dim"]] = r["square"] * (1 + SLACK)
-                u = self.scaled(exact(_matrix(some["x"], r["dim"])))
+                u = self.scaled(exact(matrix(some["x"], r["dim"]), SCALE))
                 self.trees[r["dim"]] = Tree(lifted(u, self.square[r["dim"]]), r["n"], max(LEAF, -(-r["n"] // LEAVES)))
 
     def scaled(self, v: np.ndarray) -> np.ndarray:
@@ -103,14 +58,14 @@ class _Index:
 
     def leaf_of(self, dim: int, x: np.ndarray, ranges: bool = False) -> np.ndarray:
         tree = self.trees.get(dim)
-        return tree.route(lifted(self.scaled(exact(x)), self.square[dim]), ranges) if tree else np.zeros(len(x), np.int64)
+        return tree.route(lifted(self.scaled(exact(x, SCALE)), self.square[dim]), ranges) if tree else np.zeros(len(x), np.int64)
 
     def measure(self, routed: DataFrame) -> None:
         """Ranges of every split, from all rows: each partition's own, merged by grouping."""
         def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for dim, part in _by_dim(pa.Table.from_batches([batch])):
-                    self.leaf_of(dim, _matrix(part["x"], dim), True)
+                    self.leaf_of(dim, matrix(part["x"], dim), True)
             out = [(dim, at, i, j, split.low[i, j], split.high[i, j]) for dim, tree in self.trees.items() for at, split in enumerate(tree.splits)
                    for i, j in zip(*np.nonzero(split.high >= 0), strict=True)]
             columns = list(zip(*out, strict=True)) if out else [[]] * 6
@@ -157,7 +112,7 @@ def _sent(asking: DataFrame, sizes: dict[tuple[int, int], int], index: _Index, r
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for dim, part in _by_dim(pa.Table.from_batches([batch])):
-                u = index.scaled(exact(_matrix(part["x"], dim)))
+                u = index.scaled(exact(matrix(part["x"], dim), SCALE))
                 square, own = index.square.get(dim, 0.0), np.einsum("ij,ij->i", u, u)
                 windows = part["windows"].to_pylist()
                 inner, outer = np.ones((2, len(u), max(1, max(map(len, windows)))))
@@ -187,10 +142,10 @@ def _compared(best: Callable, schema: pa.Schema) -> Callable[[pa.Table, pa.Table
         if left.num_rows and right.num_rows:
             left = left.sort_by("vec_id")
             dim = left["dim"][0].as_py()
-            ids, labels, c = left["vec_id"].to_numpy(), left["label"].to_numpy(), exact(_matrix(left["x"], dim))
+            ids, labels, c = left["vec_id"].to_numpy(), left["label"].to_numpy(), exact(matrix(left["x"], dim), SCALE)
             for at in range(0, right.num_rows, 256):
                 part = right.slice(at, 256)
-                scores = products(exact(_matrix(part["x"], dim)), c)
+                scores = products(exact(matrix(part["x"], dim), SCALE), c)
                 queries = zip(*[part[n].to_pylist() for n in ("anchor_id", "vkey", "label", "windows")], strict=True)
                 for row, (anchor, vkey, label, windows) in enumerate(queries):
                     for found in best(scores[row], ids, labels, anchor, label, windows):
@@ -238,7 +193,7 @@ def hard_negatives(vectors: DataFrame, is_anchor: Column, *, positives: int = 5,
             leaf, dims = np.zeros(batch.num_rows, np.int32), batch["dim"].to_numpy()
             for dim in np.unique(dims).tolist():
                 own = np.flatnonzero(dims == dim)
-                leaf[own] = index.leaf_of(dim, _matrix(batch["x"].take(pa.array(own)), dim))
+                leaf[own] = index.leaf_of(dim, matrix(batch["x"].take(pa.array(own)), dim))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf)], [*batch.schema.names, "leaf"])
 
     # the number that deals a leaf's rows to its blocks is written with them, so that it is the same whenever it is read
@@ -293,15 +248,6 @@ def hard_negatives(vectors: DataFrame, is_anchor: Column, *, positives: int = 5,
     pairs = blocks.cogroup(third.groupBy(*_KEYS)).applyInArrow(
         _compared(inside, mined), "anchor_id long, vkey long, place int, positive_id long, positive_key binary, id long, key binary")
     return ranked(pairs, [*who, "place"], negatives).select(
-        "anchor_id", "positive_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias("negative_id"), "positive_key", "key").mapInArrow(
-        _scored(keys), "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long")
-
-
-def _scored(keys: Keys) -> Callable:
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scores = [[keys.score(k) for k in batch[c].to_pylist()] for c in ("positive_key", "key")]
-            longs = [pa.array([s if -(2**63) <= s < 2**63 else None for s in own], pa.int64()) for own in scores]
-            yield pa.RecordBatch.from_arrays([*[batch[c] for c in ("anchor_id", "positive_id", "rank", "negative_id")], *longs],
-                                             ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"])
-    return decode
+        "anchor_id", "positive_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias("negative_id"), F.col("positive_key").alias("positive_score"),
+        F.col("key").alias("negative_score")).mapInArrow(
+        keys.reader("positive_score", "negative_score"), "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long")

@@ -7,7 +7,9 @@ import posixpath
 import re
 import uuid
 import zlib
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame
@@ -16,7 +18,8 @@ from pyspark.sql import functions as F
 from wayfold.session import scratch_path
 
 SMALLEST = 100
-RECORDS = 4096
+#: Records of an archive; bytes that are read or inflated at a time.
+RECORDS, READ = 4096, 1 << 20
 DATE = "2024-01-01T00:00:00Z"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -64,65 +67,81 @@ def write_archives(planned: DataFrame, path: str, *, records: int = RECORDS) ->
         "maxRecordsPerFile", records).text(path)
 
 
-def _inflate(content: bytes) -> bytes:
-    out = []
-    while content:
-        stream = zlib.decompressobj(31)
-        out += [stream.decompress(content), stream.flush()]
-        content = stream.unused_data
-    return b"".join(out)
+def inflated(source, size: int = READ) -> Iterator[bytes]:
+    """A gzip stream of any number of members, some ``size`` bytes at a time on either side."""
+    press = zlib.decompressobj(31)
+    while data := source.read(size):
+        while data:
+            if press.eof:
+                press = zlib.decompressobj(31)
+            yield press.decompress(data, 4 * size)
+            data = press.unused_data if press.eof else press.unconsumed_tail
+    yield press.flush()
 
 
 _LENGTH = re.compile(rb"\r\nContent-Length: *(\d+)", re.IGNORECASE)
 
 
-def split_records(stream: bytes) -> list[bytes]:
-    """The records of an archive, each with its closing line ends."""
-    out, at = [], 0
-    while at < len(stream):
-        head = stream.index(b"\r\n\r\n", at) + 4
-        stop = head + int(_LENGTH.search(stream, at, head).group(1)) + 4
-        out.append(stream[at:stop])
-        at = stop
-    return out
+def split_records(parts: Iterable[bytes]) -> Iterator[bytes]:
+    """The records of an archive, each with its closing line ends; no more than one and a part is held."""
+    held, seen, stop = bytearray(), 0, 0
+    for part in parts:
+        held += part
+        while True:
+            if not stop:
+                head = held.find(b"\r\n\r\n", seen)
+                if head < 0:
+                    seen = max(0, len(held) - 3)
+                    break
+                stop = head + 8 + int(_LENGTH.search(held, 0, head + 4).group(1))
+            if len(held) < stop:
+                break
+            yield bytes(held[:stop])
+            del held[:stop]
+            seen = stop = 0
+    if held:
+        raise ValueError("an archive ends inside a record")
 
 
 def normalise(path: str, target: str, spark, *, level: int = 6) -> DataFrame:
     """Rewrite each archive below ``path`` to ``target`` with one gzip member a record and a sidecar index of offsets.
 
-    Each whole-file stream is inflated once.  The sidecar has a line ``offset length`` for each record, in order.  Files
-    are written aside and moved into place, so a task that runs again leaves whole files.  The result lists
-    ``(archive, records)``; nothing is written before it is run.
+    Each whole-file stream is inflated once, piece by piece, so a task holds one record whatever an archive holds.  The
+    sidecar has a line ``offset length`` for each record, in order.  Files are written aside and moved into place, so a
+    task that runs again leaves whole files.  The result lists ``(archive, records)``; nothing is written before it is run.
     """
     def rewrite(batches):
         store, folder = fs.FileSystem.from_uri(target)
+        origin, place = fs.FileSystem.from_uri(path)
         store.create_dir(folder, recursive=True)
         for batch in batches:
-            for name, content in zip(batch["path"].to_pylist(), batch["content"].to_pylist(), strict=True):
-                archive = f"{posixpath.basename(name).split('.')[0]}.warc.gz"
+            for name in map(posixpath.basename, batch["path"].to_pylist()):
+                archive = f"{name.split('.')[0]}.warc.gz"
                 aside = posixpath.join(folder, f"_{uuid.uuid4().hex}")
-                index, at = [], 0
-                with store.open_output_stream(f"{aside}.gz", compression=None) as out:
-                    for record in split_records(_inflate(content)):
+                at = records = 0
+                with (origin.open_input_stream(posixpath.join(place, name), compression=None) as source,
+                      store.open_output_stream(f"{aside}.gz", compression=None) as out,
+                      store.open_output_stream(f"{aside}.idx", compression=None) as index):
+                    for record in split_records(inflated(source)):
                         press = zlib.compressobj(level, zlib.DEFLATED, 31)
                         member = press.compress(record) + press.flush()
                         out.write(member)
-                        index.append(f"{at} {len(member)}\n")
+                        index.write(f"{at} {len(member)}\n".encode())
                         at += len(member)
-                with store.open_output_stream(f"{aside}.idx", compression=None) as out:
-                    out.write("".join(index).encode())
+                        records += 1
                 store.move(f"{aside}.idx", posixpath.join(folder, f"{archive}.idx"))
                 store.move(f"{aside}.gz", posixpath.join(folder, archive))
-                yield pa.record_batch([pa.array([archive]), pa.array([len(index)], pa.int64())], names=["archive", "records"])
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path", "content")
+                yield pa.record_batch([pa.array([archive]), pa.array([records], pa.int64())], names=["archive", "records"])
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path")
     return files.mapInArrow(rewrite, "archive string, records long")
 
 
 def read_archives(spark, target: str) -> DataFrame:
     """``(page_id, url, payload, payload_bytes, payload_digest, record_type, refers_to)`` of every record, by the indexes.
 
-    Each record is inflated alone from its offset.  The digest of a response is that of the payload read; one that
-    differs from its header is an error.  A revisit has no payload; size and digest are those it states.
+    The index says where to read: neighbouring records of some :data:`READ` bytes at a time, each inflated alone.  The
+    digest of a response is that of the payload read; one that differs from its header is an error.  A revisit has no
+    payload; size and digest are those it states.
     """
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload", pa.string()), ("payload_bytes", pa.int64()),
                         ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
@@ -130,17 +149,30 @@ def read_archives(spark, target: str) -> DataFrame:
     def parse(batches):
         store, folder = fs.FileSystem.from_uri(target)
         for batch in batches:
-            for name, content in zip(batch["path"].to_pylist(), batch["content"].to_pylist(), strict=True):
-                with store.open_input_stream(posixpath.join(folder, f"{posixpath.basename(name)}.idx"), compression=None) as f:
-                    index = f.read().decode().split()
-                rows = [_parse(_inflate(content[int(a):int(a) + int(n)])) for a, n in zip(index[::2], index[1::2], strict=True)]
-                for i in range(0, len(rows), 512):
-                    yield pa.RecordBatch.from_pylist(rows[i:i + 512], schema=schema)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(target).select("path", "content")
+            for name in map(posixpath.basename, batch["path"].to_pylist()):
+                with store.open_input_stream(posixpath.join(folder, f"{name}.idx"), compression=None) as f:
+                    index = np.array(f.read().split(), np.int64).reshape(-1, 2)
+                with store.open_input_file(posixpath.join(folder, name)) as archive:
+                    for low, high in ranges(index):
+                        first = int(index[low, 0])
+                        content = archive.read_at(int(index[high - 1].sum()) - first, first)
+                        rows = [_parse(zlib.decompress(content[a - first:a - first + n], 31)) for a, n in index[low:high].tolist()]
+                        yield pa.RecordBatch.from_pylist(rows, schema=schema)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(target).select("path")
     return files.mapInArrow(parse, "page_id long, url string, payload string, payload_bytes long, payload_digest string, "
                                    "record_type string, refers_to long")
 
 
+def ranges(index: np.ndarray, size: int = READ, most: int = 512) -> Iterator[tuple[int, int]]:
+    """Runs of index lines ``(offset, length)`` that are read together: up to ``size`` bytes and ``most`` records, at least one."""
+    low = 0
+    while low < len(index):
+        high = int(np.searchsorted(index.sum(1), index[low, 0] + size, "right"))
+        high = min(max(high, low + 1), low + most, len(index))
+        yield low, high
+        low = high
+
+
 def _parse(record: bytes) -> dict:
     head, _, block = record.partition(b"\r\n\r\n")
     fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
