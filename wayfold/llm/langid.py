@@ -11,8 +11,8 @@ from wayfold.llm import cnn, flat
 from wayfold.llm.frames import packed, unpacked
 
 LENGTH = 256
-#: Bound of the training sample: documents of each language, windows of each document, languages learned.
-DOCUMENTS, WINDOWS, LANGUAGES = 800, 4, 200
+#: Bound of the training sample: documents of each language and of all together, windows of each document.
+DOCUMENTS, SAMPLE, WINDOWS = 800, 100_000, 4
 UNKNOWN = "und"
 
 
@@ -43,19 +43,21 @@ class LanguageModel:
 
 
 def train(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", documents: int = DOCUMENTS,
-          windows: int = WINDOWS, seed: int = 5) -> LanguageModel:
+          sample: int = SAMPLE, windows: int = WINDOWS, seed: int = 5) -> LanguageModel:
     """Fit on a bounded sample of labelled documents: about ``documents`` of each language, by a hash of the id, and of
-    each at most ``windows`` pieces at hashed places.  At most :data:`LANGUAGES` languages, the most frequent ones."""
+    each at most ``windows`` pieces at hashed places.  Every language is learned; with so many that ``sample`` documents
+    do not go round, each has its share of them, and one at least."""
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang")).filter(
         "lang IS NOT NULL AND text IS NOT NULL")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    counts = rows.groupBy("lang").count().collect()
     languages = sorted(r["lang"] for r in counts)
+    documents = max(1, min(documents, sample // max(1, len(languages))))
     if len(languages) < 2:
         return LanguageModel(languages, None)
     # a share of each language's ids; ten million steps of the hash are finer than any bound here
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], int(min(1, documents / r["count"]) * 10_000_000))])
-    sample = rows.filter((F.pmod(F.xxhash64(F.coalesce(F.col("id").cast("string"), "text")), F.lit(10_000_000)) < share[F.col("lang")])
-                         & _has_letter(F.col("text")))
+    shares = rows.sparkSession.createDataFrame([(r["lang"], -(-min(r["count"], documents) * 10_000_000 // r["count"])) for r in counts], "lang string, share long")
+    drawn = F.pmod(F.xxhash64(F.coalesce(F.col("id").cast("string"), "text")), F.lit(10_000_000))
+    chosen = rows.withColumn("_drawn", drawn).join(F.broadcast(shares), "lang").filter((F.col("_drawn") < F.col("share")) & _has_letter(F.col("text")))
     schema = pa.schema([("lang", pa.string()), ("key", pa.int64()), ("piece", pa.binary())])
 
     def pieces(batches):
@@ -72,12 +74,13 @@ def train(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang:
                     out.append(raw[at:at + size].tobytes())
                 yield pa.record_batch([pa.array([name] * len(out)), pa.array(draw.integers(0, 2**62, len(out))), pa.array(out, pa.binary())],
                                       schema=schema)
-    found = sorted(map(tuple, sample.select("text", "lang").mapInArrow(pieces, "lang string, key long, piece binary").collect()))
+    found = sorted(map(tuple, chosen.select("text", "lang").mapInArrow(pieces, "lang string, key long, piece binary").collect()))
     found.sort(key=lambda r: (r[1], r[0], r[2]))
     x = np.zeros((len(found), LENGTH), np.uint8)
     for i, (_, _, piece) in enumerate(found):
         x[i, :len(piece)] = np.frombuffer(bytes(piece), np.uint8)
-    y = np.array([languages.index(r[0]) for r in found])
+    number = {name: i for i, name in enumerate(languages)}
+    y = np.array([number[r[0]] for r in found], np.int64)
     held = np.arange(len(found)) % 8 == 0
     net = cnn.ConvNet(len(languages), seed=seed).fit(x[~held], y[~held], epochs=6)
     return LanguageModel(languages, net.calibrate(x[held], y[held]))

@@ -53,7 +53,7 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return find_secrets(docs, train(docs)).select(
-        "doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base"), 256).alias("base_sha256"), "spans")
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base"), 256).alias("base_sha256"), "spans", "n_confirmed")
 
 
 @register

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -137,8 +139,9 @@ def _sum(x: np.ndarray, axis: int) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", quality: str = "quality",
-          documents: int = DOCUMENTS) -> LineModel:
-    """Fit on the lines of about ``documents`` labelled documents of each quality, picked by a hash of their id.
+          documents: int = DOCUMENTS, run: int = LINES) -> LineModel:
+    """Fit on about ``documents`` labelled documents of each quality, picked by a hash of their id, and of each on up to
+    ``run`` lines that follow one another, from a place that a hash of the id picks among all its lines.
 
     Lines of good documents are content unless they repeat an earlier line.  Lines of poor documents are boilerplate if
     they repeat words or lines or hold symbols, else content.  Without labelled documents every line is content.
@@ -165,7 +168,8 @@ def train(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
                 good = batch["good"].slice(low, high - low).to_numpy()
                 wanted = np.where(np.repeat(good == 1, np.diff(owner)), again == 0, ~poor).astype(np.int32)
                 for i in range(high - low):
-                    at = slice(owner[i], min(owner[i] + LINES, owner[i + 1]))
+                    first = owner[i] + zlib.crc32(str(batch["id"][low + i].as_py()).encode()) % max(1, owner[i + 1] - owner[i] - run + 1)
+                    at = slice(first, min(first + run, owner[i + 1]))
                     yield pa.record_batch([pa.array([str(batch["id"][low + i].as_py())]), pa.array([features[at].ravel()], schema.field(1).type),
                                            pa.array([wanted[at]], schema.field(2).type)], schema=schema)
     found = sorted(map(tuple, rows.select("id", "text", "good").mapInArrow(lines, "id string, features array<double>, labels array<int>").collect()))
