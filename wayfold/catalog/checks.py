@@ -10,17 +10,21 @@ from wayfold.catalog import register
 from wayfold.operators import folds, quality
 
 
-@register("check_columns", oracle("t_clicks", body="SELECT count(*) AS n, true AS ok FROM t_clicks"))
+@register("check_columns", oracle("t_clicks", body="""SELECT "column", "column" IN ('sid', 'click_time', 'click_mode') AS found, n
+    FROM (SELECT unnest(['sid', 'click_mode', 'eta', 'SID']) AS "column"), (SELECT count(*) AS n FROM t_clicks)"""))
 def _(spark, d):
-    checked = quality.check_columns(B.clicks_table(spark, d), ["sid", "click_mode"])
-    return checked.agg(F.count(F.lit(1)).alias("n"), F.lit(True).alias("ok"))
+    clicks = B.clicks_table(spark, d)
+    rows = quality.check_columns(clicks, ["sid", "click_mode"]).count()
+    return quality.columns_found(clicks, ["sid", "click_mode", "eta", "SID"]).withColumn("n", F.lit(rows).cast("long"))
 
 
-@register("check_same_schema", oracle("t_queries", body="SELECT count(*) AS n, true AS ok FROM t_queries"))
+@register("check_same_schema", oracle("t_queries", body="""SELECT CAST(v.place AS INT) AS place, v."left", v."right", n FROM (VALUES
+    (1, 'pid bigint', 'pid string'), (3, 'o string', 'd string'), (4, 'd string', NULL)) v(place, "left", "right"), (SELECT count(*) AS n FROM t_queries)"""))
 def _(spark, d):
     queries = B.queries_table(spark, d)
-    checked = quality.check_same_schema(queries, queries.select(*queries.columns))
-    return checked.agg(F.count(F.lit(1)).alias("n"), F.lit(True).alias("ok"))
+    rows = quality.check_same_schema(queries, queries.select(*queries.columns)).count()
+    other = queries.withColumn("pid", F.col("pid").cast("string")).drop("o")
+    return quality.schema_differences(queries, other).withColumn("n", F.lit(rows).cast("long"))
 
 
 @register("rows_with_null", oracle("t_queries", "t_clicks", body="""SELECT count(*) FILTER (WHERE pid IS NULL OR click_mode IS NULL)

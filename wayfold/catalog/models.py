@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import functions as F
 
@@ -12,7 +12,7 @@ from wayfold.catalog import register
 from wayfold.catalog.scalars import coords_of, rounded
 from wayfold.functions import clock, encode, planlists
 from wayfold.functions.digest import BITS, digest60, digest60_sql
-from wayfold.learn import classifiers, clusters, cross_validation, ranker, stacking
+from wayfold.learn import classifiers, clusters, cross_validation, lambdas, ranker, reach, stacking, ward
 from wayfold.operators import folds, joins, ranks, sampling, scoring
 from wayfold.schemas import MODES, PROFILE_COLUMNS
 from wayfold.session import cut_lineage, scratch_path
@@ -42,19 +42,43 @@ def _plans(spark, d, k=2):
     return cut_lineage(rows.withColumn("fold", (digest60("sid", seed=3) % k).cast("int")))
 
 
+_BITS = " || ".join(f"CAST({c} AS VARCHAR)" for c in PROFILE_COLUMNS)
 PLAN = ["distance", "eta", "price", *[f"mode_{m}" for m in MODES[1:]]]
 
 
-def _shown(predicted, *keys, classes=MODES):
-    """What SQL can state of a table of predictions: its keys, the sum of the probabilities, and that the largest is predicted."""
+def _shown(predicted, *keys, classes=MODES, truth="label"):
+    """What SQL can state of a table of predictions: its keys, the sum of the probabilities, that the largest is predicted,
+    and that the weighted F1 is above that of the commonest class for all, which no constant model reaches."""
+    predicted = cut_lineage(predicted)
+    counted = {(r[truth], r["prediction"]): r["count"] for r in predicted.groupBy(truth, "prediction").count().collect()}
     probs = F.array(*[f"prob_{m}" for m in classes])
     total = F.round(F.aggregate(probs, F.lit(0.0), lambda a, p: a + p), 6)
-    return predicted.select(*keys, total.alias("total"), (F.get(probs, F.col("prediction")) >= F.array_max(probs) - 1e-9).alias("top"))
+    return predicted.select(*keys, total.alias("total"), (F.get(probs, F.col("prediction")) >= F.array_max(probs) - 1e-9).alias("top"),
+                            F.lit(_f1(counted) > _f1(_constant(counted))).alias("better"))
+
+
+def _constant(counted):
+    """The counts if the commonest class were predicted for all."""
+    sizes = {}
+    for (label, _), n in counted.items():
+        sizes[label] = sizes.get(label, 0) + n
+    most = max(sizes, key=lambda c: (sizes[c], -c), default=0)
+    return {(label, most): n for label, n in sizes.items()}
+
+
+def _f1(counted):
+    """Weighted F1 from counts by label and prediction."""
+    total, found = sum(counted.values()), 0.0
+    for label in {k for k, _ in counted}:
+        hit = counted.get((label, label), 0)
+        real, said = (sum(n for k, n in counted.items() if k[i] == label) for i in (0, 1))
+        found += real / total * (2 * hit / (real + said) if hit else 0.0)
+    return found
 
 
 OOF = ("sid", "fold", "label")
 _FOLDED = f"""SELECT sid, CAST(row_number() OVER (ORDER BY {digest60_sql('sid', seed=0)}, sid) > (count(*) OVER () + 1) // 2 AS INT) AS fold,
-    CAST(coalesce(click_mode, 0) AS INT) AS label, CAST(1 AS DOUBLE) AS total, true AS top FROM t_coords LEFT JOIN t_clicks USING (sid)"""
+    CAST(coalesce(click_mode, 0) AS INT) AS label, CAST(1 AS DOUBLE) AS total, true AS top, true AS better FROM t_coords LEFT JOIN t_clicks USING (sid)"""
 OOF_SQL = oracle("t_coords", "t_clicks", body=_FOLDED)
 
 
@@ -89,7 +113,7 @@ def _(spark, d):
 @register("clf_mlp", oracle("t_coords", "t_clicks", body=f"SELECT t.*, layers FROM ({_FOLDED}) t CROSS JOIN (SELECT unnest([3, 4]) AS layers)"))
 def _(spark, d):
     table = _sessions(spark, d)
-    parts = [cross_validation.cv_classifier(table, TRIP, classifiers.net(len(TRIP), hidden, rounds=10), scaled=True)
+    parts = [cross_validation.cv_classifier(table, TRIP, classifiers.net(len(TRIP), hidden, rounds=60), scaled=True)
              .withColumn("layers", F.lit(len(hidden))) for hidden in (classifiers.SMALL_NET, classifiers.LARGE_NET)]
     return _shown(parts[0].unionByName(parts[1]), *OOF, "layers")
 
@@ -110,6 +134,22 @@ def _(spark, d):
     return classifiers.nearest_vote(train, points, "o_long", "o_lat", "click_mode", 50)
 
 
+@register("clf_knn_profiles", oracle("t_queries", "t_clicks", "t_profiles", body=f"""WITH users AS (SELECT pid, {_BITS} AS bits FROM t_profiles),
+    votes AS (SELECT bits, click_mode, count(*) AS m FROM t_queries JOIN t_clicks USING (sid) JOIN users USING (pid) GROUP BY ALL),
+    spots AS (SELECT bits, sum(m) AS n FROM votes GROUP BY bits), kinds AS (SELECT DISTINCT bits FROM users),
+    pairs AS (SELECT k.bits, s.bits AS other, n, hamming(k.bits, s.bits) AS dist FROM kinds k CROSS JOIN spots s),
+    reach AS (SELECT *, sum(n) OVER (PARTITION BY bits ORDER BY dist) AS upto, sum(n) OVER (PARTITION BY bits, dist) AS same FROM pairs),
+    ballots AS (SELECT r.bits, click_mode, sum(m) AS m FROM reach r JOIN votes v ON v.bits = r.other WHERE upto - same < 200 GROUP BY ALL),
+    chosen AS (SELECT bits, arg_min(click_mode, -m * 100 + click_mode) AS prediction, CAST(sum(m) AS BIGINT) AS voters FROM ballots GROUP BY bits)
+    SELECT pid, prediction, voters FROM users JOIN chosen USING (bits)"""))
+def _(spark, d):
+    """The mode that the sessions of the users with the most similar profiles click, over all 66 attributes."""
+    profiles = B.profiles_table(spark, d)
+    clicked = B.queries_table(spark, d).select("sid", "pid").join(B.clicks_table(spark, d).select("sid", "click_mode"), "sid")
+    train = joins.identified(clicked).join(profiles, "pid")
+    return classifiers.nearest_profile_vote(train, profiles, PROFILE_COLUMNS, "click_mode", 200, "pid")
+
+
 @register("hyper_grid")
 def _(spark, d):
     make = partial(classifiers.boosted, rounds=2, held=0.2)
@@ -120,11 +160,52 @@ def _(spark, d):
 _RANK_FOLD = f"CAST({digest60_sql('sid', seed=3)} % 2 AS INT)"
 
 
-@register("rank_pairwise", oracle("t_dedup", body=f"SELECT sid, {_RANK_FOLD} AS fold, transport_mode, true AS scored FROM t_dedup"))
+@register("rank_pairwise", oracle("t_dedup", body=f"SELECT sid, {_RANK_FOLD} AS fold, transport_mode, true AS scored, true AS apart FROM t_dedup"))
 def _(spark, d):
     scored = ranker.cv_ranker(_plans(spark, d), PLAN, rounds=10)
     finite = F.col("score").isNotNull() & ~F.isnan("score") & (F.abs("score") < float("inf"))
-    return scored.select("sid", "fold", "transport_mode", finite.alias("scored"))
+    # equal weights of zero, or any constant, would score all plans alike
+    spread = scored.groupBy("fold").agg((F.stddev_pop("score") > 1e-9).alias("apart"))
+    return scored.join(F.broadcast(spread), "fold").select("sid", "fold", "transport_mode", finite.alias("scored"), "apart")
+
+
+# First scores for the gradients: distance and eta in exact binary fractions.
+_FIRST_SCORE = "(eta % 64 - distance % 32) / CAST(32 AS DOUBLE)"
+_FIRST_SHOWN = ["transport_mode"]
+
+
+@register("rank_lambdas", oracle("t_dedup", "t_clicks", body=f"""WITH s AS (SELECT sid, transport_mode, {_FIRST_SCORE} AS score,
+    CASE WHEN click_mode = transport_mode THEN 7.0 ELSE 0.0 END AS gain FROM t_dedup LEFT JOIN t_clicks USING (sid)),
+    r AS (SELECT *, row_number() OVER (PARTITION BY sid ORDER BY score DESC, transport_mode) AS rank,
+          max(gain) OVER (PARTITION BY sid) AS ideal FROM s),
+    p AS (SELECT a.sid, a.transport_mode, CASE WHEN a.gain > b.gain THEN 1 ELSE -1 END AS way,
+          CASE WHEN a.gain > b.gain THEN 1 / (1 + exp(a.score - b.score)) ELSE 1 / (1 + exp(b.score - a.score)) END AS pull,
+          abs((a.gain - b.gain) * (1 / log2(a.rank + 1) - 1 / log2(b.rank + 1))) / a.ideal AS swap
+          FROM r a JOIN r b ON a.sid = b.sid AND a.gain <> b.gain)
+    SELECT r.sid, r.transport_mode, CAST(rank AS INT) AS rank, round(coalesce(l, 0), 6) AS lambda, round(coalesce(w, 0), 6) AS weight
+    FROM r LEFT JOIN (SELECT sid, transport_mode, sum(way * pull * swap) AS l, sum(pull * (1 - pull) * swap) AS w FROM p GROUP BY ALL) g
+    ON r.sid = g.sid AND r.transport_mode = g.transport_mode"""))
+def _(spark, d):
+    """Lambda and derivative of every shown plan under a given first score."""
+    rows = ranks.first_per(B.plan_rows_table(spark, d), ["sid", "transport_mode"], ["pos", "distance", "eta", "price"])
+    rows = rows.join(B.clicks_table(spark, d).select("sid", "click_mode"), "sid", "left").withColumn("score", F.expr(_FIRST_SCORE))
+    done = lambdas.lambda_gradients(lambdas.with_relevance(rows), _FIRST_SHOWN)
+    return done.select("sid", "transport_mode", "rank", F.round(F.col("lambda") + 0.0, 6).alias("lambda"), F.round("weight", 6).alias("weight"))
+
+
+@register("rank_lambda", oracle("t_dedup", "t_clicks", body=f"""SELECT {_RANK_FOLD} AS fold, count(DISTINCT sid) AS sessions, true AS better
+    FROM t_dedup JOIN t_clicks USING (sid) WHERE click_mode = transport_mode GROUP BY 1"""))
+def _(spark, d):
+    """Per half of the sessions: do trees fitted to its lambdas order it better than no model does?"""
+    rows = cut_lineage(lambdas.with_relevance(_plans(spark, d)))
+    parts = []
+    for fold in (0, 1):
+        own = rows.where(F.col("fold") == fold)
+        model = lambdas.fit_lambda(own, PLAN, _FIRST_SHOWN, rounds=3, depth=4)
+        before = lambdas.ndcg(own.withColumn("score", F.lit(0.0)), _FIRST_SHOWN)
+        after = lambdas.ndcg(model.score(own), _FIRST_SHOWN)
+        parts.append((fold, own.where("rel > 0").select("sid").distinct().count(), after > before))
+    return spark.createDataFrame(parts, "fold int, sessions long, better boolean")
 
 
 @register("rank_final_predict", oracle("t_dedup", body=f"SELECT sid, count(*) AS shown, true AS listed FROM t_dedup WHERE {_RANK_FOLD} = 1 GROUP BY sid"))
@@ -137,7 +218,7 @@ def _(spark, d):
     return scored.join(best, "sid").groupBy("sid").agg(F.count(F.lit(1)).alias("shown"), listed)
 
 
-TEST_SQL = oracle("t_coords", body=f"""SELECT sid, CAST(1 AS DOUBLE) AS total, true AS top FROM t_coords
+TEST_SQL = oracle("t_coords", body=f"""SELECT sid, CAST(1 AS DOUBLE) AS total, true AS top, true AS better FROM t_coords
     WHERE {digest60_sql('sid', seed=0)} >= {int(0.75 * 2**BITS)}""")
 
 
@@ -145,7 +226,8 @@ TEST_SQL = oracle("t_coords", body=f"""SELECT sid, CAST(1 AS DOUBLE) AS total, t
 def _(spark, d):
     table = folds.split_random(_sessions(spark, d))
     train, test = table.where("split = 'train'"), table.where("split = 'test'")
-    return _shown(cross_validation.final_fit_predict(train, test, TRIP, classifiers.forest(10, 5), scratch_path(spark, "model")), "sid")
+    done = cross_validation.final_fit_predict(train, test, TRIP, classifiers.forest(10, 5), scratch_path(spark, "model"))
+    return _shown(done.join(test.select("sid", F.col("click_mode").alias("label")), "sid"), "sid")
 
 
 @register("stack_fit", OOF_SQL)
@@ -167,10 +249,11 @@ def _(spark, d):
     new = {name: cross_validation.final_fit_predict(train, test, TRIP, one, scratch_path(spark, name)) for name, one in base.items()}
     stacked = cut_lineage(stacking.stack_features(own, clicks, extra=train.select("sid", *TRIP)))
     unseen = stacking.stack_features(new, clicks, extra=test.select("sid", *TRIP)).drop("click_mode")
-    return _shown(stacking.stack_final(stacked, unseen, classifiers.logistic(rounds=10), scratch_path(spark, "stack")), "sid")
+    done = stacking.stack_final(stacked, unseen, classifiers.logistic(rounds=10), scratch_path(spark, "stack"))
+    return _shown(done.join(test.select("sid", F.col("click_mode").alias("label")), "sid"), "sid")
 
 
-@register("predict_user_cluster", oracle("t_coords", "t_clicks", "t_profiles", body=f"""SELECT t.sid, fold, total, top FROM ({_FOLDED}) t
+@register("predict_user_cluster", oracle("t_coords", "t_clicks", "t_profiles", body=f"""SELECT t.sid, fold, total, top, better FROM ({_FOLDED}) t
     JOIN t_coords c ON t.sid = c.sid JOIN t_profiles p ON c.pid = p.pid"""))
 def _(spark, d):
     labels = clusters.kmeans(B.profiles_table(spark, d), PROFILE_COLUMNS, 4, rounds=5)
@@ -207,7 +290,35 @@ def _(spark, d):
     return clusters.hierarchy(B.profiles_table(spark, d), PROFILE_COLUMNS, 8)
 
 
-_BITS = " || ".join(f"CAST({c} AS VARCHAR)" for c in PROFILE_COLUMNS)
+# What SQL can state of a hierarchy: a mean is its members' mean, and a cut has as many clusters as asked for.
+@register("clu_ward", oracle("t_profiles", body=f"""WITH kinds AS (SELECT {_BITS} AS bits, min(pid) AS first, count(*) AS users FROM t_profiles GROUP BY 1)
+    SELECT CAST(k AS INT) AS k, CAST(least(k, (SELECT count(*) FROM kinds)) AS BIGINT) AS clusters, (SELECT sum(users) FROM kinds)::BIGINT AS users,
+    (SELECT min(first) FROM kinds) AS least, true AS named, true AS adds_up FROM (SELECT unnest([8, 36]) AS k)"""))
+def _(spark, d):
+    """Cuts of the Ward hierarchy: clusters, users, whether each is named after its smallest user and whether costs add up."""
+    return _ward_cuts(B.profiles_table(spark, d))
+
+
+def _ward_cuts(profiles):
+    kinds = cut_lineage(ward.kinds_of(profiles, PROFILE_COLUMNS))
+    tree = ward.merge_tree(kinds)
+    total = tree.agg(F.sum(F.col("height") * F.col("height") / 2)).first()[0] or 0.0
+    parts = []
+    for k in (8, 36):
+        named = kinds.join(ward.cut_tree(tree, k), "id", "left").withColumn("cluster", F.coalesce("cluster", "id"))
+        # within a cluster: the sum of squares less the square of the sum over the count, per attribute
+        cells = named.select("cluster", "id", "n", F.posexplode("x").alias("i", "v"))
+        inner = cells.groupBy("cluster", "i").agg(F.sum(F.col("n") * F.col("v") * F.col("v")).alias("q"), F.sum(F.col("n") * F.col("v")).alias("s"),
+                                                  F.sum("n").alias("n"), F.min("id").alias("least"))
+        part = inner.groupBy("cluster").agg(F.sum(F.col("q") - F.col("s") * F.col("s") / F.col("n")).alias("cost"), F.max("n").alias("n"), F.min("least").alias("least"))
+        top = tree.orderBy(F.desc("height"), F.desc("step"), "left", "right").limit(k - 1).agg(F.sum(F.col("height") * F.col("height") / 2)).first()[0] or 0.0
+        # what the merges below the cut have cost is what the clusters deviate from their means
+        parts.append(part.agg(F.lit(k).alias("k"), F.count("*").alias("clusters"), F.sum("n").alias("users"), F.min("least").alias("least"),
+                              F.min(F.col("cluster") == F.col("least")).alias("named"),
+                              (F.abs(F.sum("cost") - F.lit(total - top)) <= 1e-6 * F.lit(total) + 1e-6).alias("adds_up")))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 
 
 @register("clu_density", oracle("t_profiles", body=f"""WITH RECURSIVE users AS (SELECT pid, {_BITS} AS bits FROM t_profiles),
@@ -224,6 +335,26 @@ def _(spark, d):
     return clusters.density(B.profiles_table(spark, d), PROFILE_COLUMNS, 20)
 
 
+_RADII = [3.5, 3.8, 4.0]
+_CORE_AT = "(SELECT bits, min(dist) AS core FROM (SELECT bits, dist, sum(n) OVER (PARTITION BY bits ORDER BY dist) AS upto FROM near) WHERE upto >= 20 GROUP BY bits)"
+
+
+@register("clu_density_levels", oracle("t_profiles", body=f"""WITH RECURSIVE users AS (SELECT pid, {_BITS} AS bits FROM t_profiles),
+    kinds AS (SELECT bits, count(*) AS n, min(pid) AS first FROM users GROUP BY bits),
+    near AS (SELECT a.bits, b.bits AS other, b.n, round(sqrt(hamming(a.bits, b.bits)), 9) AS dist FROM kinds a CROSS JOIN kinds b),
+    core AS {_CORE_AT},
+    radii AS (SELECT unnest([3.5, 3.8, 4.0])::DOUBLE AS radius),
+    links AS MATERIALIZED (SELECT radius, n.bits, other FROM near n JOIN core a ON a.bits = n.bits JOIN core b ON b.bits = other
+              JOIN radii ON dist <= radius AND a.core <= radius AND b.core <= radius),
+    reach AS (SELECT radius, core.bits, core.bits AS other FROM core JOIN radii ON core <= radius
+              UNION SELECT r.radius, r.bits, l.other FROM reach r JOIN links l ON l.radius = r.radius AND l.bits = r.other),
+    named AS (SELECT radius, r.bits, min(first) AS cluster FROM reach r JOIN kinds k ON k.bits = r.other GROUP BY ALL)
+    SELECT pid, radius, coalesce(cluster, -1) AS cluster FROM users CROSS JOIN radii LEFT JOIN named USING (radius, bits)"""))
+def _(spark, d):
+    """Density clusters of the profiles at three radii, all from one spanning tree."""
+    return reach.density_levels(B.profiles_table(spark, d), PROFILE_COLUMNS, 20, _RADII)
+
+
 @register("cluster_table")
 def _(spark, d):
     profiles = B.profiles_table(spark, d)

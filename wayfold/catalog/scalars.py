@@ -9,7 +9,7 @@ from wayfold.bindings import oracle
 from wayfold.catalog import register
 from wayfold.functions import clock, coords, encode, planlists
 from wayfold.operators import ranks
-from wayfold.schemas import MODES, WEATHER
+from wayfold.schemas import MODES, PROFILE_COLUMNS, WEATHER
 
 
 def coords_of(spark, d):
@@ -177,11 +177,13 @@ def _(spark, d):
     return ranks.fill_median(rows, "price")
 
 
-@register("overwrite_range", oracle("t_profiles", body="""SELECT pid, CASE WHEN p0 = 0 THEN -1 ELSE p1 END AS p1,
-    CASE WHEN p0 = 0 THEN -1 ELSE p2 END AS p2, CASE WHEN p0 = 0 THEN -1 ELSE p3 END AS p3 FROM t_profiles"""))
+_OVERWRITTEN = ", ".join(f"CASE WHEN p0 = 0 THEN -1 ELSE {c} END AS {c}" for c in PROFILE_COLUMNS[1:])
+
+
+@register("overwrite_range", oracle("t_profiles", body=f"SELECT pid, {_OVERWRITTEN} FROM t_profiles"))
 def _(spark, d):
-    df = B.profiles_table(spark, d).select("pid", "p0", "p1", "p2", "p3")
-    return encode.overwrite_where(df, F.col("p0") == 0, encode.column_range(df, "p1", "p3")).drop("p0")
+    df = B.profiles_table(spark, d)
+    return encode.overwrite_where(df, F.col("p0") == 0, encode.column_range(df, PROFILE_COLUMNS[1], PROFILE_COLUMNS[-1])).drop("p0")
 
 
 _VALUE = {"dist": "distance", "price": "CASE WHEN pos IS NULL THEN NULL ELSE coalesce(TRY_CAST(price AS INT), 0) END", "eta": "eta"}

@@ -8,6 +8,7 @@ from wayfold import bindings as B
 from wayfold.bindings import oracle
 from wayfold.catalog import register
 from wayfold.operators import setops
+from wayfold.schemas import PROFILE_COLUMNS
 
 
 @register("union_rows", oracle("t_queries", "t_clicks", body="""SELECT sid, pid, NULL::INT AS click_mode FROM t_queries
@@ -17,9 +18,10 @@ def _(spark, d):
                              B.clicks_table(spark, d).select("sid", "click_mode"), fill=True)
 
 
-@register("add_sentinel", oracle("t_profiles", body="""SELECT pid, p0, p65 FROM t_profiles UNION ALL SELECT -1, -1, -1"""))
+@register("add_sentinel", oracle("t_profiles", body=f"""SELECT pid, {', '.join(PROFILE_COLUMNS)} FROM t_profiles
+    UNION ALL SELECT -1, {', '.join(['-1'] * len(PROFILE_COLUMNS))}"""))
 def _(spark, d):
-    return setops.add_sentinel(B.profiles_table(spark, d).select("pid", "p0", "p65"))
+    return setops.add_sentinel(B.profiles_table(spark, d))
 
 
 @register("distinct_rows", oracle("t_rows", body="SELECT DISTINCT sid, transport_mode FROM t_rows"))

@@ -49,21 +49,20 @@ def summarize(df: DataFrame, plans: str = "plans", stats: bool = True, arg_modes
         e = F.col(f"_e_{m}")
         parts[f"_hi_{m}"], parts[f"_lo_{m}"] = F.array_max(e), F.array_min(e)
         if stats:
-            start = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("q"))
-            parts[f"_sums_{m}"] = F.aggregate(e, start, lambda a, x: F.struct(
-                (a["s"] + x["v"]).alias("s"), (a["q"] + x["v"].cast("double") * x["v"]).alias("q")))
+            parts[f"_mean_{m}"] = F.aggregate(e, F.lit(0.0), lambda a, x: a + x["v"]) / F.nullif(F.size(e), F.lit(0))
     some, n = F.col(plans), F.size(plans)
     for m in MEASURES:
         hi, lo = F.col(f"_hi_{m}"), F.col(f"_lo_{m}")
         if stats:
-            total, squares = F.col(f"_sums_{m}.s"), F.col(f"_sums_{m}.q")
             out[f"max_{m}"], out[f"min_{m}"] = _if_any(some, hi["v"], -1), _if_any(some, lo["v"], -1)
-            out[f"mean_{m}"] = _if_any(some, total / n, -1.0)
-            out[f"std_{m}"] = _if_any(some, F.sqrt(F.greatest(n * squares - total * total, F.lit(0.0))) / n, -1.0)
+            out[f"mean_{m}"] = _if_any(some, F.col(f"_mean_{m}"), -1.0)
+            # from the differences, as a difference of large squares would lose them
+            spread = F.aggregate(F.col(f"_e_{m}"), F.lit(0.0), lambda a, x: a + (x["v"] - F.col(f"_mean_{m}")) * (x["v"] - F.col(f"_mean_{m}")))
+            out[f"std_{m}"] = _if_any(some, F.sqrt(spread / n), -1.0)
         if arg_modes:
             out[f"max_{m}_mode"] = _if_any(some, hi["mode"], -1)
             out[f"min_{m}_mode"] = _if_any(some, lo["mode"], -1)
-    return df.withColumns(entries).withColumns(parts).drop(*entries).withColumns(out).drop(*parts)
+    return df.withColumns(entries).withColumns(parts).withColumns(out).drop(*entries, *parts)
 
 
 def _of_mode(mode: int):

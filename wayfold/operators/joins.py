@@ -62,11 +62,11 @@ def join_row_layout(rows: DataFrame, sessions: DataFrame, clicks: DataFrame, pro
     """One row per shown plan with its session, click (0 without) and profile.
 
     Plans without session and clicks without plan have no pid, so the profile join would drop
-    them anyway; they are left out at the first join.
+    them anyway; they are left out at the last join.
     """
-    joined = rows.join(sessions, "sid").join(clicks, "sid", "left")
-    labelled = joined.withColumn("click_mode", F.coalesce("click_mode", F.lit(0)))
-    return join_profiles(labelled, profiles, unknown="drop")
+    labelled = sessions.join(clicks, "sid", "left").withColumn("click_mode", F.coalesce("click_mode", F.lit(0)))
+    # sessions are a fraction of the plans, so the wide profile crosses its shuffle once a session and meets the plans last
+    return rows.join(join_profiles(labelled, profiles, unknown="drop"), "sid")
 
 
 def join_on_session(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:

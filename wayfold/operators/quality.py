@@ -24,6 +24,21 @@ def check_same_schema(left: DataFrame, right: DataFrame) -> DataFrame:
     return left
 
 
+def columns_found(df: DataFrame, required: Sequence[str]) -> DataFrame:
+    """``(column, found)`` of every required column."""
+    rows = [(c, c in df.columns) for c in required]
+    return df.sparkSession.createDataFrame(rows, "column string, found boolean")
+
+
+def schema_differences(left: DataFrame, right: DataFrame) -> DataFrame:
+    """``(place, left, right)``: places from 0 where the two tables differ in name or type; null beyond the shorter one's end."""
+    said = [[f"{name} {kind}" for name, kind in df.dtypes] for df in (left, right)]
+    size = max(map(len, said))
+    a, b = (own + [None] * (size - len(own)) for own in said)
+    rows = [(i, x, y) for i, (x, y) in enumerate(zip(a, b, strict=True)) if x != y]
+    return left.sparkSession.createDataFrame(rows, "place int, left string, right string")
+
+
 def rows_with_null(df: DataFrame) -> DataFrame:
     """Number of rows with any null, and of columns with any null, in one pass."""
     some = F.lit(False)

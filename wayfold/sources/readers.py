@@ -60,16 +60,18 @@ def read_districts(spark: SparkSession, path: str, most: int = 256) -> DataFrame
 def read_matching(spark: SparkSession, folder: str, key: str) -> DataFrame:
     """Every run file whose name contains ``key``, stacked by column name; absent columns are null.
 
-    Run files may differ in their columns: files with the same header are read in one scan.  Names come from the listing,
-    without reading contents.
+    Run files may differ in their columns: files with the same header line are read in one scan.  Names come from the
+    listing, without reading contents; the header lines of all files from one job over their first blocks.
     """
     listed = spark.read.format("binaryFile").load(f"{folder}/*{key}*").select("path", "length")
     names = sorted(r["path"] for r in listed.collect() if r["length"])
     if not names:
         raise ValueError(f"no file in {folder} matches {key!r}")
-    headers: dict[tuple[str, ...], list[str]] = {}
-    for name in names:
-        headers.setdefault(tuple(spark.read.option("header", "true").csv(name).columns), []).append(name)
+    lines = spark.read.text(names).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
+                                          F.monotonically_increasing_id().alias("line"), "value").where("start = 0 AND trim(value) <> ''")
+    headers: dict[str, list[str]] = {}
+    for r in lines.groupBy("path").agg(F.min_by("value", "line").alias("header")).orderBy("path").collect():
+        headers.setdefault(r["header"].lstrip("\ufeff"), []).append(r["path"])
     return union_rows(*[spark.read.option("header", "true").csv(files) for files in headers.values()], fill=True)
 
 
