@@ -49,7 +49,7 @@ def _ward(x):
     return [h for _, _, h in merges], labels
 
 
-@pytest.mark.parametrize(("finish", "cell"), [(256, 512), (150, 16)])
+@pytest.mark.parametrize(("finish", "cell"), [(1024, 512), (150, 16)])
 def test_ward_equals_the_greedy_hierarchy(spark, monkeypatch, finish, cell):
     monkeypatch.setattr(ward, "FINISH", finish)
     monkeypatch.setattr(metric, "CELL", cell)

@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 
 QUERIES = entry.queries()
 # queries that fit models or hold other eager jobs are checked on the frame they return all the same
-LAZY = sorted(n for n in QUERIES if not n.startswith(("clf_", "clu_", "cv_cl", "stack_fit", "rank_", "hyper", "final", "predict")))
+LAZY = sorted(n for n in QUERIES if not n.startswith(("clf_", "clu_", "cv_cl", "stack_f", "rank_", "hyper", "final", "predict", "op", "pipeline")))
 
 
 def plan_of(df) -> str:
@@ -18,7 +18,7 @@ def plan_of(df) -> str:
 @pytest.mark.parametrize("name", LAZY)
 def test_no_cross_join_and_no_python_rows(spark, sf_dir, name):
     plan = plan_of(QUERIES[name](spark, sf_dir))
-    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "InArrow"):
         assert node not in plan, node
 
 

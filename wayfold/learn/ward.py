@@ -13,7 +13,7 @@ from wayfold.operators import metric
 from wayfold.session import cut_lineage
 
 #: So many clusters are merged to the end in one place: their means and counts, not their rows.
-FINISH = 256
+FINISH = 1024
 TREE = "left long, right long, height double, n long, step int"
 
 
