@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 
 import pytest
 
@@ -165,3 +166,18 @@ def test_rows_with_split_and_components(spark, sf_dir):
     per = full.groupBy("sid").agg({"split": "min", "req_time": "max"}).toDF("sid", "split", "t").groupBy("split").agg({"t": "min"}).collect()
     times = {r["split"]: r[1] for r in per}
     assert set(times) == {"train", "test"} and times["train"] < times["test"]
+
+
+def test_few_and_many_stations_agree(spark, monkeypatch):
+    from wayfold.operators import context
+
+    draw = random.Random(5)
+    points = [(i, 115 + draw.random() * 4, 39 + draw.random() * 2) for i in range(200)] + [(900, None, 39.5)]
+    sites = [(f"s{i}", 39 + draw.random() * 2, 115 + draw.random() * 4) for i in range(60)] + [("gone", None, 116.0)]
+    frame = spark.createDataFrame(points, "sid long, o_long double, o_lat double")
+    stations = spark.createDataFrame(sites, "subway_name string, o_lat double, o_long double")
+    found = []
+    for few in (1024, 0):
+        monkeypatch.setattr(context, "FEW_SITES", few)
+        found.append({r["sid"]: r["dist_nearest_sub"] for r in context.add_nearest_station(frame, stations).collect()})
+    assert found[0] == found[1] and found[0][900] is None and len(found[0]) == 201

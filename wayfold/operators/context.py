@@ -7,6 +7,7 @@ are matched through grid cells with equi-joins; there is no cross join.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -17,6 +18,8 @@ from wayfold.functions.encode import one_hot
 from wayfold.schemas import WEATHER
 
 MOST_CENTRES = 256
+# Distinct stations that a row may look at one by one.
+FEW_SITES = 1024
 # Nested cells of the nearest-site search: finest side, parts of a cell a side, first coarsest level and its most cells.
 FINEST, FAN, FIRST_LEVEL, MOST_TOP = 0.05, 8, 3, 256
 
@@ -126,7 +129,17 @@ def nearest(points: DataFrame, x: str, y: str, sites: DataFrame, site_x: str, si
 
 def add_nearest_station(df: DataFrame, stations: DataFrame, x: str = "o_long", y: str = "o_lat",
                         name: str = "dist_nearest_sub") -> DataFrame:
-    """Planar distance to the nearest station times ten, three decimals."""
+    """Planar distance to the nearest station times ten, three decimals.
+
+    Up to :data:`FEW_SITES` distinct stations are one array that every row looks at where it is, without a join; more of
+    them go through nested cells.
+    """
+    few = stations.select(F.round("o_long", 2).alias("x"), F.round("o_lat", 2).alias("y")).dropna().distinct().limit(FEW_SITES + 1).collect()
+    if 0 < len(few) <= FEW_SITES:
+        # one literal: folded once, whatever its length
+        sites = F.from_json(F.lit(json.dumps([{"x": r["x"], "y": r["y"]} for r in few])), "array<struct<x: double, y: double>>")
+        dist = F.array_min(F.transform(sites, lambda s: planar(F.col(x), F.col(y), s["x"], s["y"])))
+        return df.withColumn(name, F.round(dist * 10.0, 3))
     found = nearest(df, x, y, stations, "o_long", "o_lat")
     scaled = found.select(x, y, F.round(F.col("dist") * 10.0, 3).alias(name))
     return df.join(scaled, [x, y], "left")
