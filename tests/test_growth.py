@@ -44,3 +44,15 @@ def test_kmodes_as_plain_and_on_stored_rows(spark):
     source = spark.range(40).select(F.col("id").alias("pid"), *[(F.col("id") % (i + 2)).cast("int").alias(f"p{i}") for i in range(4)])
     plan = _plan(clusters.kmodes(source, [f"p{i}" for i in range(4)], 2, rounds=1))
     assert "Range" not in plan and "lambda" not in plan
+
+
+def test_ndcg_sorts_once_and_takes_labels_of_any_grade(spark):
+    rows = [(1, 0, 3.0, 1), (1, 1, 2.0, 3), (1, 2, 1.0, None), (2, 0, 1.0, 0), (3, 0, 1.0, 2), (None, 0, 2.0, 0), (None, 1, 1.0, 1)]
+    df = spark.createDataFrame(rows, "sid long, pos int, score double, target int")
+    found = scoring.ndcg(df, at=(1, 2))
+    r = found.first()
+    log = 1.584962500721156
+    assert r["sessions"] == 3
+    assert abs(r["ndcg_1"] - (1 / 7 + 1 + 0) / 3) < 1e-12
+    assert abs(r["ndcg_2"] - ((1 + 7 / log) / (7 + 1 / log) + 1 + 1 / log) / 3) < 1e-12
+    assert _plan(found).count("Sort [") == 1
