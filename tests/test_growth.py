@@ -56,3 +56,13 @@ def test_ndcg_sorts_once_and_takes_labels_of_any_grade(spark):
     assert abs(r["ndcg_1"] - (1 / 7 + 1 + 0) / 3) < 1e-12
     assert abs(r["ndcg_2"] - ((1 + 7 / log) / (7 + 1 / log) + 1 + 1 / log) / 3) < 1e-12
     assert _plan(found).count("Sort [") == 1
+
+
+def test_wide_looks_modes_up_without_a_lambda_each(spark):
+    text = '[{"distance":1,"price":5,"eta":1,"transport_mode":3},{"distance":2,"price":"","eta":2,"transport_mode":3},null]'
+    df = spark.createDataFrame([(1, text), (2, None)], "sid long, plans string").withColumn("plans", planlists.parse_plans(F.col("plans")))
+    for keep, price, want in (("first", 99999, (1, 5, 1)), ("last", 700, (2, 700, 2))):
+        found = planlists.wide(df, keep=keep, missing_price=price)
+        got = {r["sid"]: (r["dist_3"], r["price_3"], r["eta_3"], r["dist_4"]) for r in found.collect()}
+        assert got == {1: (*want, 0), 2: (0, 0, 0, 0)}
+        assert "filter(" not in _plan(found)
