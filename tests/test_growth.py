@@ -46,6 +46,25 @@ def test_kmodes_as_plain_and_on_stored_rows(spark):
     assert "Range" not in plan and "lambda" not in plan
 
 
+class _Together(DecisionTreeClassifier):
+    def fit(self, dataset, params=None):
+        self.meet.wait(120)
+        return super().fit(dataset, params)
+
+
+def test_folds_and_settings_are_fitted_at_the_same_time(spark):
+    df = spark.range(80).selectExpr("id AS sid", "CAST(id % 2 AS int) AS fold", "CAST(id % 3 AS int) AS click_mode", "CAST(id % 3 AS double) AS x").cache()
+
+    def make(depth, meet):
+        one = _Together(maxDepth=depth, seed=1)
+        one.meet = meet
+        return one
+    assert cross_validation.cv_classifier(df, ["x"], make(2, threading.Barrier(2))).where("prediction = label").count() == 80
+    meet = threading.Barrier(4)
+    grid = cross_validation.hyper_grid(df, ["x"], lambda depth: make(depth, meet), {"depth": [1, 2]})
+    assert [r["setting"] for r in grid.collect()] == ["depth=1", "depth=2"]
+
+
 def test_ndcg_sorts_once_and_takes_labels_of_any_grade(spark):
     rows = [(1, 0, 3.0, 1), (1, 1, 2.0, 3), (1, 2, 1.0, None), (2, 0, 1.0, 0), (3, 0, 1.0, 2), (None, 0, 2.0, 0), (None, 1, 1.0, 1)]
     df = spark.createDataFrame(rows, "sid long, pos int, score double, target int")
