@@ -46,6 +46,12 @@ def test_kmodes_as_plain_and_on_stored_rows(spark):
     assert "Range" not in plan and "lambda" not in plan
 
 
+def test_vectors_of_clusters_are_stored(spark):
+    source = spark.range(40).select(F.col("id").alias("pid"), (F.col("id") % 2).cast("int").alias("a"), (F.col("id") % 3).cast("int").alias("b"))
+    for found in (clusters.kmeans(source, ["a", "b"], 2), clusters.hierarchy(source, ["a", "b"], 2)):
+        assert "Range" not in _plan(found) and found.count() == 40
+
+
 class _Together(DecisionTreeClassifier):
     def fit(self, dataset, params=None):
         self.meet.wait(120)
