@@ -2,11 +2,13 @@
 
 import numpy as np
 import pytest
-from pyspark.ml.classification import MultilayerPerceptronClassificationModel, MultilayerPerceptronClassifier
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import MultilayerPerceptronClassificationModel, MultilayerPerceptronClassifier, OneVsRestModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
 
 from wayfold.learn import blocks, classifiers, nets
+from wayfold.learn.boosting import BoostedModel
 
 
 @pytest.fixture(scope="module")
@@ -52,3 +54,54 @@ def test_net_refuses_what_spark_refuses(spark):
         df = spark.createDataFrame([(vector, label)], "x array<double>, label double")
         with pytest.raises(Exception, match="not finite|no whole"):
             classifiers.net(1, (2,), classes=2, rounds=1).fit(df.select(array_to_vector("x").alias("features"), "label"))
+
+
+@pytest.fixture(scope="module")
+def steps(spark):
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 12, size=(1500, 3)).astype(float)
+    y = np.where(x[:, 0] > 7, 2, np.where(x[:, 1] + x[:, 2] > 11, 1, 0))
+    y = np.where(rng.random(1500) < 0.15, rng.integers(0, 3, 1500), y)
+    return spark.createDataFrame([(Vectors.dense(a), float(b)) for a, b in zip(x, y)], ["features", "label"]).repartition(4).cache()
+
+
+def _raw(model, rows):
+    return np.array([r.rawPrediction.toArray() for r in model.transform(rows).select("rawPrediction").collect()])
+
+
+@pytest.mark.parametrize("held", [0.25, 1e-9])
+def test_shared_trees_are_those_of_a_fit_per_class(steps, held, monkeypatch):
+    """The same trees, rates and early stop as Spark ML's, in passes whose number does not grow with the classes."""
+    one = classifiers.boosted(rounds=8, depth=3, rate=0.4, held=held)
+    passes, summed = [], blocks.summed
+    monkeypatch.setattr(blocks, "summed", lambda *a: passes.append(1) or summed(*a))
+    own = one.fit(steps)
+    assert len(passes) <= 8 * (3 + 1)
+    monkeypatch.setattr(type(one.getClassifier()), "getFeatureSubsetStrategy", lambda self: "as before")
+    per_class = one.fit(steps)
+    assert isinstance(own, BoostedModel) and isinstance(per_class, OneVsRestModel)
+    assert [len(trees) for trees in own.ensembles()] == [m.getNumTrees for m in per_class.models]
+    assert np.allclose(_raw(own, steps), _raw(per_class, steps), atol=1e-9)
+    assert [r.prediction for r in own.transform(steps).collect()] == [r.prediction for r in per_class.transform(steps).collect()]
+
+
+def test_shared_trees_of_many_values_fit_as_well_and_are_kept(points, tmp_path):
+    model = Pipeline(stages=[classifiers.boosted(rounds=10, depth=4, rate=0.3, held=0.2)]).fit(points)
+    right = [r.prediction == r.label for r in model.transform(points).collect()]
+    assert np.mean(right) > 0.85
+    model.write().save(str(tmp_path / "m"))
+    again = PipelineModel.load(str(tmp_path / "m"))
+    assert np.array_equal(_raw(again, points), _raw(model, points))
+
+
+def test_sums_of_many_tasks_are_added_by_tasks(points, monkeypatch):
+    _, tasks = blocks.as_blocks(points, points.features, points.label, a_task=100)
+    one = lambda x, y: np.array([len(y), y.sum()])
+    few = blocks.summed(tasks, one)
+    monkeypatch.setattr(blocks, "MANY", 1)
+    assert np.allclose(blocks.summed(tasks, one), few)
+
+
+def test_no_training_rows(points):
+    with pytest.raises(ValueError, match="no training rows"):
+        classifiers.boosted(held=0.2).fit(points.limit(0))
