@@ -101,6 +101,6 @@ def _(spark, d):
 
 @register("features_col_components")
 def _(spark, d):
-    table = features.features_col(*_raw(spark, d), components=True, share=0.8)
+    table = features.features_col(*_raw(spark, d), components=True, share=0.8, digits=6)
     parts = [c for c in table.columns if c.startswith(("PID_MainComp", "TFIDF_clustered"))]
-    return rounded(table.select("sid", "split", *parts), parts)
+    return table.select("sid", "split", *parts)

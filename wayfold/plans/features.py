@@ -48,32 +48,43 @@ def add_text_components(df: DataFrame, plans: str = "plans", k: int = 10, basis:
     return found.drop("_vector")
 
 
-def _joined_profiles(sessions: DataFrame, profiles: DataFrame, components: bool, unknown: str = "keep", k: int = 20) -> DataFrame:
-    """Profile attributes, with ``PID_MainComp_<i>`` beside them if asked; one join either way."""
+def _rounded(df: DataFrame, prefix: str, digits: int | None) -> DataFrame:
+    if digits is None:
+        return df
+    return df.withColumns({c: F.round(c, digits) for c in df.columns if c.startswith(prefix)})
+
+
+def _joined_profiles(sessions: DataFrame, profiles: DataFrame, components: bool, unknown: str = "keep", k: int = 20,
+                     digits: int | None = None) -> DataFrame:
+    """Profile attributes, with ``PID_MainComp_<i>`` beside them if asked; one join either way.
+
+    ``digits`` rounds the components, once per profile.
+    """
     if not components:
         return joins.join_profiles(sessions, profiles, unknown=unknown)
-    found = decompose.profile_components(setops.add_sentinel(profiles), PROFILE_COLUMNS, k)
+    found = _rounded(decompose.profile_components(setops.add_sentinel(profiles), PROFILE_COLUMNS, k), "PID_MainComp_", digits)
     (sentinel,) = found.where("pid = -1").collect()
     return joins.join_profiles(sessions, found.where("pid <> -1"), unknown=unknown,
                                anonymous={c: sentinel[c] for c in found.columns if c != "pid"})
 
 
 def features_col(queries: DataFrame, plans: DataFrame, clicks: DataFrame | None, profiles: DataFrame, keep: str = "last",
-                 components: bool = False, share: float | None = None) -> DataFrame:
+                 components: bool = False, share: float | None = None, digits: int | None = None) -> DataFrame:
     """One row per session, also for plan lists without a known session.
 
-    ``components`` adds the profile and text components, ``share`` the time-ordered ``split``.
+    ``components`` adds the profile and text components, rounded to ``digits`` if given, ``share`` the time-ordered ``split``.
     """
-    sessions = _joined_profiles(_sessions(queries), profiles, components)
+    sessions = _joined_profiles(_sessions(queries), profiles, components, digits=digits)
     if clicks is not None:
         sessions = sessions.join(clicks, "sid", "left")
     joined = _parsed(joins.join_plans_full(sessions, plans))
     if share is not None:
-        times = joins.join_plans_full(queries.select("sid", "req_time"), plans.select("sid"))
+        # stored, as the cut takes a few passes
+        times = cut_lineage(joins.join_plans_full(queries.select("sid", "req_time"), plans.select("sid")))
         joined = ranks.split_by_time(joined, share, basis=times)
     if components:
         lists = joins.join_plans_full(queries.select("sid"), plans.select("sid", "plans"))
-        joined = add_text_components(joined, basis=_parsed(lists))
+        joined = _rounded(add_text_components(joined, basis=_parsed(lists)), "TFIDF_clustered_", digits)
     table = plan_features(joined, keep=keep).drop("plans")
     return encode.label_response(table) if clicks is not None else table
 
