@@ -139,6 +139,31 @@ def test_density_at_all_radii_from_one_tree(spark, monkeypatch, cell, few, kind)
     assert all(r["count"] >= 30 for r in large)
 
 
+def test_density_gathers_no_vectors_at_the_driver(spark, monkeypatch):
+    """Rows are dealt to cells once, and no join of vectors or of all rows is a broadcast."""
+    dealt, plans, deal, cut = [], [], metric.deal, reach.cut_plan
+    monkeypatch.setattr(metric, "deal", lambda rows: dealt.append(1) or deal(rows))
+
+    def stored(df):
+        plans.append((df.columns, df._jdf.queryExecution().executedPlan().toString()))
+        return cut(df)
+    monkeypatch.setattr(reach, "cut_plan", stored)
+    monkeypatch.setattr(reach, "FEW", 0)
+    x = np.random.default_rng(11).integers(0, 2, (120, 8)).astype(float)
+    profiles, columns, ids = _frame(spark, x)
+    found = reach.density_levels(profiles, columns, 4, [1.0, 1.5, 1.5])
+    assert found.count() == 3 * len(ids)
+    plans.append((["x"], found._jdf.queryExecution().executedPlan().toString()))
+    assert len(dealt) == 1 and any("SortMergeJoin" in p for _, p in plans)
+    assert not [c for c, p in plans if "BroadcastHashJoin" in p and ("x" in c or "id" in c)]
+
+
+def test_density_key_may_be_named_as_its_own_columns(spark):
+    profiles, columns, ids = _frame(spark, np.zeros((5, 2)))
+    found = reach.density_levels(profiles.withColumnRenamed("pid", "id"), columns, 4, [1.0], "id", min_size=2)
+    assert sorted((r["id"], r["radius"], r["cluster"]) for r in found.collect()) == [(i, 1.0, 100) for i in ids]
+
+
 def test_spanning_tree_weighs_as_little_as_any(spark):
     rng = np.random.default_rng(9)
     x = rng.normal(0, 1, (80, 4))

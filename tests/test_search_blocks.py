@@ -34,3 +34,13 @@ def test_core_distances_move_no_pairs(spark, monkeypatch):
     found = {r["id"]: r["core"] for r in reach.core_distances(rows, 50).collect()}
     assert set(found.values()) == {round(2 ** 0.5, 9)} and len(found) == 60
     assert [df.count() for df in sent] == [120]
+
+
+def test_rounds_keep_no_constraints_of_their_plans(spark):
+    """What a checkpoint carries of its plan doubles from round to round where a table meets what came of it."""
+    from wayfold.session import cut_lineage, cut_plan
+
+    rows = spark.range(9).selectExpr("id", "id + 1 AS up").where("id > 2 AND up > 4")
+    known = lambda df: df._jdf.queryExecution().optimizedPlan().constraints().size()
+    assert known(cut_lineage(rows)) > 0 and known(cut_plan(rows)) == 0
+    assert cut_plan(rows).collect() == rows.collect() and cut_plan(rows).schema == rows.schema
