@@ -49,6 +49,21 @@ def test_net_is_sparks_model_and_fits_as_well(points):
     assert np.mean(right) > 0.75
 
 
+def test_nets_of_one_fold_share_their_blocks(points, monkeypatch):
+    """Rows are prepared once for all networks, which are those of single fits; large sums overflow nothing."""
+    made, as_blocks = [], blocks.as_blocks
+    monkeypatch.setattr(blocks, "as_blocks", lambda *a: made.append(1) or as_blocks(*a))
+    one = classifiers.net(4, (6,), classes=4, rounds=5)
+    layers = [[4, 6, 4], [4, 5, 3, 4]]
+    both = one.fit(points, [{one.layers: s} for s in layers])
+    assert len(made) == 1
+    for s, model in zip(layers, both):
+        alone = one.fit(points, {one.layers: s})
+        assert np.allclose(model.weights.toArray(), alone.weights.toArray(), atol=1e-4)
+    far = nets.gradient(np.full((2, 1), 1e4, np.float32), np.zeros(2, np.float32), np.array([-1, 0, 1, -1, 0, 0], np.float32), [1, 1, 2])
+    assert np.isfinite(far).all() and np.isclose(far[1], 2 * np.log(2))
+
+
 def test_net_refuses_what_spark_refuses(spark):
     for vector, label in (([float("nan")], 0.0), ([1.0], 0.5), ([1.0], -1.0), ([1.0], None)):
         df = spark.createDataFrame([(vector, label)], "x array<double>, label double")
@@ -102,6 +117,19 @@ def test_sums_of_many_tasks_are_added_by_tasks(points, monkeypatch):
     assert np.allclose(blocks.summed(tasks, one), few)
 
 
+def test_sums_of_many_tasks_take_one_job(points, monkeypatch):
+    monkeypatch.setattr(blocks, "MANY", 0)
+    stored, tasks = blocks.as_blocks(points, points.features, points.label, a_task=400)
+    spark = points.sparkSession
+    spark.sparkContext.setJobGroup("sums", "sums")
+    try:
+        assert blocks.summed(tasks, lambda x, y: np.array([len(y)])) == [900]
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("sums")) == 1
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert blocks.summed(blocks.as_blocks(points.limit(0), points.features, points.label)[1], lambda x, y: y) is None
+
+
 def test_no_training_rows(points):
     with pytest.raises(ValueError, match="no training rows"):
         classifiers.boosted(held=0.2).fit(points.limit(0))
